@@ -1 +1,88 @@
-"""placeholder"""
+"""Phase 3: backfill planning/assembly, union, latest quotes, CSV/JSON landing and scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import work_path
+from ..sources import history as hist
+from ..sources import quotes as qs
+from ..sources.tables import read_quotes
+from .registry import register
+
+# The test tables span one month, so the registered plans use a one-week step; the
+# operators default to the reference's one-year step.
+STEP, OVERLAP = "7 days", "30 minutes"
+
+Q = """q AS (SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,2)) AS price FROM events)"""
+CHUNKS = f"""b AS (SELECT date_trunc('day', min(ts)) AS s, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS e FROM events),
+c AS (SELECT CAST(row_number() OVER (ORDER BY fs) - 1 AS BIGINT) AS chunk_no, fs AS fetch_start,
+             least(fs + INTERVAL '{STEP}' + INTERVAL '{OVERLAP}', e) AS fetch_end
+      FROM b, range(s, e, INTERVAL '{STEP}') t(fs))"""
+
+
+def _hist(spark, sf_dir):
+    return read_quotes(spark, sf_dir, "event_type").select("event_id", "ts", "symbol", "price")
+
+
+@register("backfill_chunks", f"WITH {CHUNKS} SELECT * FROM c")
+def backfill_chunks(spark, sf_dir):
+    return hist.backfill_chunks(_hist(spark, sf_dir), STEP, OVERLAP)
+
+
+@register("backfill_overlap", f"""
+WITH {Q}, {CHUNKS}
+SELECT c.chunk_no, q.event_id, q.ts, q.symbol, q.price FROM q JOIN c ON q.ts >= c.fetch_start AND q.ts <= c.fetch_end""")
+def backfill_overlap(spark, sf_dir):
+    return hist.backfill_overlap(_hist(spark, sf_dir), STEP, OVERLAP)
+
+
+@register("backfill_dedup", f"WITH {Q} SELECT event_id, ts, symbol, price FROM q")
+def backfill_dedup(spark, sf_dir):
+    return hist.dedup_overlap(hist.backfill_overlap(_hist(spark, sf_dir), STEP, OVERLAP))
+
+
+@register("union_sorted", f"""
+WITH {Q} SELECT event_id, ts, symbol, price FROM q WHERE symbol = 'purchase'
+UNION ALL SELECT event_id, ts, symbol, price FROM q WHERE symbol = 'view'""")
+def union_sorted(spark, sf_dir):
+    h = _hist(spark, sf_dir)
+    return hist.union_sorted(h.filter(F.col("symbol") == "purchase"), h.filter(F.col("symbol") == "view"))
+
+
+@register("latest_per_symbol", f"""
+WITH {Q} SELECT symbol, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id,
+                arg_max(price, (ts, event_id)) AS price FROM q GROUP BY symbol""")
+def latest_per_symbol(spark, sf_dir):
+    return hist.latest_per_symbol(_hist(spark, sf_dir))
+
+
+@register("latest_snapshot", f"""
+WITH {Q} SELECT concat_ws(',', symbol, CAST(arg_max(price, (ts, event_id)) AS VARCHAR)) AS value
+FROM q GROUP BY symbol""")
+def latest_snapshot(spark, sf_dir):
+    path = hist.write_snapshot(hist.latest_per_symbol(_hist(spark, sf_dir)), work_path(spark, "snapshot"))
+    return spark.read.text(path)
+
+
+@register("quote_csv_scan", """
+SELECT CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS datetime, event_type AS stock,
+       CAST(value AS DECIMAL(18,2)) AS close FROM events""")
+def quote_csv_scan(spark, sf_dir):
+    path = qs.land_quote_csv(_hist(spark, sf_dir), work_path(spark, "quotes-csv"))
+    return qs.scan_quote_csv(spark, path)
+
+
+@register("quote_json_latest", f"""
+WITH {Q} SELECT symbol, max(ts) AS ts, arg_max(price, (ts, event_id)) AS close,
+                concat_ws(',', symbol, CAST(arg_max(price, (ts, event_id)) AS VARCHAR)) AS line
+FROM q GROUP BY symbol""")
+def quote_json_latest(spark, sf_dir):
+    path = qs.land_quote_json(_hist(spark, sf_dir), work_path(spark, "quotes-json"))
+    return qs.latest_from_json(spark, path)
+
+
+@register("history_lines", f"""
+WITH {Q} SELECT concat_ws(' ', CAST(CAST(ts AS DATE) AS VARCHAR), symbol, CAST(price AS VARCHAR)) AS value FROM q""")
+def history_lines(spark, sf_dir):
+    return hist.render_history_lines(_hist(spark, sf_dir))
