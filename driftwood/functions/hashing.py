@@ -17,9 +17,14 @@ def _limb(hexdigest: Column, i: int) -> Column:
 
 
 def md5_mod(s: Column, m: int) -> Column:
+    """Inline form; when the digest is reused, project ``F.md5`` first and call ``hex_mod``."""
+    return hex_mod(F.md5(s), m)
+
+
+def hex_mod(h: Column, m: int) -> Column:
+    """A 32-hex-digit digest column, as a big-endian integer, modulo ``m``."""
     if not 0 < m < 2 ** 31:
         raise ValueError("modulus must be in (0, 2^31)")
-    h = F.md5(s)
     r = F.lit(0).cast("bigint")
     for i in range(4):
         r = F.pmod(r * F.lit(2 ** 32) + _limb(h, i), F.lit(m))
