@@ -1 +1,43 @@
-"""placeholder"""
+"""Phase 5: MinHash shingles and signatures of ``documents``."""
+
+from __future__ import annotations
+
+from ..functions.text import WHITESPACE_CLASS
+from ..operators import minhash as mh
+from ..sources.tables import read_table
+from .registry import register
+
+WORDS = f"""d AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(coalesce(text, 'nan'), '{WHITESPACE_CLASS}+'),
+                                                      lambda w: w <> '')) AS words FROM documents)"""
+RES = """r AS (SELECT doc_id, list_distinct(list_transform(words, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % 1119)) AS res
+      FROM d)"""
+SIG = f"""WITH {WORDS}, {RES},
+s AS (SELECT doc_id, CASE WHEN len(res) > 0 THEN CAST(list_transform(range(200),
+          lambda i: list_min(list_transform(res, lambda x: ((2 * i + 1) * x + 100 * i + 2) % 1119))) AS INTEGER[]) END
+          AS signature FROM r)"""
+
+
+def _docs(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents")
+
+
+@register("shingles", f"WITH {WORDS} SELECT doc_id, unnest(words) AS word FROM d")
+def shingles(spark, sf_dir):
+    return mh.shingles(_docs(spark, sf_dir))
+
+
+@register("minhash_signature", f"{SIG} SELECT doc_id, signature FROM s")
+def minhash_signature(spark, sf_dir):
+    return mh.signatures(_docs(spark, sf_dir))
+
+
+@register("minhash_long", f"""{SIG}
+SELECT doc_id, CAST(generate_subscripts(signature, 1) - 1 AS INTEGER) AS i, unnest(signature) AS minhash FROM s""")
+def minhash_long(spark, sf_dir):
+    return mh.signatures_long(_docs(spark, sf_dir))
+
+
+@register("minhash_relational", f"{SIG} SELECT doc_id, signature FROM s")
+def minhash_relational(spark, sf_dir):
+    """Same signatures through the join + aggregate plan (cross-check of the kernel)."""
+    return mh.signatures_relational(_docs(spark, sf_dir))
