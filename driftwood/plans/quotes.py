@@ -100,11 +100,14 @@ def ma_level_signal(spark, sf_dir):
     return ma.level_signal(_q(spark, sf_dir))
 
 
-@register("crossover_signals", f"""
+CROSSOVER_SQL = f"""
 {SIGNALS}
 SELECT symbol, ts, event_id, side, price, CAST(10000000 // cents AS BIGINT) AS shares,
        CAST(s10 AS DOUBLE) / CAST(1000 AS DOUBLE) AS ma10, CAST(s40 AS DOUBLE) / CAST(4000 AS DOUBLE) AS ma40
-FROM s WHERE side IS NOT NULL""")
+FROM s WHERE side IS NOT NULL"""
+
+
+@register("crossover_signals", CROSSOVER_SQL)
 def crossover_signals(spark, sf_dir):
     return ma.crossover_signals(_q(spark, sf_dir)).drop("cents")
 

@@ -10,6 +10,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+QUERY_SQL = ORACLE  # read-only alias for plan modules that reuse another plan's SQL
 
 
 def register(name: str, sql: str | None = None):

@@ -1 +1,104 @@
-"""placeholder"""
+"""Phase 6: streaming plans.  Each run lands a replay of the tables in a fresh folder
+under the shared checkpoint folder, processes it with ``availableNow`` and a
+checkpoint, and returns the sink read back as a batch DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import bloom
+from ..session import work_path
+from ..sources import documents as docs
+from ..sources import quotes as qs
+from ..sources.tables import read_quotes, read_table
+from ..streaming import bloom as sbloom
+from ..streaming import crossover as sx
+from ..streaming import io
+from ..streaming import windows as sw
+from . import quotes as pq
+from .registry import QUERY_SQL
+from . import text as pt
+from . import windows as pw
+from .registry import register
+
+N_FILES = 4
+
+# Closed-window accounting: the final watermark is (max event time in ms) - delay;
+# append mode emits a coarse window once its end is at or before it.  Lines carry
+# whole seconds, so the stream's event times are the table's, truncated.
+WINDOW_STREAM_SQL = pw.WINDOW_JOIN_SQL.replace("SELECT event_id, ts,", "SELECT event_id, date_trunc('second', ts) AS ts,") + """
+WHERE coarse_start + INTERVAL '40 minutes' <= (SELECT max(date_trunc('second', ts)) FROM events) - INTERVAL '10 minutes'"""
+
+# A row is final once epoch_us(ts) <= (max event ms - delay ms) * 1000.
+CROSSOVER_STREAM_SQL = pq.CROSSOVER_SQL + """
+  AND epoch_us(ts) <= ((SELECT epoch_us(max(ts)) FROM events) // 1000 - 3600000) * 1000"""
+
+
+def _land_lines(spark, sf_dir, symbol="event_type"):
+    """Quote lines in event-time order, as N_FILES text files."""
+    q = read_quotes(spark, sf_dir, symbol)
+    rows = q.select("ts", qs.line4().alias("value"))
+    return io.land_time_slices(rows, work_path(spark, "replay-lines"), N_FILES, "ts", fmt="text")
+
+
+@register("replay_landing", QUERY_SQL["quote_render"])
+def replay_landing(spark, sf_dir):
+    return spark.read.text(_land_lines(spark, sf_dir))
+
+
+def _parsed_stream(spark, path):
+    lines = io.line_source(spark, "text", path, max_files_per_trigger=1)
+    return qs.accepted(qs.parse_lines4(lines))
+
+
+@register("tumbling_avg_stream", QUERY_SQL["tumbling_avg_10d"])
+def tumbling_avg_stream(spark, sf_dir):
+    """10-day mean of one symbol, complete mode (all windows re-emitted every trigger)."""
+    path = _land_lines(spark, sf_dir)
+    q = _parsed_stream(spark, path).filter(F.col("symbol") == "purchase")
+    out = work_path(spark, "tumbling-out")
+    io.run_available(sw.tumbling_avg_stream(q, "10 days", "1 day", (), "ma10d"), "tumbling_avg_stream",
+                     "complete", foreach_batch=io.overwrite_into(out))
+    r = spark.read.parquet(out)
+    return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window_end").cast("timestamp_ntz").alias("window_end"), "ma10d", "n")
+
+
+@register("window_ma_stream", WINDOW_STREAM_SQL)
+def window_ma_stream(spark, sf_dir):
+    """Fine and containing-coarse means in one pass; windows closed by the watermark."""
+    path = _land_lines(spark, sf_dir)
+    out = work_path(spark, "window-ma-out")
+    io.run_available(sw.window_ma_stream(_parsed_stream(spark, path)), "window_ma_stream", "append", out)
+    r = spark.read.parquet(out)
+    return r.select("symbol", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")],
+                    "ma10m", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("coarse_start", "coarse_end")],
+                    "ma40m")
+
+
+@register("bloom_stream", QUERY_SQL["bloom_verdict"])
+def bloom_stream(spark, sf_dir):
+    """Token verdicts scored per micro-batch of a document-line stream."""
+    lines = docs.document_lines(read_table(spark, sf_dir, "documents"))
+    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_FILES, "doc_id")
+    bits = pt._bits(spark, sf_dir, pt.M, pt.K)
+    out = work_path(spark, "bloom-stream-out")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="doc_id bigint, line_no int, line string")
+    io.run_available(src, "bloom_stream", foreach_batch=sbloom.verdict_writer(bits, out, pt.M, pt.K))
+    return spark.read.parquet(out).select("doc_id", "line_no", "pos", "word", "verdict")
+
+
+@register("crossover_stream", CROSSOVER_STREAM_SQL)
+def crossover_stream(spark, sf_dir):
+    """Keyed-state detector over a time-ordered replay (symbol = user_id, 1 h delay)."""
+    q = read_quotes(spark, sf_dir, "user_id")
+    landing = io.land_time_slices(q, work_path(spark, "replay-quotes"), N_FILES, "ts")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,2), cents bigint")
+    out = work_path(spark, "crossover-out")
+    io.run_available(sx.crossover_stream(src, "1 hour"), "crossover_stream", "append", out)
+    return sx.finish(spark.read.parquet(out))
+
+
+__all__ = ["bloom", "pw"]

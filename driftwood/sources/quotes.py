@@ -20,11 +20,15 @@ from ..session import work_path
 PRICE_TYPE = "decimal(18,2)"
 
 
+def line4() -> Column:
+    """``date time symbol price`` from the quote columns ``ts, symbol, price``."""
+    return F.concat_ws(" ", F.date_format("ts", SECOND_FMT), F.col("symbol").cast("string"),
+                       F.col("price").cast("string"))
+
+
 def render_lines4(quotes: DataFrame) -> DataFrame:
     """``date time symbol price`` lines (feeder format of a CSV replay)."""
-    return quotes.select(
-        F.concat_ws(" ", F.date_format("ts", SECOND_FMT), F.col("symbol").cast("string"),
-                    F.col("price").cast("string")).alias("value"))
+    return quotes.select(line4().alias("value"))
 
 
 def render_lines3(quotes: DataFrame) -> DataFrame:
