@@ -9,7 +9,10 @@ Probing never leaves the JVM and hashes each *distinct* word once (``k`` digests
 word; a token stream repeats words heavily, and MD5 dominates the cost).  The
 set-bit table has at most ``m`` rows - a bound fixed by the filter parameters, not
 by the data - so it is broadcast; above ``MAX_BROADCAST_BITS`` the planner decides.
-Verdicts go back to tokens with an equi-join on ``word`` (AQE splits a hot word).
+Verdicts go back to tokens by joining the *positive* words only (listed words plus
+false positives): that side is materialized and broadcast when its checked size
+allows (``sizing.bounded_broadcast``), so tokens are not shuffled; otherwise it is an
+equi-join on ``word`` (AQE splits a hot word).
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hex_mod, md5_mod
+from .sizing import bounded_broadcast
 
 # Fixed values of the reference filters: 2000 bits with 5 hashes (15 in the last variant).
 DEFAULT_M, DEFAULT_K = 2000, 5
@@ -113,12 +117,19 @@ def positives(words: DataFrame, bits: DataFrame, m: int = DEFAULT_M, k: int = DE
     return probe(words, bits, m, k, word).filter("in_filter").select(word)
 
 
+def positive_side(words: DataFrame, bits: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K,
+                  word: str = "word") -> DataFrame:
+    """The positive words, ready to join: broadcast when their count is within the bound."""
+    side, _ = bounded_broadcast(positives(words, bits, m, k, word))
+    return side
+
+
 def verdict(tokens: DataFrame, bits: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K,
             word: str = "word") -> DataFrame:
     """Label every token ``BAD`` (probably listed) or ``GOOD`` (certainly not listed)."""
-    pr = probe(tokens, bits, m, k, word)
-    return tokens.join(pr, word, "inner").withColumn(
-        "verdict", F.when(F.col("in_filter"), F.lit("BAD")).otherwise(F.lit("GOOD"))).drop("in_filter")
+    pos = positive_side(tokens, bits, m, k, word).withColumn("_bad", F.lit(True))
+    return tokens.join(pos, word, "left").withColumn(
+        "verdict", F.when(F.col("_bad").isNotNull(), F.lit("BAD")).otherwise(F.lit("GOOD"))).drop("_bad")
 
 
 def fp_audit(words: DataFrame, bits: DataFrame, truth: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K,

@@ -9,27 +9,35 @@ from pyspark.sql import functions as F
 
 from ..sources.documents import line_tokens
 from . import bloom
+from .sizing import bounded_broadcast
+
+
+def _listed_side(listed: DataFrame, word: str) -> DataFrame:
+    side, _ = bounded_broadcast(listed.select(word).distinct())
+    return side
 
 
 def exact_semi(tokens: DataFrame, listed: DataFrame, word: str = "word") -> DataFrame:
     """Tokens whose word is listed (exact ground truth of the Bloom probe)."""
-    return tokens.join(listed.select(word).distinct(), word, "left_semi")
+    return tokens.join(_listed_side(listed, word), word, "left_semi")
 
 
 def exact_anti(tokens: DataFrame, listed: DataFrame, word: str = "word") -> DataFrame:
-    return tokens.join(listed.select(word).distinct(), word, "left_anti")
+    return tokens.join(_listed_side(listed, word), word, "left_anti")
 
 
 def sentence_gate(lines: DataFrame, bits: DataFrame, m: int = bloom.DEFAULT_M, k: int = bloom.DEFAULT_K,
                   keys: Sequence[str] = ("doc_id", "line_no"), line_col: str = "line") -> DataFrame:
     """Lines none of whose tokens probe positive.
 
-    Words are probed once each; tokens are semi-joined to the (small) positive set and
-    only the keys of hit lines are de-duplicated and anti-joined to the lines.
+    Words are probed once each; tokens meet the (size-checked, broadcast) positive
+    words, the keys of hit lines are materialized and - again behind a size check -
+    anti-joined to the lines.  With both sides small, neither tokens nor lines move.
     """
     toks = line_tokens(lines, keys, line_col)
-    hit_lines = toks.join(bloom.positives(toks, bits, m, k), "word", "left_semi").select(*keys).distinct()
-    return lines.join(hit_lines, list(keys), "left_anti")
+    pos = bloom.positive_side(toks, bits, m, k)
+    hit, _ = bounded_broadcast(toks.join(pos, "word", "left_semi").select(*keys).distinct())
+    return lines.join(hit, list(keys), "left_anti")
 
 
 def batch_gate(lines: DataFrame, bits: DataFrame, batch: Column | str, m: int = bloom.DEFAULT_M,
@@ -40,5 +48,6 @@ def batch_gate(lines: DataFrame, bits: DataFrame, batch: Column | str, m: int =
     b = F.col(batch) if isinstance(batch, str) else batch
     x = lines.withColumn("batch_id", b)
     toks = line_tokens(x, ("batch_id",), line_col)
-    bad_batches = toks.join(bloom.positives(toks, bits, m, k), "word", "left_semi").select("batch_id").distinct()
-    return x.join(bad_batches, "batch_id", "left_anti").select("batch_id", *keys, line_col)
+    pos = bloom.positive_side(toks, bits, m, k)
+    bad, _ = bounded_broadcast(toks.join(pos, "word", "left_semi").select("batch_id").distinct())
+    return x.join(bad, "batch_id", "left_anti").select("batch_id", *keys, line_col)

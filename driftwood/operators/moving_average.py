@@ -25,9 +25,11 @@ def _mean(sum_col: Column, width: int) -> Column:
 
 def with_moving_averages(quotes: DataFrame, fast: int = FAST, slow: int = SLOW,
                          bucket: str = "1 day") -> DataFrame:
-    """Adds ``rn, sum_f, sum_s, prev_sum_f, prev_sum_s`` and ``ma_f``/``ma_s`` (null before warm-up)."""
+    """``symbol, ts, event_id, cents, price`` plus ``rn, sum_f, sum_s, prev_sum_f, prev_sum_s``
+    and ``ma_f``/``ma_s`` (null before warm-up).  ``price`` is re-derived exactly from cents."""
     r = rolling_sums(quotes, "symbol", ORDER, "cents", (fast, slow), bucket)
     return r.withColumns({
+        "price": (F.col("cents").cast("decimal(20,0)") / 100).cast("decimal(18,2)"),
         f"ma{fast}": F.when(F.col("rn") >= fast, _mean(F.col(f"sum_{fast}"), fast)),
         f"ma{slow}": F.when(F.col("rn") >= slow, _mean(F.col(f"sum_{slow}"), slow)),
     })

@@ -16,6 +16,12 @@ the values that precede it:
 The result is exactly the plain ``rowsBetween`` answer (see the tests) while every
 task holds at most one bucket of one key.  Pick ``bucket`` so that the hottest
 ``(key, bucket)`` stays well inside a task (for minute bars: a day; for ticks: an hour).
+
+Plan shape: the rows are shuffled once by ``(key, bucket)`` - the tail branch reads
+the same exchange (``ReusedExchange``), which is why the input is narrowed to
+``key, order, value`` first - and the carry table, which grows with keys x buckets,
+meets the rows in a sort-merge join that needs no exchange or sort on the row side
+(the window already left it hash-partitioned and sorted by ``(key, bucket, ...)``).
 """
 
 from __future__ import annotations
@@ -29,9 +35,18 @@ UNBOUNDED_PRECEDING = Window.unboundedPreceding
 UNBOUNDED_FOLLOWING = Window.unboundedFollowing
 
 
+_UNIT_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def bucket_micros(width: str) -> int:
+    n, unit = width.split()
+    return int(n) * _UNIT_US[unit.lower().rstrip("s")]
+
+
 def time_bucket(ts: Column, width: str = "1 day") -> Column:
-    """Start of the tumbling bucket (aligned to the epoch) that holds ``ts``."""
-    return F.window(ts, width).start
+    """Epoch-aligned bucket number of ``ts`` (bigint)."""
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_micros(width))).cast("bigint")
 
 
 def _tail_sum(values: Column, n: Column) -> Column:
@@ -43,15 +58,20 @@ def _tail_sum(values: Column, n: Column) -> Column:
 
 def rolling_sums(df: DataFrame, key: str, order: Sequence[str], value: str,
                  widths: Sequence[int] = (10, 40), bucket: Column | str = "1 day") -> DataFrame:
-    """Add ``rn`` (1-based row number within ``key``) and, per width ``w``,
+    """Return ``key, order..., value`` plus ``rn`` (1-based row number within ``key``) and, per width ``w``,
     ``sum_w`` (sum of rows ``rn-w+1 .. rn``) and ``prev_sum_w`` (sum of rows
     ``rn-w .. rn-1``, null on the first row).  Sums over fewer than ``w`` rows are
-    partial; callers gate on ``rn``.  ``value`` must be an integral column.
+    partial; callers gate on ``rn``.  ``value`` must be an integral column.  Rows with
+    a null key or a null first order column are dropped.
     """
     widths = tuple(sorted(set(int(w) for w in widths)))
     depth = max(widths)
     bcol = time_bucket(F.col(order[0]), bucket) if isinstance(bucket, str) else bucket
-    base = df.withColumn("_b", bcol)
+    # rows without a key or a time cannot be placed in a sequence; dropping them here
+    # (rather than letting the join infer it on one branch only) keeps both branches
+    # identical, so the tail branch reuses the row exchange
+    base = (df.select(key, *order, value).filter(F.col(key).isNotNull() & F.col(order[0]).isNotNull())
+            .withColumn("_b", bcol))
 
     w = Window.partitionBy(key, "_b").orderBy(*order)
     cols = {
@@ -77,7 +97,9 @@ def rolling_sums(df: DataFrame, key: str, order: Sequence[str], value: str,
     carry = carry.select(key, "_b", "_off",
                          F.slice("_c", F.greatest(F.size("_c") - depth + 1, F.lit(1)), depth).alias("_c"))
 
-    out = framed.join(carry, [key, "_b"], "inner")
+    # left join: every (key, bucket) has its carry row; "left" keeps join-inferred
+    # filters off the row side so both branches share one exchange.
+    out = framed.join(carry.hint("merge"), [key, "_b"], "left")
     p = F.col("_p")
     res = {"rn": (F.col("_off") + p).cast("bigint")}
     for wd in widths:
