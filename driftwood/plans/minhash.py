@@ -41,3 +41,12 @@ def minhash_long(spark, sf_dir):
 def minhash_relational(spark, sf_dir):
     """Same signatures through the join + aggregate plan (cross-check of the kernel)."""
     return mh.signatures_relational(_docs(spark, sf_dir))
+
+
+@register("minhash_review_csv", f"{SIG} SELECT doc_id AS review_id, signature FROM s")
+def minhash_review_csv(spark, sf_dir):
+    """Signatures of reviews read from a landed header CSV (``Review Text``)."""
+    from ..session import work_path
+    from ..sources import reviews as rv
+    path = rv.land_review_csv(_docs(spark, sf_dir), work_path(spark, "reviews-csv"))
+    return mh.signatures(rv.scan_review_csv(spark, path), id_col="review_id")

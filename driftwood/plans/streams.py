@@ -101,4 +101,33 @@ def crossover_stream(spark, sf_dir):
     return sx.finish(spark.read.parquet(out))
 
 
+@register("sentence_gate_stream", QUERY_SQL["sentence_gate"])
+def sentence_gate_stream(spark, sf_dir):
+    """Lines without a positive token, gated per micro-batch of a document-line stream."""
+    lines = docs.document_lines(read_table(spark, sf_dir, "documents"))
+    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_FILES, "doc_id")
+    bits = pt._bits(spark, sf_dir, pt.M, pt.K)
+    out = work_path(spark, "sentence-gate-out")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="doc_id bigint, line_no int, line string")
+    io.run_available(src, "sentence_gate_stream", foreach_batch=sbloom.sentence_gate_writer(bits, out, pt.M, pt.K))
+    return spark.read.parquet(out).select("doc_id", "line_no", "line")
+
+
+@register("backfill_dedup_stream", QUERY_SQL["backfill_dedup"])
+def backfill_dedup_stream(spark, sf_dir):
+    """The assembled backfill (overlap copies included) replayed as a stream and
+    de-duplicated within the watermark: every quote exactly once."""
+    from ..sources import history as hist
+    h = read_quotes(spark, sf_dir, "event_type").select("event_id", "ts", "symbol", "price")
+    bf = hist.backfill_overlap(h, "7 days", "30 minutes")
+    landing = io.land_time_slices(bf, work_path(spark, "replay-backfill"), N_FILES, "ts")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="chunk_no bigint, event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,2)")
+    out = work_path(spark, "dedup-out")
+    io.run_available(hist.dedup_stream(src, "1 hour"), "backfill_dedup_stream", "append", out)
+    r = spark.read.parquet(out)
+    return r.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "symbol", "price")
+
+
 __all__ = ["bloom", "pw"]

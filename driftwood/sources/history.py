@@ -67,6 +67,15 @@ def dedup_overlap(backfill: DataFrame, keys=("symbol", "event_id")) -> DataFrame
     return backfill.drop("chunk_no").dropDuplicates(list(keys))
 
 
+def dedup_stream(backfill: DataFrame, delay: str = "1 hour", keys=("symbol", "event_id"),
+                 ts: str = "ts") -> DataFrame:
+    """Streaming twin of ``dedup_overlap``: the first copy of a key passes at once, later
+    copies within the watermark delay are dropped; state expires with the watermark."""
+    d = backfill.drop("chunk_no") if "chunk_no" in backfill.columns else backfill
+    return (d.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+            .dropDuplicatesWithinWatermark(list(keys)))
+
+
 def union_sorted(*histories: DataFrame, ts: str = "ts") -> DataFrame:
     """Concatenate histories and sort globally by time (symbol, id break ties)."""
     out = histories[0]
@@ -96,5 +105,5 @@ def render_history_lines(history: DataFrame) -> DataFrame:
                                       F.col("price").cast("string")).alias("value"))
 
 
-__all__ = ["backfill_chunks", "backfill_overlap", "dedup_overlap", "union_sorted", "latest_per_symbol",
+__all__ = ["backfill_chunks", "backfill_overlap", "dedup_overlap", "dedup_stream", "union_sorted", "latest_per_symbol",
            "write_snapshot", "render_history_lines", "history_bounds", "SECOND_FMT"]

@@ -83,13 +83,29 @@ def overwrite_into(path: str):
 
 
 def append_by_batch(path: str, transform=None):
-    """foreachBatch writer that is idempotent on retry: batch ``b`` owns ``batch_id=b``."""
+    """foreachBatch writer that is idempotent on retry: batch ``b`` owns ``batch_id=b``.
+    Empty micro-batches are skipped (nothing to score, nothing written)."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         out = transform(batch, batch_id) if transform else batch
         out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
+def start(df: DataFrame, name: str, checkpoint: str, mode: str = "append", out: str | None = None,
+          foreach_batch=None, fmt: str = "parquet", processing_time: str | None = None) -> StreamingQuery:
+    """Start a long-running query: fixed-interval micro-batches (``processing_time``,
+    e.g. ``"15 seconds"``) or as fast as data arrives; always checkpointed, so a
+    restarted driver resumes from the last committed batch."""
+    w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", checkpoint)
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    if foreach_batch is not None:
+        return w.foreachBatch(foreach_batch).start()
+    return w.format(fmt).option("path", out).start()
+
+
 def console(df: DataFrame, mode: str = "append", processing_time: str | None = None,
             truncate: bool = False) -> StreamingQuery:
     """Console sink (interactive use only)."""
