@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_u32
 from ..functions.text import whitespace_tokens
+from ..session import ship_package
 
 # Fixed values of the reference hash family: 200 functions, modulus 1119,
 # h_i(x) = ((2i + 1) x + 100 i + 2) mod 1119.
@@ -88,6 +89,7 @@ def _minima_udf(num_hashes: int, modulus: int):
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                num_hashes: int = NUM_HASHES, modulus: int = MODULUS) -> DataFrame:
     """``(doc_id, signature array<int>)``; null signature for a text without shingles."""
+    ship_package(docs.sparkSession)
     r = docs.select(id_col, residues(F.col(text_col), modulus).alias("_r"))
     return r.select(id_col, _minima_udf(num_hashes, modulus)(F.col("_r")).alias("signature"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.text import WHITESPACE_CLASS
 from ..operators import minhash as mh
-from ..sources.tables import read_table
+from ..sources.tables import read_documents
 from .registry import register
 
 WORDS = f"""d AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(coalesce(text, 'nan'), '{WHITESPACE_CLASS}+'),
@@ -18,7 +18,7 @@ s AS (SELECT doc_id, CASE WHEN len(res) > 0 THEN CAST(list_transform(range(200),
 
 
 def _docs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents")
+    return read_documents(spark, sf_dir)
 
 
 @register("shingles", f"WITH {WORDS} SELECT doc_id, unnest(words) AS word FROM d")

@@ -10,7 +10,7 @@ from ..operators import bloom
 from ..session import work_path
 from ..sources import documents as docs
 from ..sources import quotes as qs
-from ..sources.tables import read_quotes, read_table
+from ..sources.tables import read_documents, read_quotes
 from ..streaming import bloom as sbloom
 from ..streaming import crossover as sx
 from ..streaming import io
@@ -79,7 +79,7 @@ def window_ma_stream(spark, sf_dir):
 @register("bloom_stream", QUERY_SQL["bloom_verdict"])
 def bloom_stream(spark, sf_dir):
     """Token verdicts scored per micro-batch of a document-line stream."""
-    lines = docs.document_lines(read_table(spark, sf_dir, "documents"))
+    lines = docs.document_lines(read_documents(spark, sf_dir))
     landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_FILES, "doc_id")
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "bloom-stream-out")
@@ -104,7 +104,7 @@ def crossover_stream(spark, sf_dir):
 @register("sentence_gate_stream", QUERY_SQL["sentence_gate"])
 def sentence_gate_stream(spark, sf_dir):
     """Lines without a positive token, gated per micro-batch of a document-line stream."""
-    lines = docs.document_lines(read_table(spark, sf_dir, "documents"))
+    lines = docs.document_lines(read_documents(spark, sf_dir))
     landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_FILES, "doc_id")
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "sentence-gate-out")

@@ -8,7 +8,7 @@ from ..operators import bloom, gates
 from ..session import work_path
 from ..sources import documents as docs
 from ..sources import lexicon as lx
-from ..sources.tables import read_table
+from ..sources.tables import read_documents, read_table
 from .registry import register
 
 M, K, K15 = 2000, 5, 15
@@ -47,7 +47,7 @@ SELECT CAST({m} AS INTEGER) AS m, CAST({k} AS INTEGER) AS k, (SELECT count(*) FR
 
 
 def _lines(spark, sf_dir):
-    return docs.document_lines(read_table(spark, sf_dir, "documents"))
+    return docs.document_lines(read_documents(spark, sf_dir))
 
 
 def _tokens(spark, sf_dir):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,9 +57,37 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/driftwood/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (pandas UDFs, keyed state).
+
+    The programmatic form of ``--py-files``: once per application, the package is
+    zipped into the shared work folder and added with ``addPyFile``.  When the work
+    folder is not a local path (a cluster file system), the package is expected to
+    be deployed with the job (``--py-files``) and nothing is done here.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_driftwood_shipped", False):
+        return
+    root = checkpoint_root(spark)
+    if root.startswith("file:") or root.startswith("/"):
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        dest = local_fs_path(f"{root}/driftwood/pyfiles-{uuid.uuid4().hex[:12]}")
+        os.makedirs(dest, exist_ok=True)
+        zpath = os.path.join(dest, "driftwood.zip")
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for base, dirs, files in os.walk(pkg):
+                dirs[:] = [d for d in dirs if d != "__pycache__"]
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(base, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        sc.addPyFile(zpath)
+    sc._driftwood_shipped = True
+
+
 def local_fs_path(path: str) -> str:
     """Strip a file: scheme (for tests that look at files directly)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "checkpoint_root", "work_path", "local_fs_path", "DEFAULT_CONF"]
+__all__ = ["local_session", "checkpoint_root", "work_path", "ship_package", "local_fs_path", "DEFAULT_CONF"]

@@ -12,6 +12,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition an under-split input on ``key``.
+
+    A scan yields one task per file split (per parquet row group), so a small file or
+    a single row group leaves every core but one idle during the row-local work that
+    precedes the first shuffle (splitting texts, tokenizing, hashing).  Such an input
+    is repartitioned on ``key`` (deterministic on retry; an explicit count, so AQE
+    does not coalesce it away).  A scan with at least as many splits as the cluster
+    has cores - the normal case at scale - is returned as is: no extra exchange.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents``, spread over the cores by ``doc_id`` when the scan is under-split."""
+    return spread(read_table(spark, sf_dir, "documents"), "doc_id")
+
+
 def quotes_from_events(events: DataFrame, symbol: str = "user_id") -> DataFrame:
     """events -> quotes ``(event_id, ts, symbol, price, cents)``.
 

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.money import BUDGET_CENTS
 from ..operators.moving_average import FAST, SLOW
+from ..session import ship_package
 
 STATE_SCHEMA = "rn long, tail array<long>, pending array<struct<ts_us:long,event_id:long,cents:long>>"
 
@@ -75,6 +76,7 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_cents: int = BUDGET_CENT
 def crossover_stream(quotes: DataFrame, delay: str = "1 hour", fast: int = FAST, slow: int = SLOW,
                      symbol_type: str = "bigint") -> DataFrame:
     """Streaming twin of ``operators.moving_average.crossover_signals``."""
+    ship_package(quotes.sparkSession)
     q = (quotes.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
          .select("symbol", "ts", F.unix_micros("ts").alias("ts_us"), "event_id", "cents"))
     out = q.groupBy("symbol").applyInPandasWithState(
