@@ -30,24 +30,35 @@ def line_source(spark: SparkSession, fmt: str = "text", path: str | None = None,
     return r.schema(schema).format(fmt).load(path)
 
 
-def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", fmt: str = "parquet") -> str:
+def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", fmt: str = "parquet",
+                     files_per_slice: int = 1) -> str:
     """Land ``rows`` as ``n_files`` event-time slices, oldest first.
 
-    Slice bounds are range-partition boundaries of ``ts`` (sampled by Spark); each
-    slice is appended by its own job, so the file source (which takes files in
-    modification-time order) replays them in event-time order.  Each job reads only
-    its slice (the range filter is pushed to the scan).
+    Cut points are approximate quantiles of ``ts`` (one partial aggregate with a
+    bounded sketch; no row moves); each slice is appended by its own job, so the
+    file source (which takes files in modification-time order) replays the slices
+    in event-time order.  Each job reads only its slice (the range filter is pushed
+    to the scan) and writes ``files_per_slice`` files: pick it so that one file is
+    a task's worth of rows (a replay reader then sets ``maxFilesPerTrigger`` to a
+    multiple of it; order within a micro-batch does not matter to event time).
     """
-    bounds = (rows.select(ts).repartitionByRange(n_files, ts)
-              .groupBy(F.spark_partition_id().alias("p")).agg(F.min(ts).alias("lo"))
-              .orderBy("lo").select("lo"))
-    # n_files boundary values: a bounded, tiny result, not the data
-    lows = [r["lo"] for r in bounds.collect()]
-    for i, lo in enumerate(lows):
-        part = rows.filter(F.col(ts) >= F.lit(lo))
-        if i + 1 < len(lows):
-            part = part.filter(F.col(ts) < F.lit(lows[i + 1]))
-        part = part.sortWithinPartitions(ts).coalesce(1)
+    dtype = rows.schema[ts].dataType.simpleString()
+    probs = [i / n_files for i in range(1, n_files)]
+    cuts = []
+    if probs:
+        # cut values travel as strings and are cast back to the column's own type,
+        # so no client-side time zone conversion is involved
+        q = rows.select(F.percentile_approx(F.col(ts), probs, 10_000).cast("array<string>").alias("q"))
+        # n_files - 1 cut values: a bounded, tiny result, not the data
+        cuts = list(dict.fromkeys(v for v in (q.collect()[0]["q"] or []) if v is not None))
+    edges = [None, *cuts, None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = rows
+        if lo is not None:
+            part = part.filter(F.col(ts) >= F.lit(lo).cast(dtype))
+        if hi is not None:
+            part = part.filter(F.col(ts) < F.lit(hi).cast(dtype))
+        part = part.sortWithinPartitions(ts).coalesce(files_per_slice)
         if fmt == "text":
             part.select("value").write.mode("append").text(path)
             continue

@@ -1,8 +1,9 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare results.
 
-usage: python tools/oracle_check.py [sf_dir] [name ...]
+usage: python tools/oracle_check.py [--strict] [sf_dir] [name ...]
 Prints one line per query: status, row counts, seconds.  Mirrors the driver's check
-(row count + column names + order-insensitive values) with tolerant float rounding.
+(row count + column names + order-insensitive values) with tolerant float rounding;
+``--strict`` compares floats bit for bit.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+STRICT = False
+
+
 def norm(v):
     if v is None:
         return None
@@ -28,9 +32,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0 if STRICT else round(v, 6) + 0.0
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6) + 0.0
+        return float(v) if STRICT else round(float(v), 6) + 0.0
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, (bytes, bytearray, memoryview)):
@@ -84,7 +88,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main():
+    global STRICT
     args = sys.argv[1:]
+    if "--strict" in args:
+        STRICT = True
+        args = [a for a in args if a != "--strict"]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     from driftwood.session import local_session
