@@ -23,6 +23,13 @@ from .registry import register
 
 N_FILES = 4
 
+
+def _state_partitions(spark):
+    """State-store partitions of the replay queries: one per core of the cluster (the
+    session default, 200, is sized for shuffles, and every micro-batch touches every
+    state partition)."""
+    return spark.sparkContext.defaultParallelism
+
 # Closed-window accounting: the final watermark is (max event time in ms) - delay;
 # append mode emits a coarse window once its end is at or before it.  Lines carry
 # whole seconds, so the stream's event times are the table's, truncated.
@@ -58,7 +65,7 @@ def tumbling_avg_stream(spark, sf_dir):
     q = _parsed_stream(spark, path).filter(F.col("symbol") == "purchase")
     out = work_path(spark, "tumbling-out")
     io.run_available(sw.tumbling_avg_stream(q, "10 days", "1 day", (), "ma10d"), "tumbling_avg_stream",
-                     "complete", foreach_batch=io.overwrite_into(out))
+                     "complete", foreach_batch=io.overwrite_into(out), state_partitions=_state_partitions(spark))
     r = spark.read.parquet(out)
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                     F.col("window_end").cast("timestamp_ntz").alias("window_end"), "ma10d", "n")
@@ -69,7 +76,8 @@ def window_ma_stream(spark, sf_dir):
     """Fine and containing-coarse means in one pass; windows closed by the watermark."""
     path = _land_lines(spark, sf_dir)
     out = work_path(spark, "window-ma-out")
-    io.run_available(sw.window_ma_stream(_parsed_stream(spark, path)), "window_ma_stream", "append", out)
+    io.run_available(sw.window_ma_stream(_parsed_stream(spark, path)), "window_ma_stream", "append", out,
+                     state_partitions=_state_partitions(spark))
     r = spark.read.parquet(out)
     return r.select("symbol", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")],
                     "ma10m", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("coarse_start", "coarse_end")],
@@ -97,7 +105,8 @@ def crossover_stream(spark, sf_dir):
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
                          schema="event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,2), cents bigint")
     out = work_path(spark, "crossover-out")
-    io.run_available(sx.crossover_stream(src, "1 hour"), "crossover_stream", "append", out)
+    io.run_available(sx.crossover_stream(src, "1 hour"), "crossover_stream", "append", out,
+                     state_partitions=_state_partitions(spark))
     return sx.finish(spark.read.parquet(out))
 
 
@@ -125,7 +134,8 @@ def backfill_dedup_stream(spark, sf_dir):
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
                          schema="chunk_no bigint, event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,2)")
     out = work_path(spark, "dedup-out")
-    io.run_available(hist.dedup_stream(src, "1 hour"), "backfill_dedup_stream", "append", out)
+    io.run_available(hist.dedup_stream(src, "1 hour"), "backfill_dedup_stream", "append", out,
+                     state_partitions=_state_partitions(spark))
     r = spark.read.parquet(out)
     return r.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "symbol", "price")
 

@@ -67,9 +67,25 @@ def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", f
     return path
 
 
+def _start_with(w, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start ``w``; with ``state_partitions``, the query's stateful operators get that many
+    partitions.  A streaming query copies the session's settings when it starts (and a
+    restart reads the count back from its checkpoint), so the session's own value is
+    restored right after."""
+    if not state_partitions:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append", out: str | None = None,
                   foreach_batch=None, checkpoint: str | None = None,
-                  fmt: str = "parquet") -> StreamingQuery:
+                  fmt: str = "parquet", state_partitions: int | None = None) -> StreamingQuery:
     """Process everything available now, checkpointed, and wait for it."""
     spark = df.sparkSession
     ck = checkpoint or work_path(spark, f"ckpt-{name}")
@@ -79,7 +95,7 @@ def run_available(df: DataFrame, name: str, mode: str = "append", out: str | Non
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(fmt).option("path", out)
-    q = w.start()
+    q = _start_with(w, spark, state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -105,7 +121,8 @@ def append_by_batch(path: str, transform=None):
 
 
 def start(df: DataFrame, name: str, checkpoint: str, mode: str = "append", out: str | None = None,
-          foreach_batch=None, fmt: str = "parquet", processing_time: str | None = None) -> StreamingQuery:
+          foreach_batch=None, fmt: str = "parquet", processing_time: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
     """Start a long-running query: fixed-interval micro-batches (``processing_time``,
     e.g. ``"15 seconds"``) or as fast as data arrives; always checkpointed, so a
     restarted driver resumes from the last committed batch."""
@@ -113,8 +130,8 @@ def start(df: DataFrame, name: str, checkpoint: str, mode: str = "append", out:
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     if foreach_batch is not None:
-        return w.foreachBatch(foreach_batch).start()
-    return w.format(fmt).option("path", out).start()
+        return _start_with(w.foreachBatch(foreach_batch), df.sparkSession, state_partitions)
+    return _start_with(w.format(fmt).option("path", out), df.sparkSession, state_partitions)
 
 
 def console(df: DataFrame, mode: str = "append", processing_time: str | None = None,
