@@ -51,3 +51,21 @@ def test_ship_package_is_idempotent(spark):
     ship_package(spark)
     ship_package(spark)
     assert getattr(spark.sparkContext, "_driftwood_shipped", False)
+
+
+def test_state_partitions_apply_to_the_query_only(spark):
+    import glob
+    import json
+    q = read_quotes(spark, SF_SMALL, "event_type")
+    landing = io.land_time_slices(q, work_path(spark, "t-sp-land"), 2, "ts")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,2), cents bigint")
+    agg = (src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
+           .groupBy("symbol", F.window("ts", "1 day")).agg(F.sum("cents").alias("s")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    ck = work_path(spark, "t-sp-ck")
+    io.run_available(agg, "t_sp", "append", work_path(spark, "t-sp-out"), checkpoint=ck, state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    first = sorted(glob.glob(f"{local_fs_path(ck)}/offsets/*"))[0]
+    meta = json.loads(open(first).read().splitlines()[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
