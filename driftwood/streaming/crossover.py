@@ -14,6 +14,7 @@ cents, and the not-yet-final rows (at most the rows of one watermark delay).
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,44 +33,55 @@ def _output_schema(symbol_type: str) -> str:
 
 
 def detector(fast: int = FAST, slow: int = SLOW, budget_cents: int = BUDGET_CENTS):
-    """The per-group state function for ``applyInPandasWithState``."""
+    """The per-group state function for ``applyInPandasWithState``.
+
+    Vectorized per call: the carried tail and the newly final rows form one cents
+    array, and every rolling sum is a difference of its prefix sums, so a hot symbol's
+    micro-batch costs a few numpy passes, not a Python loop per row.
+    """
+    cols = ["ts_us", "event_id", "cents"]
+
     def step(key, pdfs, state):
         if state.exists:
             rn, tail, pending = state.get
-            tail = [int(v) for v in tail]
-            pending = [(int(p[0]), int(p[1]), int(p[2])) for p in pending]
+            tail = np.asarray(tail, dtype=np.int64)
+            parts = [np.asarray([tuple(p) for p in pending], dtype=np.int64).reshape(-1, 3)]
         else:
-            rn, tail, pending = 0, [], []
-        for pdf in pdfs:
-            pending.extend(zip(pdf["ts_us"].tolist(), pdf["event_id"].tolist(), pdf["cents"].tolist()))
+            rn, tail, parts = 0, np.zeros(0, dtype=np.int64), []
+        parts += [pdf[cols].to_numpy(dtype=np.int64) for pdf in pdfs]
+        rows = np.concatenate(parts) if parts else np.zeros((0, 3), dtype=np.int64)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]  # (ts, event_id) order
         wm_ms = state.getCurrentWatermarkMs()
-        cut = wm_ms * 1000
-        pending.sort()
-        ready = [p for p in pending if p[0] <= cut]
-        rest = [p for p in pending if p[0] > cut]
-        rows = []
-        for ts_us, eid, c in ready:
-            prev_f, prev_s = sum(tail[-fast:]), sum(tail[-slow:])
-            tail.append(c)
-            del tail[:-slow]
-            rn += 1
-            cur_f, cur_s = sum(tail[-fast:]), sum(tail)
-            if rn >= slow + 1:
-                side = None
-                if cur_f * slow > cur_s * fast and not prev_f * slow > prev_s * fast:
-                    side = "buy"
-                elif cur_f * slow < cur_s * fast and not prev_f * slow < prev_s * fast:
-                    side = "sell"
-                if side:
-                    rows.append((key[0], ts_us, eid, side, c, budget_cents // c if c > 0 else None,
-                                 cur_f / float(fast * 100), cur_s / float(slow * 100)))
-        state.update((rn, tail, [list(p) for p in rest]))
-        if rest:
-            wake = -(-rest[0][0] // 1000) - 1
+        n_ready = int(np.searchsorted(rows[:, 0], wm_ms * 1000, side="right"))
+        ready, rest = rows[:n_ready], rows[n_ready:]
+
+        vals = np.concatenate([tail, ready[:, 2]])
+        cs = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(vals)])
+        t = np.arange(len(tail), len(vals))  # positions of the ready rows in vals
+
+        def window(end, width):  # sum of vals[end - width : end] (fewer at the start)
+            return cs[end] - cs[np.maximum(end - width, 0)]
+
+        cur_f, cur_s = window(t + 1, fast), window(t + 1, slow)
+        prev_f, prev_s = window(t, fast), window(t, slow)
+        warm = rn + 1 + np.arange(n_ready) >= slow + 1
+        gt, lt = cur_f * slow > cur_s * fast, cur_f * slow < cur_s * fast
+        pgt, plt = prev_f * slow > prev_s * fast, prev_f * slow < prev_s * fast
+        buy, sell = warm & gt & ~pgt, warm & lt & ~plt
+
+        state.update((rn + n_ready, vals[-slow:].tolist(), rest.tolist()))
+        if len(rest):
+            wake = -(-int(rest[0, 0]) // 1000) - 1
             state.setTimeoutTimestamp(max(wake, wm_ms))
-        if rows:
-            cols = ["symbol", "ts_us", "event_id", "side", "cents", "shares", "ma_fast", "ma_slow"]
-            yield pd.DataFrame(rows, columns=cols)
+        hit = np.flatnonzero(buy | sell)
+        if len(hit):
+            c = ready[hit, 2]
+            shares = pd.array(np.where(c > 0, budget_cents // np.maximum(c, 1), 0), dtype="Int64")
+            shares[c <= 0] = pd.NA
+            yield pd.DataFrame({
+                "symbol": [key[0]] * len(hit), "ts_us": ready[hit, 0], "event_id": ready[hit, 1],
+                "side": np.where(buy[hit], "buy", "sell"), "cents": c, "shares": shares,
+                "ma_fast": cur_f[hit] / float(fast * 100), "ma_slow": cur_s[hit] / float(slow * 100)})
     return step
 
 

@@ -65,3 +65,19 @@ def test_restart_from_checkpoint(spark):
     got = run_stream(spark, landing, ck, out)
     max_ts = q.agg(F.max("ts")).collect()[0][0]
     assert rows(got, COLS) == rows(batch_final(q, max_ts), COLS)
+
+
+def test_hot_symbols_equal_batch(spark):
+    """Five symbols, thousands of rows each per micro-batch (the vectorized path)."""
+    q = read_quotes(spark, SF_MID, "event_type")
+    landing = io.land_time_slices(q, work_path(spark, "t-land-hot"), 3, "ts")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema=SCHEMA.replace("symbol bigint", "symbol string"))
+    out = work_path(spark, "t-out-hot")
+    io.run_available(sx.crossover_stream(src, "1 hour", symbol_type="string"), "t_hot", "append", out,
+                     checkpoint=work_path(spark, "t-ck-hot"))
+    got = sx.finish(spark.read.parquet(out))
+    max_ts = q.agg(F.max("ts")).collect()[0][0]
+    want = batch_final(q, max_ts)
+    assert got.count() > 100
+    assert rows(got, COLS) == rows(want, COLS)
