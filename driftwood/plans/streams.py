@@ -30,6 +30,7 @@ def _state_partitions(spark):
     state partition)."""
     return spark.sparkContext.defaultParallelism
 
+
 # Closed-window accounting: the final watermark is (max event time in ms) - delay;
 # append mode emits a coarse window once its end is at or before it.  Lines carry
 # whole seconds, so the stream's event times are the table's, truncated.
