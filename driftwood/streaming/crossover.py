@@ -45,10 +45,10 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_cents: int = BUDGET_CENT
         if state.exists:
             rn, tail, pending = state.get
             tail = np.asarray(tail, dtype=np.int64)
-            parts = [np.asarray([tuple(p) for p in pending], dtype=np.int64).reshape(-1, 3)]
+            parts = [np.array(pending, dtype=np.int64).reshape(-1, 3)]
         else:
             rn, tail, parts = 0, np.zeros(0, dtype=np.int64), []
-        parts += [pdf[cols].to_numpy(dtype=np.int64) for pdf in pdfs]
+        parts += [np.column_stack([pdf[c].to_numpy(dtype=np.int64) for c in cols]) for pdf in pdfs]
         rows = np.concatenate(parts) if parts else np.zeros((0, 3), dtype=np.int64)
         rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]  # (ts, event_id) order
         wm_ms = state.getCurrentWatermarkMs()
@@ -76,8 +76,11 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_cents: int = BUDGET_CENT
         hit = np.flatnonzero(buy | sell)
         if len(hit):
             c = ready[hit, 2]
-            shares = pd.array(np.where(c > 0, budget_cents // np.maximum(c, 1), 0), dtype="Int64")
-            shares[c <= 0] = pd.NA
+            if (c > 0).all():
+                shares = budget_cents // c
+            else:  # no whole number of shares for a non-positive price
+                shares = pd.array(np.where(c > 0, budget_cents // np.maximum(c, 1), 0), dtype="Int64")
+                shares[c <= 0] = pd.NA
             yield pd.DataFrame({
                 "symbol": [key[0]] * len(hit), "ts_us": ready[hit, 0], "event_id": ready[hit, 1],
                 "side": np.where(buy[hit], "buy", "sell"), "cents": c, "shares": shares,
