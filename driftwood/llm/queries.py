@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, pii, secrets
+from . import chat, decontam, packing, pii, secrets
 from .common import read_table
 
 QUERIES, ORACLE = {}, {}
@@ -55,3 +55,16 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole text of ``documents``."""
     return pii.pii_digests(pii.find_pii(read_table(spark, sf_dir, "documents")))
+
+
+@query("op9_decontam")
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of ``benchmark`` in every whole text of ``documents``."""
+    found = decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontam.leak_digests(found)
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of 2048 tokens."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
