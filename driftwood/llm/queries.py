@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontam, packing, pii, secrets
+from . import chat, decontam, licenses, packing, pii, secrets, toxicity
 from .common import read_table
 
 QUERIES, ORACLE = {}, {}
@@ -68,3 +69,18 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of 2048 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of ``documents``, learnt from the labels that aren't held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op4_licenses", licenses.duckdb_sql())
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences and licence notices in every whole text of ``documents``."""
+    return licenses.find_licenses(read_table(spark, sf_dir, "documents"))
