@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, packing, pii, secrets, toxicity
+from . import ann, chat, decontam, licenses, packing, pii, secrets, toxicity
 from .common import read_table
 
 QUERIES, ORACLE = {}, {}
@@ -84,3 +84,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known licences and licence notices in every whole text of ``documents``."""
     return licenses.find_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@query("op2_ann")
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all ``embeddings`` for every row whose id is divisible by 20."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest_neighbors(rows, rows.where("vec_id % 20 = 0"), k=20)
