@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, licenses, packing, pii, secrets, toxicity
+from . import ann, chat, decontam, licenses, packing, pii, probminhash, secrets, toxicity
 from .common import read_table
 
 QUERIES, ORACLE = {}, {}
@@ -91,3 +91,9 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all ``embeddings`` for every row whose id is divisible by 20."""
     rows = read_table(spark, sf_dir, "embeddings")
     return ann.nearest_neighbors(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op3_minhash")
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every row of ``documents``."""
+    return probminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
