@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, licenses, packing, pii, probminhash, secrets, toxicity
+from . import ann, chat, decontam, licenses, packing, pii, probminhash, repeats, secrets, toxicity
 from .common import read_table
 
 QUERIES, ORACLE = {}, {}
@@ -97,3 +97,9 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every row of ``documents``."""
     return probminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op8_repeats")
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of ``documents`` without repeated 200-byte strings."""
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
