@@ -122,6 +122,7 @@ def signatures_rowwise(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def signatures_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     num_hashes: int = NUM_HASHES, modulus: int = MODULUS) -> DataFrame:
-    """``(doc_id, i, minhash)``: one row per signature entry (the printed report, as rows)."""
+    """``(doc_id, i, minhash)``: one row per signature entry (the printed report, as rows); a text
+    without shingles gives one row of nulls."""
     sig = signatures(docs, id_col, text_col, num_hashes, modulus)
-    return sig.select(id_col, F.posexplode("signature").alias("i", "minhash"))
+    return sig.select(id_col, F.posexplode_outer("signature").alias("i", "minhash"))

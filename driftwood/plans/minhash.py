@@ -32,17 +32,12 @@ def minhash_signature(spark, sf_dir):
 
 
 @register("minhash_long", f"""{SIG}
-SELECT doc_id, CAST(generate_subscripts(signature, 1) - 1 AS INTEGER) AS i, unnest(signature) AS minhash FROM s""")
+SELECT doc_id, CAST(generate_subscripts(signature, 1) - 1 AS INTEGER) AS i, unnest(signature) AS minhash FROM s
+WHERE signature IS NOT NULL UNION ALL SELECT doc_id, NULL, NULL FROM s WHERE signature IS NULL""")
 def minhash_long(spark, sf_dir):
     return mh.signatures_long(_docs(spark, sf_dir))
 
 
-@register("minhash_relational", f"{SIG} SELECT doc_id, signature FROM s")
-def minhash_relational(spark, sf_dir):
-    """Same signatures through the join + aggregate plan (cross-check of the kernel)."""
-    return mh.signatures_relational(_docs(spark, sf_dir))
-
-
 @register("minhash_review_csv", f"{SIG} SELECT doc_id AS review_id, signature FROM s")
 def minhash_review_csv(spark, sf_dir):
     """Signatures of reviews read from a landed header CSV (``Review Text``)."""

@@ -79,9 +79,9 @@ def tokenize_explode(spark, sf_dir):
     return _tokens(spark, sf_dir)
 
 
-@register("lexicon_scan", f"WITH {LEX} SELECT word, valence FROM lex")
+@register("lexicon_scan", f"WITH {LEX} SELECT word, valence FROM lex WHERE NOT regexp_matches(word, '[\\n\\r]')")
 def lexicon_scan(spark, sf_dir):
-    path = lx.land_lexicon_tsv(_lexicon(spark, sf_dir), work_path(spark, "lexicon-tsv"))
+    path = lx.land_lexicon_tsv(lx.plain_words(_lexicon(spark, sf_dir)), work_path(spark, "lexicon-tsv"))
     return lx.scan_lexicon(spark, path)
 
 

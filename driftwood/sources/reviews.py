@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REVIEW_COL = "Review Text"
-_CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# An empty field is null, a quoted empty one is the empty text; blanks belong to the text.  (Reading, the
+# value that stands for an empty field must differ from the one that stands for a quoted empty field.)
+_CSV = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "nullValue": "", "emptyValue": '""',
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def land_review_csv(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> str:
@@ -17,5 +20,5 @@ def land_review_csv(docs: DataFrame, path: str, id_col: str = "doc_id", text_col
 
 def scan_review_csv(spark: SparkSession, path: str) -> DataFrame:
     """``(review_id, text)``; a missing review stays null (the MinHash reads it as ``nan``)."""
-    raw = spark.read.schema(f"review_id string, `{REVIEW_COL}` string").options(**_CSV).csv(path)
+    raw = spark.read.schema(f"review_id string, `{REVIEW_COL}` string").options(**{**_CSV, "nullValue": "\x00", "emptyValue": ""}).csv(path)
     return raw.select(F.col("review_id").try_cast("bigint").alias("review_id"), F.col(f"`{REVIEW_COL}`").alias("text"))

@@ -18,7 +18,7 @@ def py_signature(text, n=200, m=1119):
 
 
 def test_bruteforce_on_hand_texts(spark):
-    texts = ["zain is courageous and practice perserverance", "a a a b", "  ", None, "x"]
+    texts = ["seven grey herons stand in the shallow water", "a a a b", "  ", None, "x"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r["doc_id"]: r["signature"] for r in mh.signatures(df).collect()}
     for i, t in enumerate(texts):
@@ -41,3 +41,9 @@ def test_vectorized_equals_relational_on_documents(spark):
     sample = d.orderBy("doc_id").limit(5).collect()
     for r in sample:
         assert a[r["doc_id"]] == py_signature(r["text"])
+
+
+def test_long_report_keeps_texts_without_words(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "  ")], "doc_id long, text string")
+    got = mh.signatures_long(df).collect()
+    assert {r["doc_id"] for r in got} == {1, 2} and [(r["i"], r["minhash"]) for r in got if r["doc_id"] == 2] == [(None, None)]

@@ -27,10 +27,27 @@ def test_whitespace_tokens_match_python_split(spark):
 
 def test_lexicon_tsv_round_trip(spark):
     lex = lx.lexicon_from_texts(read_table(spark, SF_SMALL, "benchmark"))
-    path = lx.land_lexicon_tsv(lex, work_path(spark, "t-lex"))
-    assert rows(lx.scan_lexicon(spark, path)) == rows(lex)
-    # quoted fields with tabs / line breaks survive
-    assert lex.filter(F.col("word").contains("\n")).count() > 0
+    plain = lx.plain_words(lex)
+    path = lx.land_lexicon_tsv(plain, work_path(spark, "t-lex"))
+    assert rows(lx.scan_lexicon(spark, path)) == rows(plain) and lx.lexicon_rejects(spark, path).count() == 0
+    assert 0 < lex.count() - plain.count() < plain.count()
+
+
+def test_lexicon_file_of_another_writer(spark):
+    lines = ["word\t-5", "\t3", '"quoted\t1', "\ttabbed\t2", " blank \t4", "\x0bq\t-4", "no tab", "bad\tx", ""]
+    path = work_path(spark, "t-lex2")
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(path)
+    got = {(r.word, r.valence) for r in lx.scan_lexicon(spark, path).collect()}
+    assert got == {("word", -5), ("", 3), ('"quoted', 1), ("\ttabbed", 2), (" blank ", 4), ("\x0bq", -4)}
+    assert sorted(r.line for r in lx.lexicon_rejects(spark, path).collect()) == ["", "bad\tx", "no tab"]
+
+
+def test_review_csv_keeps_empty_and_blanks(spark):
+    from driftwood.sources import reviews as rv
+    texts = ["", None, "  lead", "trail  ", 'q"uo"te', "two\nlines", "a,b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.review_id: r.text for r in rv.scan_review_csv(spark, rv.land_review_csv(df, work_path(spark, "t-rev"))).collect()}
+    assert got == dict(enumerate(texts))
 
 
 @pytest.fixture(scope="module")
