@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import bloom
 from ..session import work_path
 from ..sources import documents as docs
 from ..sources import quotes as qs
@@ -21,7 +20,8 @@ from . import text as pt
 from . import windows as pw
 from .registry import register
 
-N_FILES = 4
+N_FILES = 4  # slices of a replay at least
+N_DOC_SLICES = 4  # micro-batches of the document-line replays
 
 
 def _state_partitions(spark):
@@ -46,12 +46,7 @@ def _land_lines(spark, sf_dir, symbol="event_type"):
     """Quote lines in event-time order, as N_FILES text files."""
     q = read_quotes(spark, sf_dir, symbol)
     rows = q.select("ts", qs.line4().alias("value"))
-    return io.land_time_slices(rows, work_path(spark, "replay-lines"), N_FILES, "ts", fmt="text")
-
-
-@register("replay_landing", QUERY_SQL["quote_render"])
-def replay_landing(spark, sf_dir):
-    return spark.read.text(_land_lines(spark, sf_dir))
+    return io.land_time_slices(rows, work_path(spark, "replay-lines"), io.slices_for(rows, N_FILES), "ts", fmt="text")
 
 
 def _parsed_stream(spark, path):
@@ -89,7 +84,7 @@ def window_ma_stream(spark, sf_dir):
 def bloom_stream(spark, sf_dir):
     """Token verdicts scored per micro-batch of a document-line stream."""
     lines = docs.document_lines(read_documents(spark, sf_dir))
-    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_FILES, "doc_id")
+    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_DOC_SLICES, "doc_id")
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "bloom-stream-out")
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
@@ -102,9 +97,9 @@ def bloom_stream(spark, sf_dir):
 def crossover_stream(spark, sf_dir):
     """Keyed-state detector over a time-ordered replay (symbol = user_id, 1 h delay)."""
     q = read_quotes(spark, sf_dir, "user_id")
-    landing = io.land_time_slices(q, work_path(spark, "replay-quotes"), N_FILES, "ts")
+    landing = io.land_time_slices(q, work_path(spark, "replay-quotes"), io.slices_for(q, N_FILES), "ts")
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
-                         schema="event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,2), cents bigint")
+                         schema="event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,6), units bigint")
     out = work_path(spark, "crossover-out")
     io.run_available(sx.crossover_stream(src, "1 hour"), "crossover_stream", "append", out,
                      state_partitions=_state_partitions(spark))
@@ -115,7 +110,7 @@ def crossover_stream(spark, sf_dir):
 def sentence_gate_stream(spark, sf_dir):
     """Lines without a positive token, gated per micro-batch of a document-line stream."""
     lines = docs.document_lines(read_documents(spark, sf_dir))
-    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_FILES, "doc_id")
+    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_DOC_SLICES, "doc_id")
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "sentence-gate-out")
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
@@ -131,14 +126,12 @@ def backfill_dedup_stream(spark, sf_dir):
     from ..sources import history as hist
     h = read_quotes(spark, sf_dir, "event_type").select("event_id", "ts", "symbol", "price")
     bf = hist.backfill_overlap(h, "7 days", "30 minutes")
-    landing = io.land_time_slices(bf, work_path(spark, "replay-backfill"), N_FILES, "ts")
+    landing = io.land_time_slices(bf, work_path(spark, "replay-backfill"), io.slices_for(bf, N_FILES), "ts")
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
-                         schema="chunk_no bigint, event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,2)")
+                         schema="chunk_no bigint, event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,6)")
     out = work_path(spark, "dedup-out")
     io.run_available(hist.dedup_stream(src, "1 hour"), "backfill_dedup_stream", "append", out,
                      state_partitions=_state_partitions(spark))
     r = spark.read.parquet(out)
     return r.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "symbol", "price")
 
-
-__all__ = ["bloom", "pw"]

@@ -38,8 +38,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the session has none (unit tests, a laptop) do we create and set a
-    local one; on a cluster the configured shared folder is always used.
+    Only a local master without one (unit tests, a laptop) gets a folder made here; a
+    cluster has to name a shared one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -47,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):  # executors on other machines would not see the folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="driftwood-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir().rstrip("/")

@@ -30,6 +30,11 @@ def line_source(spark: SparkSession, fmt: str = "text", path: str | None = None,
     return r.schema(schema).format(fmt).load(path)
 
 
+def slices_for(rows: DataFrame, least: int) -> int:
+    """Slices of about one scan split each, so that the files' size doesn't grow with the table."""
+    return max(least, rows.rdd.getNumPartitions())
+
+
 def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", fmt: str = "parquet",
                      files_per_slice: int = 1) -> str:
     """Land ``rows`` as ``n_files`` event-time slices, oldest first.
@@ -38,9 +43,9 @@ def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", f
     bounded sketch; no row moves); each slice is appended by its own job, so the
     file source (which takes files in modification-time order) replays the slices
     in event-time order.  Each job reads only its slice (the range filter is pushed
-    to the scan) and writes ``files_per_slice`` files: pick it so that one file is
-    a task's worth of rows (a replay reader then sets ``maxFilesPerTrigger`` to a
-    multiple of it; order within a micro-batch does not matter to event time).
+    to the scan) with all its tasks, shuffles it into ``files_per_slice`` files and sorts each: choose
+    ``n_files`` so that a slice is a task's worth of rows (``slices_for``); a replay reader then sets
+    ``maxFilesPerTrigger`` to ``files_per_slice``.  Rows without a time stay, in the first slice.
     """
     dtype = rows.schema[ts].dataType.simpleString()
     probs = [i / n_files for i in range(1, n_files)]
@@ -52,13 +57,14 @@ def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", f
         # n_files - 1 cut values: a bounded, tiny result, not the data
         cuts = list(dict.fromkeys(v for v in (q.collect()[0]["q"] or []) if v is not None))
     edges = [None, *cuts, None]
-    for lo, hi in zip(edges, edges[1:]):
+    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
         part = rows
         if lo is not None:
             part = part.filter(F.col(ts) >= F.lit(lo).cast(dtype))
         if hi is not None:
-            part = part.filter(F.col(ts) < F.lit(hi).cast(dtype))
-        part = part.sortWithinPartitions(ts).coalesce(files_per_slice)
+            before = F.col(ts) < F.lit(hi).cast(dtype)
+            part = part.filter(before | F.col(ts).isNull() if i == 0 else before)  # rows without a time come first
+        part = part.repartitionByRange(files_per_slice, ts).sortWithinPartitions(ts)
         if fmt == "text":
             part.select("value").write.mode("append").text(path)
             continue

@@ -47,6 +47,36 @@ def test_landing_bigint_key(spark):
     assert landed.count() == 1000 and landed.select("doc_id").distinct().count() == 1000
 
 
+def test_landing_keeps_rows_without_a_time(spark):
+    q = read_quotes(spark, SF_SMALL, "user_id")
+    q = q.withColumn("ts", F.when(F.col("event_id") % 10 > 0, F.col("ts")))
+    for n in (1, 4):
+        landed = spark.read.parquet(io.land_time_slices(q, work_path(spark, "t-slices-null"), n, "ts"))
+        assert rows(landed) == rows(q.select(*landed.columns))
+
+
+def test_landing_scans_with_all_tasks(spark):
+    wide = spark.range(0, 10_000, 1, 8).select(F.timestamp_seconds("id").alias("ts"), "id")
+    assert io.slices_for(wide, 4) == 8
+    landed = spark.read.parquet(io.land_time_slices(wide, work_path(spark, "t-slices-wide"), 8, "ts"))
+    assert landed.count() == 10_000
+
+
+def test_cluster_needs_a_shared_folder(spark):
+    import pytest
+    from driftwood import session
+
+    class Context:
+        master = "spark://host"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.checkpoint.dir": None}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
 def test_ship_package_is_idempotent(spark):
     ship_package(spark)
     ship_package(spark)
@@ -59,9 +89,9 @@ def test_state_partitions_apply_to_the_query_only(spark):
     q = read_quotes(spark, SF_SMALL, "event_type")
     landing = io.land_time_slices(q, work_path(spark, "t-sp-land"), 2, "ts")
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
-                         schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,2), cents bigint")
+                         schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,6), units bigint")
     agg = (src.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
-           .groupBy("symbol", F.window("ts", "1 day")).agg(F.sum("cents").alias("s")))
+           .groupBy("symbol", F.window("ts", "1 day")).agg(F.sum("units").alias("s")))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     ck = work_path(spark, "t-sp-ck")
     io.run_available(agg, "t_sp", "append", work_path(spark, "t-sp-out"), checkpoint=ck, state_partitions=3)
