@@ -1,8 +1,9 @@
 """Exact price arithmetic.
 
-Prices travel as integer cents: sums of cents are exact, rolling means compare
-exactly (``4*sum10 > sum40``) and the displayed mean is one IEEE division of an
-exact integer, which any engine reproduces bit for bit.
+Prices are ``decimal(18,6)`` and travel as integer *units* (millionths of the currency):
+sums of units are exact, rolling means compare exactly (``4*sum10 > sum40``) and the
+displayed mean is one IEEE division of an exact integer, which any engine reproduces bit
+for bit.  A price with more than six decimals is rejected where it is parsed, never rounded.
 """
 
 from __future__ import annotations
@@ -12,23 +13,33 @@ from pyspark.sql import functions as F
 
 from .timefmt import py_datetime_str
 
+PRICE_TYPE = "decimal(18,6)"
+UNITS = 1_000_000  # units of one currency unit
 # Fixed values of the trading rule: a $100,000 budget per signal.
-BUDGET_CENTS = 100_000 * 100
+BUDGET_UNITS = 100_000 * UNITS
 
 
-def cents(price: Column) -> Column:
-    """Price (double or decimal with at most 2 decimals) -> bigint cents."""
-    return F.round(price.cast("double") * 100).cast("bigint")
+def units(price: Column) -> Column:
+    """Price -> bigint units; null for a null price."""
+    return (price.cast(PRICE_TYPE) * UNITS).cast("bigint")
 
 
-def shares_for_budget(price_cents: Column, budget_cents: int = BUDGET_CENTS) -> Column:
+def price_of(price_units: Column) -> Column:
+    """Units -> the exact decimal price."""
+    return (price_units.cast("decimal(24,0)") / UNITS).cast(PRICE_TYPE)
+
+
+def price_text(price: Column) -> Column:
+    """``185.50``, ``0.004``: at least two decimals, no further trailing zeros."""
+    return F.regexp_replace(price.cast(PRICE_TYPE).cast("string"), "0{1,4}$", "")
+
+
+def shares_for_budget(price_units: Column, budget_units: int = BUDGET_UNITS) -> Column:
     """Whole shares the budget buys (truncation, like int(100000 / price)); null if price <= 0."""
-    return F.when(price_cents > 0, F.floor(F.lit(budget_cents) / price_cents).cast("bigint"))
+    return F.when(price_units > 0, F.call_function("div", F.lit(budget_units).cast("bigint"), price_units))
 
 
-def signal_message(ts: Column, side: Column, symbol: Column, shares: Column, price_cents: Column) -> Column:
+def signal_message(ts: Column, side: Column, symbol: Column, shares: Column, price_units: Column) -> Column:
     """``(2024-01-02 09:30:00 buy AAPL) - 539 shares at $185.50``."""
-    price_txt = F.format_string("%d.%02d", F.floor(price_cents / 100).cast("bigint"),
-                                F.pmod(price_cents, F.lit(100)).cast("bigint"))
-    return F.format_string("(%s %s %s) - %d shares at $%s",
-                           py_datetime_str(ts), side, symbol.cast("string"), shares, price_txt)
+    return F.format_string("(%s %s %s) - %d shares at $%s", py_datetime_str(ts), side, symbol.cast("string"), shares,
+                           price_text(price_of(price_units)))

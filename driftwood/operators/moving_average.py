@@ -1,8 +1,9 @@
 """Moving averages over quotes and the golden/death-cross detector.
 
-Quotes are ``(event_id, ts, symbol, price, cents)``; order within a symbol is
-``(ts, event_id)`` (the id breaks timestamp ties deterministically).  Means are
-compared exactly on integer sums: ``ma_f > ma_s  <=>  sum_f * s > sum_s * f``.
+Quotes are ``(event_id, ts, symbol, price, units)``; order within a symbol is
+``(ts, event_id)`` (the id breaks timestamp ties deterministically).
+Rows without a symbol, a time or a price take no part (``sources.quotes.usable``).  Means are
+compared exactly on integer sums of units: ``ma_f > ma_s  <=>  sum_f * s > sum_s * f``.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import shares_for_budget, signal_message
+from ..functions.money import UNITS, price_of, shares_for_budget, signal_message
+from ..sources.quotes import usable
 from .rolling import rolling_sums
 
 ORDER = ("ts", "event_id")
@@ -19,17 +21,17 @@ FAST, SLOW = 10, 40
 
 
 def _mean(sum_col: Column, width: int) -> Column:
-    """Mean price in currency units from a sum of cents (one IEEE division)."""
-    return sum_col.cast("double") / F.lit(float(width * 100))
+    """Mean price in currency units from a sum of units (one IEEE division)."""
+    return sum_col.cast("double") / F.lit(float(width * UNITS))
 
 
 def with_moving_averages(quotes: DataFrame, fast: int = FAST, slow: int = SLOW,
                          bucket: str = "1 day") -> DataFrame:
-    """``symbol, ts, event_id, cents, price`` plus ``rn, sum_f, sum_s, prev_sum_f, prev_sum_s``
-    and ``ma_f``/``ma_s`` (null before warm-up).  ``price`` is re-derived exactly from cents."""
-    r = rolling_sums(quotes, "symbol", ORDER, "cents", (fast, slow), bucket)
+    """``symbol, ts, event_id, units, price`` plus ``rn, sum_f, sum_s, prev_sum_f, prev_sum_s``
+    and ``ma_f``/``ma_s`` (null before warm-up).  ``price`` is re-derived exactly from units."""
+    r = rolling_sums(usable(quotes), "symbol", ORDER, "units", (fast, slow), bucket)
     return r.withColumns({
-        "price": (F.col("cents").cast("decimal(20,0)") / 100).cast("decimal(18,2)"),
+        "price": price_of(F.col("units")),
         f"ma{fast}": F.when(F.col("rn") >= fast, _mean(F.col(f"sum_{fast}"), fast)),
         f"ma{slow}": F.when(F.col("rn") >= slow, _mean(F.col(f"sum_{slow}"), slow)),
     })
@@ -37,7 +39,7 @@ def with_moving_averages(quotes: DataFrame, fast: int = FAST, slow: int = SLOW,
 
 def rolling_ma(quotes: DataFrame, width: int = FAST, bucket: str = "1 day") -> DataFrame:
     """Rows whose ``width``-row buffer is full: ``(symbol, ts, event_id, ma{width})``."""
-    r = rolling_sums(quotes, "symbol", ORDER, "cents", (width,), bucket)
+    r = rolling_sums(usable(quotes), "symbol", ORDER, "units", (width,), bucket)
     return (r.filter(F.col("rn") >= width)
             .select("symbol", "ts", "event_id", _mean(F.col(f"sum_{width}"), width).alias(f"ma{width}")))
 
@@ -77,15 +79,15 @@ def crossover_signals(quotes: DataFrame, fast: int = FAST, slow: int = SLOW, buc
     side = F.when(ready & gt & ~pgt, F.lit("buy")).when(ready & lt & ~plt, F.lit("sell"))
     return (m.withColumn("side", side).filter(F.col("side").isNotNull())
             .select("symbol", "ts", "event_id", "side", "price",
-                    shares_for_budget(F.col("cents")).alias("shares"),
-                    F.col(f"ma{fast}"), F.col(f"ma{slow}"), "cents"))
+                    shares_for_budget(F.col("units")).alias("shares"),
+                    F.col(f"ma{fast}"), F.col(f"ma{slow}"), "units"))
 
 
 def crossover_messages(signals: DataFrame) -> DataFrame:
     """``(ts side SYMBOL) - n shares at $p.pp`` for each signal row."""
     return signals.select("symbol", "ts", "event_id",
                           signal_message(F.col("ts"), F.col("side"), F.col("symbol"),
-                                         F.col("shares"), F.col("cents")).alias("message"))
+                                         F.col("shares"), F.col("units")).alias("message"))
 
 
 def batch_local_ma(quotes: DataFrame, batch: Column | str, arrival: str = "event_id",
@@ -95,9 +97,9 @@ def batch_local_ma(quotes: DataFrame, batch: Column | str, arrival: str = "event
     Partitions are ``(batch, symbol)``, bounded by the batch size.
     """
     b = F.col(batch) if isinstance(batch, str) else batch
-    d = quotes.withColumn("batch_id", b)
+    d = usable(quotes).withColumn("batch_id", b)
     w = Window.partitionBy("batch_id", "symbol").orderBy(arrival)
-    full = F.count("cents").over(w.rowsBetween(-(width - 1), 0)) == width
-    s = F.sum("cents").over(w.rowsBetween(-(width - 1), 0))
+    full = F.count("units").over(w.rowsBetween(-(width - 1), 0)) == width
+    s = F.sum("units").over(w.rowsBetween(-(width - 1), 0))
     return (d.withColumns({"_full": full, "_s": s}).filter("_full")
             .select("batch_id", "symbol", "ts", "event_id", _mean(F.col("_s"), width).alias(f"ma{width}")))

@@ -1,6 +1,6 @@
 """Event-time tumbling windows over quotes.
 
-Windows are epoch-aligned (``F.window``).  Means come from exact ``(sum of cents, n)``
+Windows are epoch-aligned (``F.window``).  Means come from exact ``(sum of units, n)``
 pairs, so a coarse window's mean can be rebuilt from its fine windows without
 touching the rows again.
 """
@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.money import UNITS
+from ..sources.quotes import usable
+
 
 def _seconds(width: str) -> int:
     n, unit = width.split()
@@ -19,25 +22,30 @@ def _seconds(width: str) -> int:
     return int(n) * mult[unit.rstrip("s")]
 
 
-def mean_of(sum_cents: Column, n: Column) -> Column:
-    """Mean price from a cents sum and a count (one IEEE division)."""
-    return sum_cents.cast("double") / (n * 100).cast("double")
+def mean_of(sum_units: Column, n: Column) -> Column:
+    """Mean price from a units sum and a count (one IEEE division)."""
+    return sum_units.cast("double") / (n * UNITS).cast("double")
+
+
+def usable_by(quotes: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Quotes that count for a mean: with a price, a time and (if it is a key) a symbol."""
+    return usable(quotes) if "symbol" in keys else quotes.filter("ts IS NOT NULL AND units IS NOT NULL")
 
 
 def window_sums(quotes: DataFrame, width: str, keys: Sequence[str] = ("symbol",),
                 ts: str = "ts") -> DataFrame:
-    """``(keys..., window_start, window_end, sum_cents, n)`` per tumbling window (partial+final agg)."""
+    """``(keys..., window_start, window_end, sum_units, n)`` per tumbling window (partial+final agg)."""
     w = F.window(ts, width)
-    return (quotes.groupBy(*keys, w.alias("w"))
-            .agg(F.sum("cents").alias("sum_cents"), F.count(F.lit(1)).alias("n"))
+    return (usable_by(quotes, keys).groupBy(*keys, w.alias("w"))
+            .agg(F.sum("units").alias("sum_units"), F.count(F.lit(1)).alias("n"))
             .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "sum_cents", "n"))
+                    "sum_units", "n"))
 
 
 def tumbling_avg(quotes: DataFrame, width: str, keys: Sequence[str] = ("symbol",),
                  name: str = "avg_price") -> DataFrame:
     s = window_sums(quotes, width, keys)
-    return s.select(*keys, "window_start", "window_end", mean_of(F.col("sum_cents"), F.col("n")).alias(name), "n")
+    return s.select(*keys, "window_start", "window_end", mean_of(F.col("sum_units"), F.col("n")).alias(name), "n")
 
 
 def _check_nesting(fine: str, coarse: str) -> None:
@@ -60,9 +68,9 @@ def window_ma_join(quotes: DataFrame, fine: str = "10 minutes", coarse: str = "4
     f = f.withColumns({"coarse_start": c.start, "coarse_end": c.end})
     wc = Window.partitionBy("symbol", "coarse_start")
     return f.select(
-        "symbol", "window_start", "window_end", mean_of(F.col("sum_cents"), F.col("n")).alias(fine_name),
+        "symbol", "window_start", "window_end", mean_of(F.col("sum_units"), F.col("n")).alias(fine_name),
         "coarse_start", "coarse_end",
-        mean_of(F.sum("sum_cents").over(wc), F.sum("n").over(wc)).alias(coarse_name))
+        mean_of(F.sum("sum_units").over(wc), F.sum("n").over(wc)).alias(coarse_name))
 
 
 def window_ma_outer(quotes: DataFrame, fine: str = "10 days", coarse: str = "40 days",
@@ -82,9 +90,9 @@ def window_ma_outer(quotes: DataFrame, fine: str = "10 days", coarse: str = "40
     if coarse_filter is not None:
         c = c.filter(coarse_filter)
     f = f.select("symbol", "window_start", "window_end",
-                 mean_of(F.col("sum_cents"), F.col("n")).alias(fine_name),
+                 mean_of(F.col("sum_units"), F.col("n")).alias(fine_name),
                  F.window("window_start", coarse).start.alias("coarse_start"))
     c = c.select("symbol", F.col("window_start").alias("coarse_start"), F.col("window_end").alias("coarse_end"),
-                 mean_of(F.col("sum_cents"), F.col("n")).alias(coarse_name))
+                 mean_of(F.col("sum_units"), F.col("n")).alias(coarse_name))
     return f.join(c, ["symbol", "coarse_start"], "full").select(
         "symbol", "window_start", "window_end", fine_name, "coarse_start", "coarse_end", coarse_name)

@@ -14,7 +14,7 @@ from .registry import register
 # operators default to the reference's one-year step.
 STEP, OVERLAP = "7 days", "30 minutes"
 
-Q = """q AS (SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,2)) AS price FROM events)"""
+Q = """q AS (SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,6)) AS price FROM events)"""
 CHUNKS = f"""b AS (SELECT date_trunc('day', min(ts)) AS s, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS e FROM events),
 c AS (SELECT CAST(row_number() OVER (ORDER BY fs) - 1 AS BIGINT) AS chunk_no, fs AS fetch_start,
              least(fs + INTERVAL '{STEP}' + INTERVAL '{OVERLAP}', e) AS fetch_end
@@ -43,11 +43,12 @@ def backfill_dedup(spark, sf_dir):
 
 
 @register("union_sorted", f"""
-WITH {Q} SELECT event_id, ts, symbol, price FROM q WHERE symbol = 'purchase'
-UNION ALL SELECT event_id, ts, symbol, price FROM q WHERE symbol = 'view'""")
+WITH {Q} SELECT event_id, ts, symbol, price FROM q""")
 def union_sorted(spark, sf_dir):
+    """The histories of all symbols, one by one, in one sorted table."""
     h = _hist(spark, sf_dir)
-    return hist.union_sorted(h.filter(F.col("symbol") == "purchase"), h.filter(F.col("symbol") == "view"))
+    symbols = ("click", "error", "purchase", "signup", "view")  # fixed: the symbols of the events table
+    return hist.union_sorted(*[h.filter(F.col("symbol") == s) for s in symbols])
 
 
 @register("latest_per_symbol", f"""
@@ -58,7 +59,7 @@ def latest_per_symbol(spark, sf_dir):
 
 
 @register("latest_snapshot", f"""
-WITH {Q} SELECT concat_ws(',', symbol, CAST(arg_max(price, (ts, event_id)) AS VARCHAR)) AS value
+WITH {Q} SELECT concat_ws(',', symbol, CAST(CAST(arg_max(price, (ts, event_id)) AS DECIMAL(18,2)) AS VARCHAR)) AS value
 FROM q GROUP BY symbol""")
 def latest_snapshot(spark, sf_dir):
     path = hist.write_snapshot(hist.latest_per_symbol(_hist(spark, sf_dir)), work_path(spark, "snapshot"))
@@ -67,7 +68,7 @@ def latest_snapshot(spark, sf_dir):
 
 @register("quote_csv_scan", """
 SELECT CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS datetime, event_type AS stock,
-       CAST(value AS DECIMAL(18,2)) AS close FROM events""")
+       CAST(value AS DECIMAL(18,6)) AS close FROM events""")
 def quote_csv_scan(spark, sf_dir):
     path = qs.land_quote_csv(_hist(spark, sf_dir), work_path(spark, "quotes-csv"))
     return qs.scan_quote_csv(spark, path)
@@ -75,7 +76,7 @@ def quote_csv_scan(spark, sf_dir):
 
 @register("quote_json_latest", f"""
 WITH {Q} SELECT symbol, max(ts) AS ts, arg_max(price, (ts, event_id)) AS close,
-                concat_ws(',', symbol, CAST(arg_max(price, (ts, event_id)) AS VARCHAR)) AS line
+                concat_ws(',', symbol, CAST(CAST(arg_max(price, (ts, event_id)) AS DECIMAL(18,2)) AS VARCHAR)) AS line
 FROM q GROUP BY symbol""")
 def quote_json_latest(spark, sf_dir):
     path = qs.land_quote_json(_hist(spark, sf_dir), work_path(spark, "quotes-json"))
@@ -83,6 +84,6 @@ def quote_json_latest(spark, sf_dir):
 
 
 @register("history_lines", f"""
-WITH {Q} SELECT concat_ws(' ', CAST(CAST(ts AS DATE) AS VARCHAR), symbol, CAST(price AS VARCHAR)) AS value FROM q""")
+WITH {Q} SELECT concat_ws(' ', CAST(CAST(ts AS DATE) AS VARCHAR), symbol, CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR)) AS value FROM q""")
 def history_lines(spark, sf_dir):
-    return hist.render_history_lines(_hist(spark, sf_dir))
+    return qs.render_lines3(_hist(spark, sf_dir))

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import moving_average as ma
+from ..session import work_path
 from ..sources import quotes as qs
 from ..sources.tables import read_quotes, read_table, quotes_from_events
 from .registry import register
 
 # Shared DuckDB fragments -------------------------------------------------------------
-Q_USER = """q AS (SELECT event_id, ts, user_id AS symbol, CAST(value AS DECIMAL(18,2)) AS price,
+Q_USER = """q AS (SELECT event_id, ts, user_id AS symbol, CAST(value AS DECIMAL(18,6)) AS price,
                  CAST(round(value * 100) AS BIGINT) AS cents FROM events)"""
-Q_TYPE = """q AS (SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,2)) AS price,
+Q_TYPE = """q AS (SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,6)) AS price,
                  CAST(round(value * 100) AS BIGINT) AS cents FROM events)"""
 ROLL = """r AS (SELECT *, row_number() OVER w AS rn,
        sum(cents) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s10,
@@ -40,7 +41,7 @@ def quote_render(spark, sf_dir):
 
 @register("quote_parse4", """
 SELECT CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts, event_type AS symbol,
-       CAST(value AS DECIMAL(18,2)) AS price FROM events""")
+       CAST(value AS DECIMAL(18,6)) AS price FROM events""")
 def quote_parse4(spark, sf_dir):
     lines = qs.render_lines4(_q(spark, sf_dir, "event_type"))
     return qs.parse_lines4(lines).filter("ok").select("ts", "symbol", "price")
@@ -48,25 +49,37 @@ def quote_parse4(spark, sf_dir):
 
 @register("quote_parse3", """
 SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS ts, event_type AS symbol,
-       CAST(value AS DECIMAL(18,2)) AS price FROM events""")
+       CAST(value AS DECIMAL(18,6)) AS price FROM events""")
 def quote_parse3(spark, sf_dir):
     lines = qs.render_lines3(_q(spark, sf_dir, "event_type"))
     return qs.parse_lines3(lines).filter("ok").select("ts", "symbol", "price")
 
 
 @register("quote_rejects", """
-WITH l AS (
-  SELECT concat_ws(' ', CAST(CAST(ts AS DATE) AS VARCHAR), event_type,
-                   CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)) AS line FROM events)
-SELECT line, 'field_count' AS reject FROM l""")
+WITH p AS (
+  SELECT event_id % 7 AS k, strftime(ts, '%Y-%m-%d') AS d, strftime(ts, '%H:%M:%S') AS t, event_type AS s,
+         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS v FROM events),
+l AS (
+  SELECT k, CASE k WHEN 0 THEN concat_ws(' ', d, s, v) WHEN 1 THEN concat_ws(' ', d, t, s, v, 'x') WHEN 2 THEN concat_ws(' ', d, 'noon', s, v)
+                   WHEN 3 THEN concat_ws(' ', d, t, '', v) WHEN 4 THEN concat_ws(' ', d, t, s, 'n/a')
+                   WHEN 5 THEN concat_ws(' ', d, t, s, v || '0000001') ELSE concat_ws(' ', d, t, s, v) END AS line FROM p)
+SELECT line, CASE WHEN k <= 1 THEN 'field_count' WHEN k = 2 THEN 'bad_timestamp' WHEN k = 3 THEN 'bad_symbol'
+                  WHEN k = 4 THEN 'bad_price' ELSE 'bad_scale' END AS reject FROM l WHERE k < 6""")
 def quote_rejects(spark, sf_dir):
-    """3-field history lines fed to the 4-field parser: every line is rejected, none fails."""
-    lines = qs.render_lines3(_q(spark, sf_dir, "event_type"))
-    return qs.rejected(qs.parse_lines4(lines))
+    """Quote lines damaged in six ways (and left whole in a seventh): every reason to reject a line, none fails."""
+    token = F.split(qs.line4(), " ")
+    d, t, s, v = (F.get(token, F.lit(i)) for i in range(4))
+    damaged = [F.concat_ws(" ", d, s, v), F.concat_ws(" ", d, t, s, v, F.lit("x")), F.concat_ws(" ", d, F.lit("noon"), s, v),
+               F.concat_ws(" ", d, t, F.lit(""), v), F.concat_ws(" ", d, t, s, F.lit("n/a")),
+               F.concat_ws(" ", d, t, s, F.concat(v, F.lit("0000001"))), qs.line4()]
+    lines = _q(spark, sf_dir, "event_type").select(F.element_at(F.array(*damaged), (F.col("event_id") % 7 + 1).cast("int")).alias("value"))
+    path = work_path(spark, "damaged-lines")
+    lines.write.mode("overwrite").text(path)
+    return qs.rejected(qs.parse_lines4(spark.read.text(path)))
 
 
 @register("symbol_filter", """
-SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,2)) AS price
+SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,6)) AS price
 FROM events WHERE event_type IN ('purchase', 'view')""")
 def symbol_filter(spark, sf_dir):
     q = _q(spark, sf_dir, "event_type")
@@ -109,14 +122,14 @@ FROM s WHERE side IS NOT NULL"""
 
 @register("crossover_signals", CROSSOVER_SQL)
 def crossover_signals(spark, sf_dir):
-    return ma.crossover_signals(_q(spark, sf_dir)).drop("cents")
+    return ma.crossover_signals(_q(spark, sf_dir)).drop("units")
 
 
 @register("crossover_messages", f"""
 {SIGNALS}
 SELECT symbol, ts, event_id,
        printf('(%s %s %s) - %d shares at $%s', {PYTS}, side, CAST(symbol AS VARCHAR),
-              10000000 // cents, CAST(price AS VARCHAR)) AS message
+              10000000 // cents, CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR)) AS message
 FROM s WHERE side IS NOT NULL""")
 def crossover_messages(spark, sf_dir):
     return ma.crossover_messages(ma.crossover_signals(_q(spark, sf_dir)))

@@ -63,11 +63,13 @@ def window_ma_join(spark, sf_dir):
 
 
 @register("window_ma_outer", f"""
-WITH {Q}, f AS ({_agg_sql('10 days')}), c AS ({_agg_sql('40 days')})
+WITH {Q}, f AS (SELECT * FROM ({_agg_sql('10 days')}) WHERE n % 3 > 0), c AS (SELECT * FROM ({_agg_sql('40 days')}) WHERE n % 2 = 0)
 SELECT coalesce(f.symbol, c.symbol) AS symbol, f.window_start, f.window_end,
        {_mean('f.sum_cents', 'f.n')} AS ma10d, coalesce(c.window_start, f.cs) AS coarse_start,
        c.window_end AS coarse_end, {_mean('c.sum_cents', 'c.n')} AS ma40d
 FROM (SELECT *, time_bucket(INTERVAL '40 days', window_start, TIMESTAMP '1970-01-01') AS cs FROM f) f
 FULL OUTER JOIN c ON f.symbol = c.symbol AND f.cs = c.window_start""")
 def window_ma_outer(spark, sf_dir):
-    return win.window_ma_outer(read_quotes(spark, sf_dir, "event_type"), "10 days", "40 days")
+    """Windows whose count passes a filter of their side, so that either side has windows without a partner."""
+    return win.window_ma_outer(read_quotes(spark, sf_dir, "event_type"), "10 days", "40 days", fine_filter=F.col("n") % 3 > 0,
+                               coarse_filter=F.col("n") % 2 == 0)

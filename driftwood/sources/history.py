@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import price_text
 from ..functions.timefmt import SECOND_FMT
 
 # Fixed values of the reference backfill: one-year steps, 30-minute overlap.
@@ -93,17 +94,12 @@ def latest_per_symbol(quotes: DataFrame) -> DataFrame:
 
 
 def write_snapshot(latest: DataFrame, path: str) -> str:
-    """Replace the snapshot with ``SYMBOL,price`` lines (overwrite is atomic per job commit)."""
-    (latest.select(F.concat_ws(",", F.col("symbol").cast("string"), F.col("price").cast("string")).alias("value"))
+    """Write ``SYMBOL,price`` lines over the snapshot at ``path`` (the old lines are gone first: readers that
+    mustn't see a gap read a versioned path)."""
+    (latest.select(F.concat_ws(",", F.col("symbol").cast("string"), price_text(F.col("price"))).alias("value"))
      .write.mode("overwrite").text(path))
     return path
 
 
-def render_history_lines(history: DataFrame) -> DataFrame:
-    """``date symbol price`` (the replay format of the history feeder)."""
-    return history.select(F.concat_ws(" ", F.to_date("ts").cast("string"), F.col("symbol").cast("string"),
-                                      F.col("price").cast("string")).alias("value"))
-
-
 __all__ = ["backfill_chunks", "backfill_overlap", "dedup_overlap", "dedup_stream", "union_sorted", "latest_per_symbol",
-           "write_snapshot", "render_history_lines", "history_bounds", "SECOND_FMT"]
+           "write_snapshot", "history_bounds", "SECOND_FMT"]

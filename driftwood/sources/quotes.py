@@ -4,6 +4,8 @@ Line formats (single spaces):
 * 4 fields: ``yyyy-MM-dd HH:mm:ss SYMBOL PRICE``
 * 3 fields: ``yyyy-MM-dd SYMBOL PRICE`` (date only; the time of day is dropped)
 
+A price with more decimals than its type holds is rejected (``bad_scale``), not rounded.
+
 Parsers never fail on malformed input: a bad line yields ``ok = false`` with a
 ``reject`` reason and null typed fields; ``accepted``/``rejected`` split the two.
 """
@@ -13,17 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.money import cents
+from ..functions.money import PRICE_TYPE, price_text, units
 from ..functions.timefmt import SECOND_FMT
-from ..session import work_path
-
-PRICE_TYPE = "decimal(18,2)"
 
 
 def line4() -> Column:
     """``date time symbol price`` from the quote columns ``ts, symbol, price``."""
     return F.concat_ws(" ", F.date_format("ts", SECOND_FMT), F.col("symbol").cast("string"),
-                       F.col("price").cast("string"))
+                       price_text(F.col("price")))
 
 
 def render_lines4(quotes: DataFrame) -> DataFrame:
@@ -35,21 +34,44 @@ def render_lines3(quotes: DataFrame) -> DataFrame:
     """``date symbol price`` lines (history replay format: ``datetime.date()``, symbol, price)."""
     return quotes.select(
         F.concat_ws(" ", F.to_date("ts").cast("string"), F.col("symbol").cast("string"),
-                    F.col("price").cast("string")).alias("value"))
+                    price_text(F.col("price"))).alias("value"))
 
 
 def _tok(arr: Column, i: int) -> Column:
     return F.get(arr, F.lit(i))
 
 
+def _scale_fits(token: Column) -> Column:
+    """Whether the price type holds the written number exactly (it has to be a number)."""
+    return F.coalesce(token.try_cast("decimal(38,18)") == token.try_cast(PRICE_TYPE), F.lit(False))
+
+
+def _reject(fields: Column, ts: Column, symbol: Column, token: Column) -> Column:
+    """Why a line is rejected; null if it isn't."""
+    return (F.when(fields, F.lit("field_count"))
+            .when(ts.isNull(), F.lit("bad_timestamp"))
+            .when(symbol == "", F.lit("bad_symbol"))
+            .when(token.try_cast("double").isNull() | token.rlike("^[+-]?[a-zA-Z]"), F.lit("bad_price"))
+            .when(~_scale_fits(token), F.lit("bad_scale")))
+
+
+def usable(quotes: DataFrame, *, value: str = "units") -> DataFrame:
+    """The quotes that batch and stream work on alike: those with a symbol, a time and a price."""
+    return quotes.filter(F.col("symbol").isNotNull() & F.col("ts").isNotNull() & F.col(value).isNotNull())
+
+
+def unusable(quotes: DataFrame, *, value: str = "units") -> DataFrame:
+    """The others, with the reason."""
+    reason = (F.when(F.col("symbol").isNull(), F.lit("null_symbol")).when(F.col("ts").isNull(), F.lit("null_time"))
+              .when(F.col(value).isNull(), F.lit("null_price")))
+    return quotes.withColumn("reject", reason).filter(F.col("reject").isNotNull())
+
+
 def parse_lines4(lines: DataFrame, col: str = "value") -> DataFrame:
     toks = F.split(F.col(col), " ")
     ts = F.try_to_timestamp(F.concat_ws(" ", _tok(toks, 0), _tok(toks, 1)), F.lit(SECOND_FMT))
     price = _tok(toks, 3).try_cast(PRICE_TYPE)
-    n = F.size(toks)
-    reject = (F.when(n != 4, F.lit("field_count"))
-              .when(ts.isNull(), F.lit("bad_timestamp"))
-              .when(price.isNull(), F.lit("bad_price")))
+    reject = _reject(F.size(toks) != 4, ts, _tok(toks, 2), _tok(toks, 3))
     return lines.select(
         F.col(col).alias("line"),
         ts.cast("timestamp_ntz").alias("ts"),
@@ -63,10 +85,7 @@ def parse_lines3(lines: DataFrame, col: str = "value") -> DataFrame:
     toks = F.split(F.col(col), " ")
     ts = F.try_to_timestamp(_tok(toks, 0), F.lit("yyyy-MM-dd"))
     price = _tok(toks, 2).try_cast(PRICE_TYPE)
-    n = F.size(toks)
-    reject = (F.when(n != 3, F.lit("field_count"))
-              .when(ts.isNull(), F.lit("bad_timestamp"))
-              .when(price.isNull(), F.lit("bad_price")))
+    reject = _reject(F.size(toks) != 3, ts, _tok(toks, 1), _tok(toks, 2))
     return lines.select(
         F.col(col).alias("line"),
         ts.cast("timestamp_ntz").alias("ts"),
@@ -77,7 +96,7 @@ def parse_lines3(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("ok").select("ts", "symbol", "price", cents(F.col("price")).alias("cents"))
+    return parsed.filter("ok").select("ts", "symbol", "price", units(F.col("price")).alias("units"))
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
@@ -93,7 +112,7 @@ def land_quote_csv(quotes: DataFrame, path: str) -> str:
     """Write quotes as header CSV ``datetime, stock, close`` (the feeder's input file)."""
     (quotes.select(F.date_format("ts", SECOND_FMT).alias("datetime"),
                    F.col("symbol").cast("string").alias("stock"),
-                   F.col("price").cast("string").alias("close"))
+                   price_text(F.col("price")).alias("close"))
      .write.mode("overwrite").option("header", True).csv(path))
     return path
 
@@ -110,7 +129,7 @@ def scan_quote_csv(spark: SparkSession, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- JSON quotes
 
-JSON_SCHEMA = "symbol string, values array<struct<datetime:string, close:string>>"
+JSON_SCHEMA = "symbol string, values array<struct<datetime:string, close:string, id:bigint>>"
 
 
 def land_quote_json(quotes: DataFrame, path: str, page_rows: int = 16) -> str:
@@ -124,9 +143,9 @@ def land_quote_json(quotes: DataFrame, path: str, page_rows: int = 16) -> str:
      .agg(F.sort_array(F.collect_list(F.struct(
          F.col("ts").alias("k_ts"), F.col("event_id").alias("k_id"),
          F.date_format("ts", SECOND_FMT + ".SSSSSS").alias("datetime"),
-         F.col("price").cast("string").alias("close"))), asc=False).alias("v"))
+         price_text(F.col("price")).alias("close"))), asc=False).alias("v"))
      .select("symbol", F.transform("v", lambda s: F.struct(s["datetime"].alias("datetime"),
-                                                           s["close"].alias("close"))).alias("values"))
+                                                           s["close"].alias("close"), s["k_id"].alias("id"))).alias("values"))
      .write.mode("overwrite").json(path))
     return path
 
@@ -141,13 +160,9 @@ def latest_from_json(spark: SparkSession, path: str) -> DataFrame:
     heads = pages.select(
         "symbol",
         F.try_to_timestamp(head["datetime"], F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).cast("timestamp_ntz").alias("ts"),
-        head["close"].try_cast(PRICE_TYPE).alias("close"),
+        head["close"].try_cast(PRICE_TYPE).alias("close"), head["id"].alias("id"),
     ).filter(F.col("close").isNotNull() & F.col("ts").isNotNull())
     return (heads.groupBy("symbol")
-            .agg(F.max_by(F.struct("ts", "close"), F.col("ts")).alias("m"))
+            .agg(F.max_by(F.struct("ts", "close"), F.struct("ts", "id", "close")).alias("m"))
             .select("symbol", F.col("m.ts").alias("ts"), F.col("m.close").alias("close"),
-                    F.concat_ws(",", "symbol", F.col("m.close").cast("string")).alias("line")))
-
-
-def staged(spark: SparkSession, name: str) -> str:
-    return work_path(spark, name)
+                    F.concat_ws(",", "symbol", price_text(F.col("m.close"))).alias("line")))

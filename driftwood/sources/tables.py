@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.money import cents
+from ..functions.money import PRICE_TYPE, units
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,18 +34,18 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes_from_events(events: DataFrame, symbol: str = "user_id") -> DataFrame:
-    """events -> quotes ``(event_id, ts, symbol, price, cents)``.
+    """events -> quotes ``(event_id, ts, symbol, price, units)``.
 
     ``symbol`` picks the key column (``user_id``: many symbols; ``event_type``: five).
-    ``price`` is exact ``decimal(18,2)``; ``cents`` is the bigint used for arithmetic.
+    ``price`` is exact ``decimal(18,6)``; ``units`` (millionths) is the bigint used for arithmetic.
     ``ts`` stays ``timestamp_ntz`` (wall-clock, no zone) in batch plans.
     """
     return events.select(
         F.col("event_id"),
         F.col("ts"),
         F.col(symbol).alias("symbol"),
-        F.col("value").cast("decimal(18,2)").alias("price"),
-        cents(F.col("value")).alias("cents"),
+        F.col("value").cast(PRICE_TYPE).alias("price"),
+        units(F.col("value")).alias("units"),
     )
 
 

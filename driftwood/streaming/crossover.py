@@ -9,7 +9,7 @@ them.  Hence, for every row the watermark has passed, the stream emits exactly t
 batch answer, whatever the arrival order within the watermark delay.
 
 State per symbol is bounded: ``rn`` (rows finalized), the last ``slow`` prices in
-cents, and the not-yet-final rows (at most the rows of one watermark delay).
+units, and the not-yet-final rows (at most the rows of one watermark delay).
 """
 
 from __future__ import annotations
@@ -20,26 +20,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.money import BUDGET_CENTS
+from ..functions.money import BUDGET_UNITS, UNITS, price_of
 from ..operators.moving_average import FAST, SLOW
 from ..session import ship_package
+from ..sources.quotes import usable
 
-STATE_SCHEMA = "rn long, tail array<long>, pending array<struct<ts_us:long,event_id:long,cents:long>>"
+STATE_SCHEMA = "rn long, tail array<long>, pending array<struct<ts_us:long,event_id:long,units:long>>"
 
 
 def _output_schema(symbol_type: str) -> str:
-    return (f"symbol {symbol_type}, ts_us long, event_id long, side string, cents long, shares long, "
+    return (f"symbol {symbol_type}, ts_us long, event_id long, side string, units long, shares long, "
             "ma_fast double, ma_slow double")
 
 
-def detector(fast: int = FAST, slow: int = SLOW, budget_cents: int = BUDGET_CENTS):
+def detector(fast: int = FAST, slow: int = SLOW, budget_units: int = BUDGET_UNITS):
     """The per-group state function for ``applyInPandasWithState``.
 
-    Vectorized per call: the carried tail and the newly final rows form one cents
+    Vectorized per call: the carried tail and the newly final rows form one units
     array, and every rolling sum is a difference of its prefix sums, so a hot symbol's
     micro-batch costs a few numpy passes, not a Python loop per row.
     """
-    cols = ["ts_us", "event_id", "cents"]
+    cols = ["ts_us", "event_id", "units"]
 
     def step(key, pdfs, state):
         if state.exists:
@@ -77,14 +78,14 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_cents: int = BUDGET_CENT
         if len(hit):
             c = ready[hit, 2]
             if (c > 0).all():
-                shares = budget_cents // c
+                shares = budget_units // c
             else:  # no whole number of shares for a non-positive price
-                shares = pd.array(np.where(c > 0, budget_cents // np.maximum(c, 1), 0), dtype="Int64")
+                shares = pd.array(np.where(c > 0, budget_units // np.maximum(c, 1), 0), dtype="Int64")
                 shares[c <= 0] = pd.NA
             yield pd.DataFrame({
                 "symbol": [key[0]] * len(hit), "ts_us": ready[hit, 0], "event_id": ready[hit, 1],
-                "side": np.where(buy[hit], "buy", "sell"), "cents": c, "shares": shares,
-                "ma_fast": cur_f[hit] / float(fast * 100), "ma_slow": cur_s[hit] / float(slow * 100)})
+                "side": np.where(buy[hit], "buy", "sell"), "units": c, "shares": shares,
+                "ma_fast": cur_f[hit] / float(fast * UNITS), "ma_slow": cur_s[hit] / float(slow * UNITS)})
     return step
 
 
@@ -92,8 +93,8 @@ def crossover_stream(quotes: DataFrame, delay: str = "1 hour", fast: int = FAST,
                      symbol_type: str = "bigint") -> DataFrame:
     """Streaming twin of ``operators.moving_average.crossover_signals``."""
     ship_package(quotes.sparkSession)
-    q = (quotes.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-         .select("symbol", "ts", F.unix_micros("ts").alias("ts_us"), "event_id", "cents"))
+    q = (usable(quotes).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+         .select("symbol", "ts", F.unix_micros("ts").alias("ts_us"), "event_id", "units"))
     out = q.groupBy("symbol").applyInPandasWithState(
         detector(fast, slow), _output_schema(symbol_type), STATE_SCHEMA, "append",
         GroupStateTimeout.EventTimeTimeout)
@@ -104,5 +105,5 @@ def finish(signals: DataFrame, fast: int = FAST, slow: int = SLOW) -> DataFrame:
     """Typed output rows, same columns as the batch detector."""
     return signals.select(
         "symbol", F.timestamp_micros("ts_us").cast("timestamp_ntz").alias("ts"), "event_id", "side",
-        (F.col("cents").cast("decimal(20,0)") / 100).cast("decimal(18,2)").alias("price"), "shares",
+        price_of(F.col("units")).alias("price"), "shares",
         F.col("ma_fast").alias(f"ma{fast}"), F.col("ma_slow").alias(f"ma{slow}"))

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from driftwood.functions.money import cents, shares_for_budget, signal_message
+from driftwood.functions.money import shares_for_budget, signal_message, units
 from driftwood.operators import moving_average as ma
 from driftwood.sources import quotes as qs
 
@@ -24,7 +24,7 @@ def test_parse4_rejects_without_failing(spark):
     assert got[""] == "field_count"
     assert got["2024-01-02 09:30:00 AAPL 185.5"] is None
     ok = qs.accepted(p).collect()
-    assert len(ok) == 1 and ok[0]["price"] == Decimal("185.50") and ok[0]["cents"] == 18550
+    assert len(ok) == 1 and ok[0]["price"] == Decimal("185.50") and ok[0]["units"] == 185_500_000
     assert ok[0]["ts"] == dt.datetime(2024, 1, 2, 9, 30)
 
 
@@ -38,7 +38,7 @@ def test_parse3_rejects_four_tokens(spark):
 
 def test_render_parse_roundtrip(spark):
     q = spark.createDataFrame([(dt.datetime(2024, 1, 2, 9, 30, 0), "AAPL", Decimal("185.50"))],
-                              "ts timestamp_ntz, symbol string, price decimal(18,2)")
+                              "ts timestamp_ntz, symbol string, price decimal(18,6)")
     line = qs.render_lines4(q).collect()[0]["value"]
     assert line == "2024-01-02 09:30:00 AAPL 185.50"
     back = qs.accepted(qs.parse_lines4(qs.render_lines4(q))).collect()[0]
@@ -47,17 +47,42 @@ def test_render_parse_roundtrip(spark):
 
 def test_shares_and_message(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 9, 30), "AAPL", 185.5)], "ts timestamp_ntz, s string, p double")
-    r = df.select(shares_for_budget(cents(F.col("p"))).alias("n"),
-                  signal_message(F.col("ts"), F.lit("buy"), F.col("s"), shares_for_budget(cents(F.col("p"))),
-                                 cents(F.col("p"))).alias("msg")).collect()[0]
+    r = df.select(shares_for_budget(units(F.col("p"))).alias("n"),
+                  signal_message(F.col("ts"), F.lit("buy"), F.col("s"), shares_for_budget(units(F.col("p"))),
+                                 units(F.col("p"))).alias("msg")).collect()[0]
     assert r["n"] == 539
     assert r["msg"] == "(2024-01-02 09:30:00 buy AAPL) - 539 shares at $185.50"
 
 
 def _series(spark, prices):
     base = dt.datetime(2024, 1, 1)
-    data = [(i, base + dt.timedelta(minutes=i), "S", Decimal(str(p)), int(round(p * 100))) for i, p in enumerate(prices)]
-    return spark.createDataFrame(data, "event_id long, ts timestamp_ntz, symbol string, price decimal(18,2), cents long")
+    data = [(i, base + dt.timedelta(minutes=i), "S", Decimal(str(p)), int(round(p * 1_000_000))) for i, p in enumerate(prices)]
+    return spark.createDataFrame(data, "event_id long, ts timestamp_ntz, symbol string, price decimal(18,6), units long")
+
+
+def test_prices_are_never_rounded(spark):
+    p = qs.parse_lines4(_lines(spark, *[f"2024-01-02 09:30:00 AAPL {x}" for x in ("185.50999", "0.004", "1.1234567", "1e3", "NaN", "123456789012345")]))
+    got = {r["line"].split()[-1]: (r["price"], r["reject"]) for r in p.collect()}
+    assert got["185.50999"] == (Decimal("185.509990"), None) and got["0.004"] == (Decimal("0.004000"), None)
+    assert got["1e3"] == (Decimal("1000.000000"), None)
+    assert [got[x][1] for x in ("1.1234567", "NaN", "123456789012345")] == ["bad_scale", "bad_price", "bad_scale"]
+    assert [r["value"] for r in qs.render_lines3(qs.accepted(p)).collect()] == [f"2024-01-02 AAPL {x}" for x in ("185.50999", "0.004", "1000.00")]
+
+
+def test_a_difference_below_a_cent_is_a_signal(spark):
+    s = ma.crossover_signals(_series(spark, [10.001] * 40 + [10.004])).collect()
+    assert [(r["side"], r["event_id"]) for r in s] == [("buy", 40)]
+
+
+def test_null_prices_and_symbols_take_no_part(spark):
+    rows = _series(spark, [10.0] * 9).unionByName(_series(spark, [10.0] * 41).selectExpr("event_id + 9 AS event_id", "ts", "symbol", "NULL AS price", "NULL AS units"))
+    assert ma.rolling_ma(rows, 10).count() == 0 and ma.batch_local_ma(rows, F.lit(0)).count() == 0
+    bad = {r["reject"]: r["n"] for r in qs.unusable(rows.union(rows.limit(2).selectExpr("event_id", "ts", "NULL", "price", "units"))).groupBy("reject").agg(
+        F.count("*").alias("n")).collect()}
+    assert bad == {"null_price": 41, "null_symbol": 2}
+    from driftwood.operators import windows as win
+    means = win.tumbling_avg(_series(spark, [1.0, 2.0]).unionByName(rows.filter("units IS NULL").limit(1)), "30 days").collect()
+    assert [(r["avg_price"], r["n"]) for r in means] == [(1.5, 2)]
 
 
 def test_warmup_no_signal_before_row_41(spark):

@@ -17,8 +17,8 @@ COLS = ["symbol", "event_id", "rn", "sum_10", "prev_sum_10", "sum_40", "prev_sum
 @pytest.mark.parametrize("bucket", ["1 hour", "1 day", "30 days"])
 def test_bucketed_equals_plain_on_events(spark, symbol, bucket):
     q = read_quotes(spark, SF_MID, symbol)
-    a = rolling_sums(q, "symbol", ("ts", "event_id"), "cents", (10, 40), bucket)
-    b = rolling_sums_plain(q, "symbol", ("ts", "event_id"), "cents", (10, 40))
+    a = rolling_sums(q, "symbol", ("ts", "event_id"), "units", (10, 40), bucket)
+    b = rolling_sums_plain(q, "symbol", ("ts", "event_id"), "units", (10, 40))
     assert rows(a, COLS) == rows(b, COLS)
 
 
@@ -32,9 +32,9 @@ def test_sparse_buckets_and_ties(spark):
             ts = base + dt.timedelta(days=day, seconds=rnd.choice([0, 0, 30, 3600]))
             data.append((eid, ts, rnd.choice(["A", "B"]), rnd.randint(1, 10_000)))
             eid += 1
-    q = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, symbol string, cents long")
-    a = rolling_sums(q, "symbol", ("ts", "event_id"), "cents", (3, 10, 40), "1 day")
-    b = rolling_sums_plain(q, "symbol", ("ts", "event_id"), "cents", (3, 10, 40))
+    q = spark.createDataFrame(data, "event_id long, ts timestamp_ntz, symbol string, units long")
+    a = rolling_sums(q, "symbol", ("ts", "event_id"), "units", (3, 10, 40), "1 day")
+    b = rolling_sums_plain(q, "symbol", ("ts", "event_id"), "units", (3, 10, 40))
     cols = ["symbol", "event_id", "rn", "sum_3", "prev_sum_3", "sum_40", "prev_sum_40"]
     assert rows(a, cols) == rows(b, cols)
 
@@ -43,6 +43,6 @@ def test_event_windows_are_keyed_by_symbol_and_bucket(spark):
     """The only Window over events rows is partitioned by (symbol, bucket); the one
     partitioned by symbol alone runs over the per-bucket tail table."""
     q = read_quotes(spark, SF_MID, "user_id")
-    plan = rolling_sums(q, "symbol", ("ts", "event_id"), "cents")._jdf.queryExecution().optimizedPlan().toString()
+    plan = rolling_sums(q, "symbol", ("ts", "event_id"), "units")._jdf.queryExecution().optimizedPlan().toString()
     specs = [ln for ln in plan.splitlines() if "Window [" in ln]
     assert any("_b#" in ln.split("windowspecdefinition(")[1].split(",")[1] for ln in specs)

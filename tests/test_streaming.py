@@ -13,7 +13,7 @@ from driftwood.streaming import crossover as sx
 from driftwood.streaming import io
 from conftest import SF_SMALL, SF_MID, rows
 
-SCHEMA = "event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,2), cents bigint"
+SCHEMA = "event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,6), units bigint"
 DELAY_US = 3600 * 1_000_000
 COLS = ["symbol", "ts", "event_id", "side", "price", "shares", "ma10", "ma40"]
 
@@ -22,7 +22,7 @@ def batch_final(q, max_ts):
     max_us = int((max_ts - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
     cut_us = (max_us // 1000 - 3_600_000) * 1000
     cut = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=cut_us)
-    return ma.crossover_signals(q).drop("cents").filter(F.col("ts") <= F.lit(cut))
+    return ma.crossover_signals(q).drop("units").filter(F.col("ts") <= F.lit(cut))
 
 
 def run_stream(spark, landing, ck, out):
