@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections import defaultdict
 
@@ -33,9 +34,23 @@ from .common import map_batches, pick, staged
 SIZE = 2048
 END_ID = 0
 
-# A chunk that any tokenizer of this kind splits into one word and one run of punctuation.
+# A chunk that is split into one word and one run of punctuation (contractions have an apostrophe).
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
-CACHED = 300_000
+CACHED = 600_000
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 bytes stand
+    for themselves, the others for the code points from 256 on, in order."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    out, spare = [], 0
+    for b in range(256):
+        out.append(chr(b if b in own else 256 + spare))
+        spare += b not in own
+    return out
+
+
+LETTERS = byte_letters()
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -54,18 +69,21 @@ class TokenCache(dict):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # strings of special tokens in a text are text
+        self.words = self.tokenizer.model  # for a single word in lower case; holds its own reference
         self[""] = b""
         self.parts: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _part(self, text: str) -> bytes:
-        got = self.parts.get(text)
+    def _word(self, word: str) -> bytes:
+        """One word of Latin letters: normalising and splitting would leave it as it is."""
+        got = self.parts.get(word)
         if got is None:
             if len(self.parts) >= CACHED:
                 self.parts.clear()
-            got = self.parts[text] = self._ids(text) if text else b""
+            tokens = self.words.tokenize("".join([LETTERS[b] for b in word.encode()]))
+            got = self.parts[word] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         return got
 
     def __missing__(self, chunk: str) -> bytes:
@@ -73,7 +91,7 @@ class TokenCache(dict):
             self.clear()
             self[""] = b""
         m = SIMPLE.match(chunk)
-        ids = self._part(m[1].lower()) + self._part(m[2]) if m else self._ids(chunk)
+        ids = self._word(m[1].lower()) + (self[m[2]] if m[2] else b"") if m else self._ids(chunk)
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
