@@ -36,6 +36,9 @@ def position(word: Column, i: int, m: int) -> Column:
     return md5_mod(F.concat(word, F.lit(str(i))), m)
 
 
+SEGMENT = 256  # bytes of the filter that are packed or unpacked together
+
+
 def positions(words: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K, word: str = "word") -> DataFrame:
     """``(word, i, pos)`` for every word and hash index (one digest per pair)."""
     x = words.select(word, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"))
@@ -50,17 +53,22 @@ def build(words: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K, word: str =
     ``ceil(m/8)`` bytes are laid out in order and Base64-encoded.  The collected list
     is bounded by ``m / 8`` entries.
     """
-    nbytes = math.ceil(m / 8)
     w = words.select(word).distinct()
     pos = positions(w, m, k, word).select("pos").distinct()
     per_byte = pos.groupBy(F.floor(F.col("pos") / 8).cast("int").alias("b")).agg(
         F.sum(F.expr("shiftleft(1, 7 - pos % 8)")).cast("int").alias("v"),
         F.count(F.lit(1)).alias("nset"))
-    packed = per_byte.agg(F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("mp"),
-                          F.sum("nset").alias("bits_set"))
-    hexes = F.transform(F.sequence(F.lit(0), F.lit(nbytes - 1)),
+    # Segments of fixed size first: a map lookup is linear in the map, so one map of all bytes would be quadratic.
+    filled = per_byte.select(F.floor(F.col("b") / SEGMENT).cast("int").alias("seg"), (F.col("b") % SEGMENT).alias("b"), "v", "nset")
+    segments = words.sparkSession.range(math.ceil(m / 8 / SEGMENT)).select(F.col("id").cast("int").alias("seg"))
+    packed_segments = segments.join(filled.groupBy("seg").agg(
+        F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("mp"), F.sum("nset").alias("nset")), "seg", "left")
+    size = F.least(F.lit(SEGMENT), F.lit(math.ceil(m / 8)) - F.col("seg") * SEGMENT)
+    hexes = F.transform(F.sequence(F.lit(0), size - 1),
                         lambda b: F.lpad(F.hex(F.coalesce(F.try_element_at(F.col("mp"), b), F.lit(0))), 2, "0"))
-    b64 = F.regexp_replace(F.base64(F.unhex(F.array_join(hexes, ""))), "[\\r\\n]", "")
+    packed = packed_segments.select("seg", "nset", F.array_join(hexes, "").alias("hx")).agg(
+        F.sort_array(F.collect_list(F.struct("seg", "hx"))).alias("parts"), F.sum("nset").alias("bits_set"))
+    b64 = F.regexp_replace(F.base64(F.unhex(F.array_join(F.transform("parts", lambda p: p["hx"]), ""))), "[\\r\\n]", "")
     n_words = w.select(F.count(F.lit(1))).scalar()
     return packed.select(F.lit(m).alias("m"), F.lit(k).alias("k"), n_words.alias("n_words"),
                          F.coalesce(F.col("bits_set"), F.lit(0)).cast("bigint").alias("bits_set"),
@@ -85,12 +93,15 @@ def fix_padding(b64: Column) -> Column:
 
 def set_bits(artifact: DataFrame) -> DataFrame:
     """``(pos)`` of every set bit below ``m`` (bits past ``m`` are trimmed)."""
-    hx = F.hex(F.unbase64(fix_padding(F.col("bits_b64"))))
-    x = artifact.select("m", hx.alias("hx"), F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("pos"))
-    byte = F.conv(F.substring(F.col("hx"), (F.floor(F.col("pos") / 8) * 2 + 1).cast("int"), 2), 16, 10).cast("int")
-    x = x.withColumn("_byte", byte)
-    bit = F.expr("shiftright(_byte, 7 - pos % 8) % 2")
-    return x.filter((bit == 1) & (F.col("pos") < F.col("m"))).select(F.col("pos").cast("int").alias("pos"))
+    raw = artifact.select("m", F.unbase64(fix_padding(F.col("bits_b64"))).alias("raw"))
+    starts = F.sequence(F.lit(0), F.ceil(F.col("m") / 8).cast("int") - 1, F.lit(SEGMENT))
+    # A segment is cut out of the bytes, its bytes out of its short hex form: linear in m altogether.
+    seg = raw.select("m", F.posexplode(F.transform(starts, lambda a: F.hex(F.substring(F.col("raw"), a + 1, SEGMENT)))).alias("seg", "hx"))
+    byte = seg.select("m", "seg", "hx", F.posexplode(F.sequence(F.lit(1), F.length("hx") - 1, F.lit(2))).alias("b", "at"))
+    byte = byte.select("m", (F.col("seg") * SEGMENT + F.col("b")).alias("byte"), F.conv(F.substring(F.col("hx"), F.col("at"), F.lit(2)), 16, 10).cast("int").alias("v"))
+    bits = byte.filter("v > 0").select("m", "byte", "v", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
+    pos = F.col("byte") * 8 + F.col("i")
+    return bits.filter(F.expr("shiftright(v, 7 - i) % 2 = 1")).filter(pos < F.col("m")).select(pos.cast("int").alias("pos"))
 
 
 def _bits_side(bits: DataFrame, m: int) -> DataFrame:

@@ -9,7 +9,10 @@ scalar - reaches the driver, never the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
@@ -18,8 +21,27 @@ from ..session import work_path
 DEFAULT_MAX_ROWS = 1_000_000
 
 
+# Paths staged since the innermost ``discarding`` block began, per block.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end: for work whose result is written there and
+    then, such as a micro-batch."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     path = work_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

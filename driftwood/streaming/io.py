@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.sizing import discarding
 from ..session import work_path
 
 LINE_SCHEMA = "value string"
@@ -117,12 +118,18 @@ def overwrite_into(path: str):
 
 def append_by_batch(path: str, transform=None):
     """foreachBatch writer that is idempotent on retry: batch ``b`` owns ``batch_id=b``.
-    Empty micro-batches are skipped (nothing to score, nothing written)."""
+    Empty micro-batches are skipped (nothing to score, nothing written); what a batch stages on the
+    way is deleted when it is written."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        out = transform(batch, batch_id) if transform else batch
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.persist()  # scored in several passes
+        try:
+            if batch.isEmpty():
+                return
+            with discarding(batch.sparkSession):
+                out = transform(batch, batch_id) if transform else batch
+                out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 

@@ -16,7 +16,14 @@ from conftest import SF_SMALL
 
 
 def py_positions(word, m, k):
-    return [int(hashlib.md5((word + str(i)).encode("utf-8")).hexdigest(), 16) % m for i in range(k)]
+    """Positions from the digest's bytes, folded from the left."""
+    out = []
+    for i in range(k):
+        rest = 0
+        for byte in hashlib.md5(f"{word}{i}".encode()).digest():
+            rest = (256 * rest + byte) % m
+        out.append(rest)
+    return out
 
 
 def py_pack(words, m, k):
@@ -67,6 +74,15 @@ def test_no_false_negatives_and_probe_equals_python(spark, bad):
         assert got[w] == all(p in setbits for p in py_positions(w, 2000, 5))
 
 
+def test_large_filter_in_linear_time(spark):
+    words = spark.range(2000).selectExpr("CAST(id AS STRING) AS word")
+    art = bloom.build(words, 1_000_003, 3)
+    row = art.collect()[0]
+    back = bloom.set_bits(bloom.reload(spark, bloom.save(art, work_path(spark, "t-bloom-large"))))
+    want = bloom.positions(words, 1_000_003, 3, "word").select("pos").distinct()
+    assert row["bits_set"] == want.count() == back.count() and back.exceptAll(want.select(F.col("pos").cast("int"))).count() == 0
+
+
 def test_padding_repair(spark):
     df = spark.createDataFrame([("YWI",), ("YWJj",), ("YQ",)], "s string")
     out = [r["d"] for r in df.select(F.unbase64(bloom.fix_padding(F.col("s"))).alias("d")).collect()]

@@ -81,3 +81,26 @@ def test_hot_symbols_equal_batch(spark):
     want = batch_final(q, max_ts)
     assert got.count() > 100
     assert rows(got, COLS) == rows(want, COLS)
+
+
+def test_micro_batches_leave_no_staged_tables(spark, tmp_path):
+    import glob
+
+    from driftwood.session import checkpoint_root, local_fs_path
+    from driftwood.sources import lexicon as lx
+    from driftwood.sources.tables import read_table
+    from driftwood.operators import bloom
+    from driftwood.streaming import bloom as sbloom
+    bits = bloom.set_bits(bloom.build(lx.bad_words(lx.lexicon_from_texts(read_table(spark, SF_SMALL, "benchmark"))), 2000, 5)).cache()
+    bits.count()
+    landing, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for i in range(10):
+        spark.createDataFrame([(i, 0, f"line {i} of words"), (i, 1, "")], "doc_id bigint, line_no int, line string").coalesce(1).write.mode("append").parquet(landing)
+    side = f"{local_fs_path(checkpoint_root(spark))}/driftwood/side-*"
+    before = set(glob.glob(side))
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1, schema="doc_id bigint, line_no int, line string")
+    io.run_available(src, "t_side", foreach_batch=sbloom.sentence_gate_writer(bits, out, 2000, 5))
+    assert set(glob.glob(side)) == before
+    got = spark.read.parquet(out)
+    assert got.select("batch_id").distinct().count() == 10 and got.count() == 20
+    bits.unpersist()
