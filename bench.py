@@ -26,6 +26,11 @@ HEADLINE = [
     "batch_gate",
     "minhash_signature",
     "crossover_stream",
+    "tumbling_avg_stream",
+    "window_ma_stream",
+    "bloom_stream",
+    "sentence_gate_stream",
+    "backfill_dedup_stream",
 ]
 
 

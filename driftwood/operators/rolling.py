@@ -49,6 +49,18 @@ def time_bucket(ts: Column, width: str = "1 day") -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_micros(width))).cast("bigint")
 
 
+def bucket_for(df: DataFrame, key: str, ts: str = "ts", most_rows: int = 1_000_000) -> str:
+    """The widest bucket that keeps the hottest (key, bucket) within about ``most_rows`` rows: one partially
+    aggregated count per key and day (a day's rows taken as evenly spread); only the largest count comes
+    to the driver.  Bucket width changes how the work is split, never the result."""
+    day = df.select(key, time_bucket(F.col(ts), "1 day").alias("day"))
+    hottest = day.groupBy(key, "day").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    for width, per_day in (("1 day", 1), ("1 hour", 24), ("1 minute", 1440)):
+        if hottest <= most_rows * per_day:
+            return width
+    return "1 second"
+
+
 def _tail_sum(values: Column, n: Column) -> Column:
     """Sum of the last ``n`` elements of ``values`` (0 when n <= 0; all when n > size)."""
     start = F.greatest(F.size(values) - n + 1, F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import moving_average as ma
+from ..operators.rolling import bucket_for
 from ..session import work_path
 from ..sources import quotes as qs
 from ..sources.tables import read_quotes, read_table, quotes_from_events
@@ -144,7 +145,8 @@ FROM s WHERE side IS NOT NULL""")
 def crossover_by_type(spark, sf_dir):
     """The detector with five dense symbols (event_type): long histories per key,
     the case the bucketed windows exist for."""
-    return ma.crossover_signals(_q(spark, sf_dir, "event_type")).select(
+    q = _q(spark, sf_dir, "event_type")
+    return ma.crossover_signals(q, bucket=bucket_for(q, "symbol")).select(
         "symbol", "ts", "event_id", "side", "price", "shares")
 
 

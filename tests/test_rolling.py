@@ -46,3 +46,17 @@ def test_event_windows_are_keyed_by_symbol_and_bucket(spark):
     plan = rolling_sums(q, "symbol", ("ts", "event_id"), "units")._jdf.queryExecution().optimizedPlan().toString()
     specs = [ln for ln in plan.splitlines() if "Window [" in ln]
     assert any("_b#" in ln.split("windowspecdefinition(")[1].split(",")[1] for ln in specs)
+
+
+def test_bucket_width_follows_the_hottest_key(spark):
+    from driftwood.operators import moving_average as ma
+    from driftwood.operators.rolling import bucket_for
+    hot = spark.range(0, 20_000).selectExpr(
+        "id AS event_id", "CAST(timestamp_seconds(1704067200 + id * 4) AS TIMESTAMP_NTZ) AS ts", "IF(id % 10 < 9, 'hot', 'cold') AS symbol",
+        "CAST((id * 7919) % 1000 + 1 AS DECIMAL(18,6)) AS price", "((id * 7919) % 1000 + 1) * 1000000 AS units")
+    assert bucket_for(hot, "symbol") == "1 day" and bucket_for(hot, "symbol", most_rows=1000) == "1 hour"
+    assert bucket_for(hot, "symbol", most_rows=15) == "1 minute" and bucket_for(hot.limit(0), "symbol") == "1 day"
+    want, got = (rows(ma.crossover_signals(hot, bucket=b)) for b in ("1 day", "1 hour"))
+    assert want == got and want
+    largest = hot.groupBy("symbol", F.window("ts", "1 hour")).count().agg(F.max("count")).first()[0]
+    assert largest <= 0.05 * 20_000  # rows that a task must hold together
