@@ -87,3 +87,40 @@ def quote_json_latest(spark, sf_dir):
 WITH {Q} SELECT concat_ws(' ', CAST(CAST(ts AS DATE) AS VARCHAR), symbol, CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR)) AS value FROM q""")
 def history_lines(spark, sf_dir):
     return qs.render_lines3(_hist(spark, sf_dir))
+
+
+GIVEN = ("2024-01-03 06:00:00", "2024-01-24 18:00:00")  # a plan from given times, not from the data
+GIVEN_CHUNKS = f"""c AS (SELECT i AS chunk_no, TIMESTAMP '{GIVEN[0]}' + i * INTERVAL '7 days' AS fetch_start,
+  least(TIMESTAMP '{GIVEN[0]}' + (i + 1) * INTERVAL '7 days' + INTERVAL '30 minutes', TIMESTAMP '{GIVEN[1]}') AS fetch_end
+  FROM range(4) t(i) WHERE TIMESTAMP '{GIVEN[0]}' + i * INTERVAL '7 days' < TIMESTAMP '{GIVEN[1]}')"""
+
+
+@register("backfill_range", f"""
+WITH {Q}, {GIVEN_CHUNKS}
+SELECT c.chunk_no, q.event_id, q.ts, q.symbol, q.price FROM q JOIN c ON q.ts >= c.fetch_start AND q.ts <= c.fetch_end""")
+def backfill_range(spark, sf_dir):
+    """The assembled backfill of given start and end times."""
+    return hist.backfill_overlap(_hist(spark, sf_dir), STEP, OVERLAP, start=GIVEN[0], end=GIVEN[1])
+
+
+@register("backfill_report", f"""
+WITH {Q}, {GIVEN_CHUNKS}, r AS (
+  SELECT c.chunk_no, count(*) AS n FROM q JOIN c ON q.ts >= c.fetch_start AND q.ts <= c.fetch_end WHERE c.chunk_no <> 1 GROUP BY 1)
+SELECT chunk_no, fetch_start, fetch_end, coalesce(n, 0) AS n_rows, n IS NULL AS missing FROM c LEFT JOIN r USING (chunk_no)""")
+def backfill_report(spark, sf_dir):
+    """A plan of which chunk 1 was never fetched: rows per chunk, and which one is missing."""
+    h = _hist(spark, sf_dir)
+    plan = hist.backfill_chunks(h, STEP, OVERLAP, start=GIVEN[0], end=GIVEN[1])
+    fetched = hist.backfill_overlap(h, STEP, OVERLAP, start=GIVEN[0], end=GIVEN[1]).filter("chunk_no <> 1")
+    return hist.chunk_report(plan, fetched)
+
+
+@register("backfill_tagged", f"""
+WITH {Q} SELECT CAST(0 AS BIGINT) AS chunk_no, event_id, ts, symbol, price FROM q WHERE symbol = 'purchase'
+UNION ALL SELECT CAST(1 AS BIGINT), event_id, ts, symbol, price FROM q WHERE symbol = 'view'
+UNION ALL SELECT CAST(2 AS BIGINT), event_id, ts, symbol, price FROM q WHERE symbol = 'click'""")
+def backfill_tagged(spark, sf_dir):
+    """Inputs that carry no symbol of their own, one for each of three fetches, tagged as they are assembled."""
+    h = _hist(spark, sf_dir)
+    fetch = [h.filter(F.col("symbol") == s).drop("symbol") for s in ("purchase", "view", "click")]
+    return hist.assemble_chunks([(i, s, rows) for i, (s, rows) in enumerate(zip(("purchase", "view", "click"), fetch))])

@@ -36,11 +36,17 @@ def history_bounds(history: DataFrame, ts: str = "ts") -> tuple[Column, Column]:
     return start, end
 
 
+def _given(history: DataFrame, start: str | None, end: str | None, ts: str) -> tuple[Column, Column]:
+    """The plan's bounds: as given, or those of the history."""
+    low, high = (None, None) if start and end else history_bounds(history, ts)
+    return (F.lit(start).cast("timestamp_ntz") if start else low), (F.lit(end).cast("timestamp_ntz") if end else high)
+
+
 def backfill_chunks(history: DataFrame, step: str = DEFAULT_STEP, overlap: str = DEFAULT_OVERLAP,
-                    ts: str = "ts") -> DataFrame:
-    """``(chunk_no, fetch_start, fetch_end)`` covering the history's days."""
-    b = history.agg(F.date_trunc("day", F.min(ts)).cast("timestamp_ntz").alias("s"),
-                    (F.date_trunc("day", F.max(ts)) + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("e"))
+                    ts: str = "ts", start: str | None = None, end: str | None = None) -> DataFrame:
+    """``(chunk_no, fetch_start, fetch_end)`` covering ``[start, end)``, by default the history's days."""
+    low, high = _given(history, start, end, ts)
+    b = history.sparkSession.range(1).select(low.alias("s"), high.alias("e"))
     starts = b.select("e", F.posexplode(F.sequence("s", F.col("e") - F.expr("INTERVAL 1 MICROSECOND"),
                                                    _interval(step))).alias("chunk_no", "fetch_start"))
     return starts.select(F.col("chunk_no").cast("bigint").alias("chunk_no"), "fetch_start",
@@ -49,20 +55,42 @@ def backfill_chunks(history: DataFrame, step: str = DEFAULT_STEP, overlap: str =
 
 
 def backfill_overlap(history: DataFrame, step: str = DEFAULT_STEP, overlap: str = DEFAULT_OVERLAP,
-                     ts: str = "ts") -> DataFrame:
+                     ts: str = "ts", start: str | None = None, end: str | None = None) -> DataFrame:
     """Every row once per chunk whose inclusive fetch range holds it (the assembled
-    backfill, duplicates in overlaps kept), tagged with ``chunk_no``."""
+    backfill, duplicates in overlaps kept), tagged with ``chunk_no``.  With ``start`` and ``end``
+    (times as text) the plan covers them and rows outside are left out."""
     step_us, ov_us = _micros(step), _micros(overlap)
     if ov_us >= step_us:
         raise ValueError("overlap must be shorter than the step")
-    start, _end = history_bounds(history, ts)
-    off = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    c = F.floor(off / F.lit(step_us)).cast("bigint")
+    low, high = _given(history, start, end, ts)
+    if start or end:
+        history = history.filter((F.col(ts) >= low) & (F.col(ts) <= high))
+    off = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(low.cast("timestamp"))
+    c = F.call_function("div", off, F.lit(step_us).cast("bigint"))
     into_prev = (c >= 1) & (off - c * step_us <= ov_us)
-    chunks = F.when(into_prev, F.array(c - 1, c)).otherwise(F.array(c))
+    # A row at the very end lies in the chunk before it alone: no chunk starts there.
+    begun = (F.col(ts) < high) if start or end else F.lit(True)
+    chunks = F.when(into_prev & begun, F.array(c - 1, c)).when(into_prev, F.array(c - 1)).when(begun, F.array(c)).otherwise(F.array().cast("array<bigint>"))
     return history.select(F.explode(chunks).alias("chunk_no"), *history.columns)
 
 
+def assemble_chunks(chunks: list[tuple[int, str, DataFrame]]) -> DataFrame:
+    """Chunks fetched one by one, as ``(chunk_no, symbol, rows)``: their non-empty union, each row tagged with its
+    chunk and symbol."""
+    parts = [rows.withColumns({"chunk_no": F.lit(no).cast("bigint"), "symbol": F.lit(symbol)}) for no, symbol, rows in chunks]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def chunk_report(plan: DataFrame, assembled: DataFrame) -> DataFrame:
+    """``(chunk_no, fetch_start, fetch_end, n_rows, missing)`` for every planned chunk."""
+    n = assembled.groupBy("chunk_no").agg(F.count("*").alias("n_rows"))
+    return plan.join(n, "chunk_no", "left").select("chunk_no", "fetch_start", "fetch_end", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+                                                   F.col("n_rows").isNull().alias("missing"))
+
+
 def dedup_overlap(backfill: DataFrame, keys=("symbol", "event_id")) -> DataFrame:
     """Drop the overlap duplicates (shuffle on the full key, no skew on symbol)."""
     return backfill.drop("chunk_no").dropDuplicates(list(keys))
@@ -101,5 +129,5 @@ def write_snapshot(latest: DataFrame, path: str) -> str:
     return path
 
 
-__all__ = ["backfill_chunks", "backfill_overlap", "dedup_overlap", "dedup_stream", "union_sorted", "latest_per_symbol",
+__all__ = ["assemble_chunks", "backfill_chunks", "backfill_overlap", "chunk_report", "dedup_overlap", "dedup_stream", "union_sorted", "latest_per_symbol",
            "write_snapshot", "history_bounds", "SECOND_FMT"]
