@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import moving_average as ma
 from ..session import work_path
 from ..sources import documents as docs
 from ..sources import quotes as qs
@@ -119,6 +120,53 @@ def sentence_gate_stream(spark, sf_dir):
     return spark.read.parquet(out).select("doc_id", "line_no", "line")
 
 
+def _batch_no(spark_side: bool) -> str:
+    """Micro-batches of the gate: 32 lines of 500 documents each (documents in order of their ids)."""
+    return "CAST(floor(doc_id / 500) * 100000 + floor(line_no / 32) AS INT)" if spark_side else "CAST(doc_id // 500 * 100000 + line_no // 32 AS INTEGER)"
+
+
+@register("batch_gate_stream", f"""
+WITH {pt.LEX}, {pt.BAD}, {pt.BITS(pt.M, pt.K)}, {pt.LINES}, {pt.TOKENS}, {pt.PROBE(pt.M, pt.K)},
+badb AS (SELECT DISTINCT {_batch_no(False)} AS b FROM tokens t JOIN probe p ON p.word = t.word WHERE p.in_filter)
+SELECT doc_id, line_no, line FROM lines WHERE {_batch_no(False)} NOT IN (SELECT b FROM badb)""")
+def batch_gate_stream(spark, sf_dir):
+    """Micro-batches of a document-line stream pass whole or not at all; every landed file is one micro-batch."""
+    lines = docs.document_lines(read_documents(spark, sf_dir)).withColumn("b", F.expr(_batch_no(True)))
+    landing = work_path(spark, "replay-gate-batches")
+    lines.repartition("b").write.partitionBy("b").parquet(landing)
+    bits = pt._bits(spark, sf_dir, pt.M, pt.K)
+    out = work_path(spark, "batch-gate-out")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="doc_id bigint, line_no int, line string, b int").drop("b")
+    io.run_available(src, "batch_gate_stream", foreach_batch=sbloom.batch_gate_writer(bits, out, pt.M, pt.K))
+    return spark.read.parquet(out).select("doc_id", "line_no", "line")
+
+
+@register("first_token_stream", QUERY_SQL["first_token"])
+def first_token_stream(spark, sf_dir):
+    """The first token of every line of a document-line stream (stateless projection)."""
+    lines = docs.document_lines(read_documents(spark, sf_dir))
+    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_DOC_SLICES, "doc_id")
+    out = work_path(spark, "first-token-out")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1, schema="doc_id bigint, line_no int, line string")
+    io.run_available(docs.first_token(src), "first_token_stream", "append", out)
+    return spark.read.parquet(out)
+
+
+@register("batch_local_ma_stream", QUERY_SQL["batch_local_ma10"])
+def batch_local_ma_stream(spark, sf_dir):
+    """Rolling mean that restarts in every micro-batch: each landed file of 250 arrivals is one."""
+    q = read_quotes(spark, sf_dir, "event_type").withColumn("b", F.floor(F.col("event_id") / 250).cast("bigint"))
+    landing = work_path(spark, "replay-arrivals")
+    q.repartition("b").write.partitionBy("b").parquet(landing)
+    out = work_path(spark, "batch-local-out")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                         schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,6), units bigint, b bigint")
+    io.run_available(src, "batch_local_ma_stream", foreach_batch=io.append_by_batch(out, lambda batch, _: ma.batch_local_ma(batch, "b").withColumnRenamed(
+        "batch_id", "arrivals")))
+    return spark.read.parquet(out).select(F.col("arrivals").alias("batch_id"), "symbol", "ts", "event_id", "ma10")
+
+
 @register("backfill_dedup_stream", QUERY_SQL["backfill_dedup"])
 def backfill_dedup_stream(spark, sf_dir):
     """The assembled backfill (overlap copies included) replayed as a stream and
