@@ -79,7 +79,7 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, b, f = first[whole], last[whole], at[first[whole]]
         stretch = np.zeros(len(first), dtype=np.uint64)
         stretch[whole] = mix(named(a, b - a + LENGTH) + mix((f - a).astype(np.uint64) * _ODD + (b - a).astype(np.uint64))) | np.uint64(1)
-        ranks.append(grams[at[first]])
+        ranks.append(mix(grams[at[first]] + _ODD))  # anchors have small hashes: scrambled again, they fill all buckets alike
         stretches.append(stretch)
         sizes.append(size)
     return np.concatenate(ranks), np.concatenate(stretches), np.concatenate(sizes)
