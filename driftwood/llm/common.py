@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +12,9 @@ from pyspark.sql import functions as F
 from ..operators.sizing import materialize
 from ..sources.tables import read_table
 
-__all__ = ["kind_count", "map_batches", "null_as_empty", "pick", "read_table", "row_chunks", "span_text", "staged", "tuning"]
+__all__ = ["kind_count", "map_batches", "null_as_empty", "pick", "read_table", "release", "row_chunks", "small_batches", "span_text", "staged", "tuning"]
+
+BATCH_BYTES = 8 << 20
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -26,13 +29,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def release() -> None:
+    """Give freed memory back: Python workers live on after a task, next to those of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only in glibc
+        pass
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, however long the texts of a table are (a longer row is a batch of its own)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Row-local step: ``make`` builds the per-task state once, the result maps Arrow batches."""
+    small_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield step(batch)
+        finally:
+            step = None
+            release()
     return df.mapInArrow(run, schema)
 
 

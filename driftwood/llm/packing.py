@@ -36,7 +36,7 @@ END_ID = 0
 
 # A chunk that is split into one word and one run of punctuation (contractions have an apostrophe).
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
-CACHED = 600_000
+CACHED = 500_000
 
 
 def byte_letters() -> list[str]:
@@ -62,7 +62,7 @@ class TokenCache(dict):
     """Blank-free chunk -> its ids as little-endian unsigned 32-bit bytes.
 
     No token spans white space, so a text's ids are those of its chunks in order and each distinct
-    chunk is tokenized once per process.  The cache is emptied when it is full."""
+    chunk is tokenized once per task.  The cache is emptied when it is full."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -100,15 +100,6 @@ class TokenCache(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_CACHES: dict[str, TokenCache] = {}
-
-
-def token_cache(path: str) -> TokenCache:
-    if path not in _CACHES:
-        _CACHES[path] = TokenCache(path)
-    return _CACHES[path]
-
-
 def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, size: int = SIZE) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32``, and ``part, nth`` that number
     the pieces of a length within the task that made them.  Must be staged before it is used twice."""
@@ -118,7 +109,7 @@ def cut_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def make():
-        cache, seen = token_cache(path), defaultdict(int)
+        cache, seen = TokenCache(path), defaultdict(int)
         part = TaskContext.get().partitionId()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
