@@ -9,13 +9,15 @@ its hash alone; each arrival falls into one of 128 registers, which keep the shi
 first.  Two texts' registers agree with a probability equal to their similarity.  A process
 ends as soon as its next arrival comes later than every register's first one.
 
-*Candidates.*  32 bands of 4 registers; texts that share a band meet in a bucket.  A bucket's
-smallest member is its leader and every other one is paired with the leader alone, so a bucket
-of n texts makes n - 1 pairs.  At similarity 0.8 two texts share a band but for a chance of
-5e-8, and 13 on average, which gives a link several chances where a passage shared by many
-unrelated texts makes some of the buckets large.
+*Candidates.*  32 bands of 4 registers; texts that share a band meet in a bucket.  At
+similarity 0.8 two texts share a band but for a chance of 5e-8, and 13 on average.  In rounds,
+each bucket elects leaders (1, 2, 4 ... of it, the texts with the most companions in all their
+buckets first), which are paired with every member of another component, and retire; a bucket
+is done when the members left are one component.  So any two members of a bucket are in one
+component in the end, or were compared: a copied original is the first leader and links its
+variants at once; n texts that are alike but not near duplicates make up to n * (n - 1) / 2 pairs.
 
-*Verification.*  Each pair's similarity is computed exactly from both texts.
+*Verification.*  Each pair's similarity is computed exactly from both texts, no pair twice.
 
 *Classes.*  Exact copies are one node from the start, by digest; verified pairs are joined to
 connected components.  Nothing but counts comes to the driver; buckets, copies and components
@@ -44,6 +46,8 @@ SHINGLE = 5
 REGISTERS, BANDS = 128, 32
 SIMILARITY = 0.8
 CHUNK = 1 << 20  # bytes of text that are hashed at once
+SHARE = 1 << 10  # members of a bucket that meet its leaders in one task
+CACHED = 1 << 20  # shingles that a task keeps for its next pairs
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D  # odd: invertible modulo 2^64
@@ -178,34 +182,84 @@ def sign_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return map_batches(src, make, f"doc_id {kind}, digest binary, bands array<bigint>")
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """``member, leader`` for ``node, bands`` rows: each bucket's members with its smallest node."""
+def bucket_members(nodes: DataFrame) -> DataFrame:
+    """``band, node, n, weight`` for ``node, bands`` rows: the members of buckets with more than one; ``n`` of them,
+    ``weight`` summed over a node's buckets."""
     buckets = nodes.select("node", F.explode("bands").alias("band"))
-    leaders = buckets.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return buckets.join(leaders, "band").where("node <> leader").select(F.col("node").alias("member"), "leader").distinct()
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = staged(buckets.join(sizes, "band"), "buckets")
+    return shared.join(shared.groupBy("node").agg(F.sum("n").alias("weight")), "node").select("band", "node", "n", "weight")
+
+
+def elect(members: DataFrame, leaders: int) -> DataFrame:
+    """``members`` (with ``component``) of buckets that have several components, and whether each of them ``leads``:
+    the heaviest of each of ``leaders`` shares of its bucket."""
+    several = members.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("band")
+    rows = staged(members.join(several, "band").withColumn("slot", F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))), "round")
+    best = rows.groupBy("band", "slot").agg(F.max(F.struct("weight", "node")).alias("best"))
+    return rows.join(best, ["band", "slot"]).withColumn("leads", F.col("node") == F.col("best.node")).drop("slot", "best")
+
+
+def leader_pairs(elected: DataFrame) -> DataFrame:
+    """``member, leader``: each leader with its bucket's members of other components.  A large bucket's members are
+    dealt to shares of about SHARE, each of which meets all leaders."""
+    shares = F.floor(F.col("n") / SHARE)
+    leaders = elected.where("leads").select("band", F.col("node").alias("leader"), F.col("component").alias("theirs"),
+                                            F.explode(F.sequence(F.lit(0).cast("bigint"), shares)).alias("share"))
+    members = elected.select("band", F.col("node").alias("member"), "component", "leads", F.pmod(F.xxhash64("node"), shares + 1).alias("share"))
+    return (members.join(leaders, ["band", "share"]).where("component <> theirs and (not leads or member > leader)")
+            .select(F.greatest("member", "leader").alias("member"), F.least("member", "leader").alias("leader")).distinct())
 
 
 def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (member, leader, member_text, leader_text) of at least this similarity, as edges (u, v)."""
     def make():
-        kept: dict = {}  # leaders come in runs
+        kept: dict = {}  # leaders come in runs, members again and again
+        size = 0
+
+        def known(node, text):
+            nonlocal size
+            if node not in kept:
+                found = weighted_shingles(text.as_py())
+                if size + len(found[0]) > CACHED:
+                    kept.clear()
+                    size = 0
+                kept[node] = found
+                size += len(found[0])
+            return kept[node]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             u, v = [], []
             for member, leader, a, b in zip(*(batch.column(c) for c in ("member", "leader", "member_text", "leader_text"))):
-                leader = leader.as_py()
-                if leader not in kept:
-                    if len(kept) >= 16:
-                        kept.clear()
-                    kept[leader] = weighted_shingles(b.as_py())
-                if probability_jaccard(weighted_shingles(a.as_py()), kept[leader]) >= similarity - 1e-9:
-                    u.append(member.as_py())
+                member, leader = member.as_py(), leader.as_py()
+                if probability_jaccard(known(member, a), known(leader, b)) >= similarity - 1e-9:
+                    u.append(member)
                     v.append(leader)
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
         return step
     return map_batches(pairs, make, "u bigint, v bigint")
 
 
+def link(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, component`` (as ``components``) once every two members of a bucket are linked or were compared."""
+    linked, tested, leaders = None, None, 1
+    now = members.withColumn("component", F.col("node"))
+    while True:
+        elected = staged(elect(now, leaders), "elected")
+        if elected.isEmpty():
+            return linked if linked is not None else components(members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
+        pairs = leader_pairs(elected)
+        pairs = staged(pairs if tested is None else pairs.join(tested, ["member", "leader"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        both = (pairs.join(texts.select(F.col("node").alias("member"), F.col("text").alias("member_text")), "member")
+                .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text")), "leader"))
+        edges = verify(both, similarity)
+        linked = staged(components(edges if linked is None else edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v")))), "linked")
+        left = elected.where("not leads").drop("leads", "component")
+        now = left.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        leaders *= 2
+
+
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, digest, component``; rows of one component are near duplicates."""
     src = pick(docs, doc_id=id_col, text=text_col)
@@ -213,17 +267,15 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     # One node per distinct text; its number is fixed by being written.
     nodes = staged(signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    pairs = staged(candidate_pairs(nodes.select("node", "bands")), "pairs")
-    asked = pairs.select(F.col("member").alias("node")).unionAll(pairs.select(F.col("leader").alias("node"))).distinct()
+    members = staged(bucket_members(nodes.select("node", "bands")), "members")
+    asked = members.select("node").distinct()
     wanted = nodes.select("node", "digest", "first_id").join(asked, "node").withColumnRenamed("digest", "wanted")
     digest = F.unhex(F.md5(F.encode(null_as_empty(F.col("text")), "utf-8")))
     rows = src.withColumn("digest", digest)
     # One row of a text's copies: its first id is part of the key, so copies don't meet in one task.
     texts = staged(rows.join(wanted, (rows["digest"] == wanted["wanted"]) & rows["doc_id"].eqNullSafe(wanted["first_id"]))
                    .select("node", null_as_empty(F.col("text")).alias("text")), "texts")
-    both = (pairs.join(texts.select(F.col("node").alias("member"), F.col("text").alias("member_text")), "member")
-            .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text")), "leader"))
-    linked = components(verify(both, similarity))
+    linked = link(members, texts, similarity)
     labels = nodes.select("digest", "node").join(linked, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return signed.select("doc_id", "digest").join(labels, "digest").select("doc_id", "digest", "component")
 
