@@ -3,8 +3,8 @@
 Two zstandard dictionaries are trained on labelled texts: the *ordinary* one from the words
 that are the most widespread in ordinary texts, the *toxic* one from the stretches of words
 that occur in many toxic and in hardly any ordinary texts, followed by the ordinary one (so
-that ordinary text compresses alike under both).  A text is cut into windows of whole words;
-each window is compressed with either dictionary, and the difference of the two lengths is
+that ordinary text compresses alike under both).  A text is cut into windows of whole words
+(words longer than a window, as in texts without blanks, into overlapping pieces); each window is compressed with either dictionary, and the difference of the two lengths is
 its evidence.  A logistic model turns the windows' evidence into a score between 0 and 1;
 it is calibrated on texts that were left out when their dictionaries were trained
 (cross-fitting), with class weights that restore the classes' shares among all labels.
@@ -36,12 +36,31 @@ from .common import map_batches, pick
 
 GRAM = 5            # bytes of a stretch that is counted
 WINDOW_BYTES = 128  # a window is closed by the word that reaches this size
+OVERLAP = 32        # bytes of a long word that two of its pieces share
 THRESHOLD = 0.3
 
 
+def pieces(unit: bytes) -> list[bytes]:
+    """A word of more than a window's size cut at character boundaries; neighbours share about OVERLAP bytes."""
+    out, start = [], 0
+    while len(unit) - start > WINDOW_BYTES:
+        end = start + WINDOW_BYTES
+        while unit[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(unit[start:end])
+        start = end - OVERLAP
+        while unit[start] & 0xC0 == 0x80:
+            start -= 1
+    out.append(unit[start:])
+    return out
+
+
 def units(text: str) -> list[bytes]:
-    """Lower-case words, each with a blank before it."""
-    return [b" " + w for w in text.lower().encode("utf-8", "replace").split()]
+    """Lower-case words, each with a blank before it; of longer ones than a window, their pieces."""
+    words = [b" " + w for w in text.lower().encode("utf-8", "replace").split()]
+    if all(len(w) <= WINDOW_BYTES for w in words):
+        return words
+    return [p for w in words for p in pieces(w)]
 
 
 def windows(text: str) -> list[bytes]:

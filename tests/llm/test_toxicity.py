@@ -71,3 +71,16 @@ def test_labels_of_one_class_or_none(spark):
     assert {r.score for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, none)).collect()} == {0.0}
     one = spark.createDataFrame([(i, 0) for i in range(20)] + [(None, 1), (3, None), (99, None)], "doc_id bigint, toxic int")
     assert {r.score for r in toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, one)).collect()} == {0.0}
+
+
+def test_toxic_words_late_in_a_text_without_blanks(rng):
+    ordinary = "".join(f" word{i}" for i in range(300)).encode()
+    toxic = b"vilestinsult nastyabuse filthyslur"
+    distance = toxicity.Distance(toxic, ordinary)
+    plain = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß漢", k=100_000))
+    hit = "vilestinsultnastyabusefilthyslur"
+    none = distance.features(plain)[0]
+    for at in (0, 20_000, 40_000, 99_990):
+        assert distance.features(plain[:at] + hit + plain[at:])[0] >= none + 8, at
+    parts = toxicity.pieces(plain.encode())
+    assert max(map(len, parts)) <= toxicity.WINDOW_BYTES and all(p.decode() for p in parts)
