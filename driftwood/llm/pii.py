@@ -40,12 +40,12 @@ IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 USERINFO = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+:[^\s@/]+@[A-Za-z0-9.-]+(?::[0-9]+)?")
-CUE_GAP = re.compile(r"(?a:\x20?(?:no|nr|num|number|id)?\.?\x20*[:#=]?\x20*)", re.IGNORECASE)
+CUE_GAP = re.compile(r"(?a:\x20?(?:number|num|nr|no|id)?\.?\x20*[:#=]?\x20*)", re.IGNORECASE)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,19}(?![0-9])")
 
-# Fixed anchors: schemes and identifier cues (each also capitalised and in capitals).
+# Fixed anchors: schemes and identifier cues, in lower case; found in any case.
 SCHEMES = ("http://", "https://", "ftp://", "ftps://", "sftp://", "ssh://", "smtp://", "imap://", "jdbc:", "mongodb://", "redis://", "amqp://")
 CUES = ("iban", "ssn", "social security", "account", "acct", "passport", "routing", "customer id", "tax id")
 
@@ -58,12 +58,20 @@ def automaton() -> ahocorasick.Automaton:
         a.add_word(d, "0")
     for words, kind in ((SCHEMES, "scheme"), (CUES, "cue")):
         for w in words:
-            for form in {w, w.capitalize(), w.upper()}:
-                a.add_word(form, kind)
+            a.add_word(w, kind)
     a.make_automaton()
     return a
 
 
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def lowered(text: str) -> str:
+    """``text`` in lower case with the same offsets."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(LOWER)  # some letters have a longer lower case
+
+
 def luhn(digits: str) -> bool:
     odd = sum(int(d) for d in digits[-1::-2])
     even = sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])
@@ -101,7 +109,7 @@ class AnchorScanner:
     def scan(self, text: str) -> list[tuple[str, int, int]]:
         found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
         at = dict.fromkeys(KINDS, 0)  # where the next match of a kind may start
-        for last, anchor in self.anchors.iter(text):
+        for last, anchor in self.anchors.iter(lowered(text)):
             if anchor == "0":
                 if last >= at["ip"]:
                     self._ip(text, last, found, at)

@@ -84,3 +84,13 @@ def test_empty_and_repeated_rows(spark):
     schema = "doc_id bigint, text string"
     assert pii.pii_digests(pii.find_pii(spark.createDataFrame([], schema))).count() == 0
     assert [len(r.spans) for r in pii.find_pii(spark.createDataFrame([(None, "a@b.c")] * 3, schema)).collect()] == [1, 1, 1]
+
+
+def test_cues_and_schemes_in_any_case():
+    scan = pii.AnchorScanner().scan
+    for cue, number in (("Social Security Number: ", "123-45-6789"), ("Tax ID ", "123456789"), ("Customer ID: ", "12345678"),
+                        ("tAX Id ", "123456789"), ("sSN ", "123-45-6789"), ("account ", "12345678")):
+        for before in ("", "é漢😀 ", "İİ "):  # the last one's lower case is longer
+            text = before + cue + number
+            assert ("account", len(text) - len(number), len(text)) in scan(text), text
+    assert ("url", 8, 17) in scan("HttPS://u:p@a.com")
