@@ -55,7 +55,7 @@ def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     if scope is not None:
         scope.append(path)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str = "result") -> DataFrame:
@@ -65,8 +65,9 @@ def settled(spark: SparkSession, build: Callable[[], DataFrame], name: str = "re
     if scope is not None:
         scope.append(path)
     with discarding(spark):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        df = build()
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _value_bytes(col: Column, kind: DataType) -> Column:
