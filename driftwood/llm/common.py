@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import materialize
+from ..operators.sizing import materialize, settled
 from ..sources.tables import read_table
 
-__all__ = ["kind_count", "map_batches", "null_as_empty", "pick", "read_table", "release", "row_chunks", "small_batches", "span_text", "staged", "tuning"]
+__all__ = ["kind_count", "map_batches", "null_as_empty", "pick", "read_table", "release", "row_chunks", "settled", "small_batches", "span_text", "staged", "tuning"]
 
 BATCH_BYTES = 8 << 20
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, licenses, packing, pii, probminhash, repeats, secrets, toxicity
+from . import ann, chat, decontam, licenses, packing, pieces, pii, probminhash, repeats, secrets, toxicity, trie, whitening
 from .common import read_table
 
 QUERIES, ORACLE = {}, {}
@@ -103,3 +103,65 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of ``documents`` without repeated 200-byte strings."""
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable ``embeddings`` projected on their covariance's eight leading eigenvectors."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    return whitening.component_rows(whitening.whiten(rows, whitening.fit_whitening(rows)))
+
+
+# crc32 of a text of digits, with a table from the polynomial; conversations are rebuilt and keyed by the digests of their prefixes.
+TRIE_SQL = """
+WITH RECURSIVE table8(i, k, v) AS (
+  SELECT i, 0, CAST(i AS BIGINT) FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM table8 WHERE k < 8),
+crc_table AS (SELECT i, v FROM table8 WHERE k = 8),
+numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM numbered),
+crc(conv_id, s, place, c) AS (
+  SELECT conv_id, s, 1, CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL
+  SELECT c.conv_id, c.s, c.place + 1, xor(t.v, c.c // 256)
+  FROM crc c JOIN crc_table t ON t.i = xor(c.c % 256, CAST(ascii(substr(c.s, c.place, 1)) AS BIGINT)) WHERE c.place <= length(c.s)),
+convs AS (SELECT conv_id, xor(c, 4294967295) % 9 AS h FROM crc WHERE place = length(s) + 1),
+turns AS (
+  SELECT n.conv_id, n.pos, role, text FROM numbered n JOIN convs USING (conv_id) WHERE pos > h
+  UNION ALL
+  SELECT c.conv_id, n.pos, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id - c.conv_id % 5 WHERE n.pos <= c.h),
+ranked AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth, md5(length(role) || ':' || role || text) AS t, strlen(text) AS bytes FROM turns),
+chained AS (SELECT conv_id, depth, bytes, list(t) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM ranked),
+prefixes AS (
+  SELECT conv_id, CAST(depth AS BIGINT) AS depth, bytes, md5(array_to_string(path, '')) AS key,
+         CASE WHEN depth = 1 THEN 'root' ELSE md5(array_to_string(path[1:depth - 1], '')) END AS parent FROM chained
+  UNION ALL SELECT conv_id, 0, 0, 'root', NULL FROM convs),
+nodes AS (SELECT key, any_value(parent) AS parent, any_value(depth) AS depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n FROM prefixes GROUP BY key),
+kids AS (SELECT parent AS key, count(*) AS n_children FROM nodes GROUP BY parent),
+-- a node's ancestors and itself are the prefixes of its smallest member up to its depth
+below AS (
+  SELECT p.key, count(*) FILTER (k.key IS NULL) AS n_leaves, sum((n.n - 1) * n.bytes) AS saved
+  FROM nodes n LEFT JOIN kids k ON k.key = n.key JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.key),
+ends AS (
+  SELECT key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha
+  FROM (SELECT conv_id, key FROM prefixes QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY key)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+FROM nodes n JOIN below b ON b.key = n.key LEFT JOIN kids k ON k.key = n.key LEFT JOIN nodes up ON up.key = n.parent LEFT JOIN ends e ON e.key = n.key
+"""
+
+
+@query("op12_trie", TRIE_SQL)
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of the rebuilt ``conversations``."""
+    return trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@query("op13_pieces")
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of ``documents`` as pieces, and what they decode to."""
+    return pieces.piece_digests(pieces.round_trip(read_table(spark, sf_dir, "documents")))
