@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sizing import materialize, settled
+from ..operators.sizing import delete_path, materialize, settled
 from ..sources.tables import read_table
 
-__all__ = ["kind_count", "map_batches", "null_as_empty", "pick", "read_table", "release", "row_chunks", "settled", "small_batches", "span_text", "staged", "tuning"]
+__all__ = ["dropped", "kind_count", "map_batches", "null_as_empty", "pick", "read_table", "release", "row_chunks", "settled", "small_batches", "span_text", "staged", "tuning"]
 
 BATCH_BYTES = 8 << 20
 
@@ -29,6 +29,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete_path(df.sparkSession, path)
+
+
 def release() -> None:
     """Give freed memory back: Python workers live on after a task, next to those of later stages."""
     pa.default_memory_pool().release_unused()

@@ -10,18 +10,29 @@ first.  Two texts' registers agree with a probability equal to their similarity.
 ends as soon as its next arrival comes later than every register's first one.
 
 *Candidates.*  32 bands of 4 registers; texts that share a band meet in a bucket.  At
-similarity 0.8 two texts share a band but for a chance of 5e-8, and 13 on average.  In rounds,
-each bucket elects leaders (1, 2, 4 ... of it, the texts with the most companions in all their
-buckets first), which are paired with every member of another component, and retire; a bucket
-is done when the members left are one component.  So any two members of a bucket are in one
-component in the end, or were compared: a copied original is the first leader and links its
-variants at once; n texts that are alike but not near duplicates make up to n * (n - 1) / 2 pairs.
+similarity 0.8 two texts share a band but for a chance of 5e-8, and 13 on average.
+
+1. Star: in each bucket the text with the most companions in all its buckets is paired with
+   the others; a copied original links its variants at once.
+2. Buckets whose members still are of several components are compared inside tasks, by sketches of
+   1,024 registers of their own (a byte each): every two members of a bucket of up to ``WINDOW`` + 1;
+   in a larger bucket the members stand in the order of their sketches, another one for each
+   bucket, and meet the next ``WINDOW``.  Only pairs of different components whose estimate is at most ``ERRORS`` standard errors under the
+   threshold leave the task (2.4, so that a pair at exactly 0.8 is missed with a
+   chance of 0.8 %, one at 0.82 with 1e-4).
+3. Of those pairs, the best of every two components are verified first, in ``ROUNDS`` rounds, then all that still
+   join different components.
+
+So the rows that leave a step are at most members x bands in step 1 and members x bands x ``WINDOW`` in step 2, and what
+leaves step 2 in a crowd of texts that are alike but not near duplicates is the share of pairs near the threshold.  In buckets of more
+than ``WINDOW`` + 1 members of several components a link can be missed, if in none of their common buckets the two stand near
+each other and no other chain of links joins them; the tests state the recall.
 
 *Verification.*  Each pair's similarity is computed exactly from both texts, no pair twice.
 
 *Classes.*  Exact copies are one node from the start, by digest; verified pairs are joined to
-connected components.  Nothing but counts comes to the driver; buckets, copies and components
-of any size are split among tasks (partial aggregates joined back).
+connected components.  Nothing but counts comes to the driver; copies and components of any size are
+partial aggregates, joined back; large buckets are dealt to tasks by ranges of their order.
 
 Words are maximal runs of letters, digits and non-ASCII characters, ASCII letters in lower case.
 Defined results: null texts are empty; texts without words equal only their exact copies; rows
@@ -38,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, null_as_empty, pick, row_chunks, staged
+from .common import map_batches, null_as_empty, pick, release, row_chunks, settled, small_batches, staged, tuning
 from .decontam import FOLD
 from .graph import components
 
@@ -46,7 +57,10 @@ SHINGLE = 5
 REGISTERS, BANDS = 128, 32
 SIMILARITY = 0.8
 CHUNK = 1 << 20  # bytes of text that are hashed at once
-SHARE = 1 << 10  # members of a bucket that meet its leaders in one task
+SKETCH = 1024  # registers of the sketch that decides whether a pair is verified
+ERRORS = 2.4  # standard errors under the threshold at which an estimate is let go
+WINDOW = 127  # members that a member is compared with in a bucket
+ROUNDS = 3
 CACHED = 1 << 20  # shingles that a task keeps for its next pairs
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -106,31 +120,37 @@ def weighted_shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(h, return_counts=True)
 
 
-def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGISTERS) -> np.ndarray:
     """(texts, registers) shingle hashes; texts without shingles have zeros."""
-    n, k = len(sets), np.uint64(REGISTERS)
-    first = np.full(n * REGISTERS, np.inf)
-    sign = np.zeros(n * REGISTERS, dtype=np.uint64)
+    n, k = len(sets), np.uint64(registers)
+    first = np.full(n * registers, np.inf)
+    sign = np.zeros(n * registers, dtype=np.uint64)
     doc = np.repeat(np.arange(n), [len(s) for s, _ in sets])
     item = np.concatenate([s for s, _ in sets]) if n else np.zeros(0, dtype=np.uint64)
     rate = np.concatenate([c for _, c in sets]).astype(float) if n else np.zeros(0)
     for i in [i for i, (s, _) in enumerate(sets) if len(s) == 1]:
-        sign[i * REGISTERS:(i + 1) * REGISTERS] = sets[i][0][0]
+        sign[i * registers:(i + 1) * registers] = sets[i][0][0]
     alive = np.array([len(s) > 1 for s, _ in sets], dtype=bool)[doc] if len(doc) else np.zeros(0, dtype=bool)
     doc, item, rate = doc[alive], item[alive], rate[alive]
     time, turn = np.zeros(len(doc)), 0
     while len(doc):
         turn += 1
-        draw = mix(item + np.uint64(2 * turn) * _ODD)
+        step = np.array([2 * turn, 2 * turn + 1], dtype=np.uint64) * _ODD
+        draw = mix(item + step[0])
         time = time - np.log(((draw >> np.uint64(11)).astype(float) + 1) / 9007199254740992.0) / rate
-        slot = doc * REGISTERS + (mix(item + np.uint64(2 * turn + 1) * _ODD) % k).astype(np.int64)
+        slot = doc * registers + (mix(item + step[1]) % k).astype(np.int64)
         np.minimum.at(first, slot, time)
         won = first[slot] == time
         sign[slot[won]] = item[won]
-        latest = first.reshape(n, REGISTERS).max(axis=1)  # infinite while a register is empty
+        latest = first.reshape(n, registers).max(axis=1)  # infinite while a register is empty
         on = time < latest[doc]
         doc, item, rate, time = doc[on], item[on], rate[on], time[on]
-    return sign.reshape(n, REGISTERS)
+    return sign.reshape(n, registers)
+
+
+def sketches(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """(texts, SKETCH) bytes of registers, for estimates only."""
+    return (mix(signatures(sets, SKETCH)) >> np.uint64(56)).astype(np.uint8)
 
 
 def band_keys(sign: np.ndarray) -> np.ndarray:
@@ -183,32 +203,101 @@ def sign_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """``band, node, n, weight`` for ``node, bands`` rows: the members of buckets with more than one; ``n`` of them,
-    ``weight`` summed over a node's buckets."""
-    buckets = nodes.select("node", F.explode("bands").alias("band"))
+    """``band, at, node, n, weight`` for ``node, bands`` rows: the members of buckets with more than one; ``at`` is the band's
+    place, ``n`` the bucket's members, ``weight`` their sum over a node's buckets."""
+    buckets = nodes.select("node", F.posexplode("bands").alias("at", "band"))
     sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = staged(buckets.join(sizes, "band"), "buckets")
-    return shared.join(shared.groupBy("node").agg(F.sum("n").alias("weight")), "node").select("band", "node", "n", "weight")
+    return shared.join(shared.groupBy("node").agg(F.sum("n").alias("weight")), "node").select("band", "at", "node", "n", "weight")
+
+
+def star_pairs(members: DataFrame) -> DataFrame:
+    """``member, leader``: the heaviest member of each bucket with the others."""
+    best = members.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("best"))
+    pairs = members.join(best, "band").select("node", F.col("best.node").alias("other")).where("node <> other")
+    return pairs.select(F.greatest("node", "other").alias("member"), F.least("node", "other").alias("leader")).distinct()
+
+
+def with_components(rows: DataFrame, linked: DataFrame, node: str = "node", component: str = "component") -> DataFrame:
+    """``rows`` with the component of their ``node``: itself, if nothing is linked to it."""
+    known = linked.select(F.col("node").alias(node), F.col("component").alias(component))
+    return rows.join(known, node, "left").withColumn(component, F.coalesce(component, node))
 
 
-def elect(members: DataFrame, leaders: int) -> DataFrame:
-    """``members`` (with ``component``) of buckets that have several components, and whether each of them ``leads``:
-    the heaviest of each of ``leaders`` shares of its bucket."""
-    several = members.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("band")
-    rows = staged(members.join(several, "band").withColumn("slot", F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders))), "round")
-    best = rows.groupBy("band", "slot").agg(F.max(F.struct("weight", "node")).alias("best"))
-    return rows.join(best, ["band", "slot"]).withColumn("leads", F.col("node") == F.col("best.node")).drop("slot", "best")
+def open_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """The members, with ``component``, of buckets that have several components."""
+    now = staged(with_components(members, linked), "now")
+    several = now.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("band")
+    return staged(now.join(several, "band").select("band", "at", "node", "n", "component"), "open")
 
 
-def leader_pairs(elected: DataFrame) -> DataFrame:
-    """``member, leader``: each leader with its bucket's members of other components.  A large bucket's members are
-    dealt to shares of about SHARE, each of which meets all leaders."""
-    shares = F.floor(F.col("n") / SHARE)
-    leaders = elected.where("leads").select("band", F.col("node").alias("leader"), F.col("component").alias("theirs"),
-                                            F.explode(F.sequence(F.lit(0).cast("bigint"), shares)).alias("share"))
-    members = elected.select("band", F.col("node").alias("member"), "component", "leads", F.pmod(F.xxhash64("node"), shares + 1).alias("share"))
-    return (members.join(leaders, ["band", "share"]).where("component <> theirs and (not leads or member > leader)")
-            .select(F.greatest("member", "leader").alias("member"), F.least("member", "leader").alias("leader")).distinct())
+def sketch_texts(texts: DataFrame) -> DataFrame:
+    """``node, sketch`` for ``node, text`` rows."""
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts, out = batch.column("text").to_pylist(), []
+            for a, b in row_chunks([len(t) for t in texts], CHUNK):
+                out += [row.tobytes() for row in sketches([weighted_shingles(t) for t in texts[a:b]])]
+            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "sketch"])
+        return step
+    return map_batches(texts, make, "node bigint, sketch binary")
+
+
+def near_in_order(rows: DataFrame, least: float) -> DataFrame:
+    """``u, v, estimate`` of the pairs of different components within WINDOW places in a bucket whose estimate is at least ``least``, for
+    rows in order.  A pair that shares several small buckets leaves the first of them only."""
+    def run(batches):
+        tail: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = {c: batch.column(c).to_numpy() for c in ("band", "at", "node", "n", "component")}
+            now["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+            small = np.zeros((batch.num_rows, BANDS), dtype=np.int64)  # the keys of a row's small buckets by place
+            for i, shared in enumerate(batch.column("small").to_pylist()):
+                for x in shared:
+                    small[i, x["at"]] = x["band"]
+            now["small"] = small
+            old = len(tail["band"]) if tail else 0
+            if tail:
+                now = {c: np.concatenate([tail[c], v]) for c, v in now.items()}
+            found = []
+            for k in range(1, min(WINDOW, len(now["band"]) - 1) + 1):
+                second = np.arange(max(k, old), len(now["band"]))
+                second = second[now["band"][second] == now["band"][second - k]]
+                if not len(second):
+                    break  # no bucket is that long
+                second = second[now["component"][second] != now["component"][second - k]]
+                for a, b in row_chunks([SKETCH] * len(second), CHUNK):
+                    j = second[a:b]
+                    same = (now["sketch"][j] == now["sketch"][j - k]).mean(axis=1)
+                    estimate = (same - 1 / 256) / (1 - 1 / 256)
+                    j, estimate = j[estimate >= least], estimate[estimate >= least]
+                    common = (now["small"][j] == now["small"][j - k]) & (now["small"][j] != 0)
+                    here = np.where(common.any(axis=1), (common.argmax(axis=1) == now["at"][j]) & (now["n"][j] <= WINDOW + 1), True)
+                    found += zip(now["node"][j[here]].tolist(), now["node"][j[here] - k].tolist(), estimate[here].tolist())
+            tail = {c: v[-WINDOW:] for c, v in now.items()}
+            u, v, e = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(e, pa.float64())], ["u", "v", "estimate"])
+        release()
+    small_batches(rows.sparkSession)
+    return rows.mapInArrow(run, "u bigint, v bigint, estimate double")
+
+
+def near_pairs(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``u, v, estimate`` (u < v) of the pairs of ``open_buckets`` that may be near duplicates."""
+    least = similarity - ERRORS * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    parts = tuning(members.sparkSession)
+    small = members.groupBy("node").agg(F.collect_list(F.when(F.col("n") <= WINDOW + 1, F.struct("at", "band"))).alias("small"))  # BANDS at the most
+    known = staged(sketch_texts(texts.join(members.select("node").distinct(), "node")).join(small, "node"), "sketches")
+    # Another order in each bucket: by the sketch's bytes from another place on.
+    order = F.concat(F.expr(f"substring(sketch, at * {SKETCH // BANDS} + 1, {SKETCH // BANDS})"), F.col("sketch"))
+    rows = members.join(known, "node").withColumn("order", F.substring(order, 1, 64))
+    whole = rows.where(F.col("n") <= WINDOW + 1).repartition(parts, "band").sortWithinPartitions("band")
+    large = rows.where(F.col("n") > WINDOW + 1).repartitionByRange(parts, "band", "order").sortWithinPartitions("band", "order")
+    columns = ["band", "at", "node", "n", "component", "sketch", "small"]
+    found = near_in_order(whole.select(columns), least).unionAll(near_in_order(large.select(columns), least))
+    return found.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("estimate").alias("estimate"))
 
 
 def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -240,24 +329,31 @@ def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return map_batches(pairs, make, "u bigint, v bigint")
 
 
+def join_links(linked: DataFrame | None, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``node, component`` after the verification of ``member, leader`` pairs."""
+    both = (pairs.join(texts.select(F.col("node").alias("member"), F.col("text").alias("member_text")), "member")
+            .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text")), "leader"))
+    edges = verify(both, similarity)
+    return components(edges if linked is None else edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
+
 def link(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``node, component`` (as ``components``) once every two members of a bucket are linked or were compared."""
-    linked, tested, leaders = None, None, 1
-    now = members.withColumn("component", F.col("node"))
-    while True:
-        elected = staged(elect(now, leaders), "elected")
-        if elected.isEmpty():
-            return linked if linked is not None else components(members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
-        pairs = leader_pairs(elected)
-        pairs = staged(pairs if tested is None else pairs.join(tested, ["member", "leader"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        both = (pairs.join(texts.select(F.col("node").alias("member"), F.col("text").alias("member_text")), "member")
-                .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text")), "leader"))
-        edges = verify(both, similarity)
-        linked = staged(components(edges if linked is None else edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v")))), "linked")
-        left = elected.where("not leads").drop("leads", "component")
-        now = left.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        leaders *= 2
+    """``node, component`` (as ``components``) of the texts that verified pairs join."""
+    star = staged(star_pairs(members), "pairs")
+    linked = join_links(None, star, texts, similarity)
+    left = staged(near_pairs(open_buckets(members, linked), texts, similarity)
+                  .join(star.select(F.col("leader").alias("u"), F.col("member").alias("v")), ["u", "v"], "left_anti"), "candidates")
+    for turn in range(ROUNDS + 1):
+        left = staged(with_components(with_components(left.select("u", "v", "estimate"), linked, "u", "a"), linked, "v", "b").where("a <> b"), "candidates")
+        if left.isEmpty():
+            break
+        pairs = left
+        if turn < ROUNDS:  # the best of every two components
+            best = left.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(F.struct("estimate", "u", "v")).alias("best"))
+            pairs = staged(best.select("best.u", "best.v"), "pairs")
+            left = left.join(pairs, ["u", "v"], "left_anti")
+        linked = join_links(linked, pairs.select(F.col("v").alias("member"), F.col("u").alias("leader")), texts, similarity)
+    return linked
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -273,8 +369,8 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     digest = F.unhex(F.md5(F.encode(null_as_empty(F.col("text")), "utf-8")))
     rows = src.withColumn("digest", digest)
     # One row of a text's copies: its first id is part of the key, so copies don't meet in one task.
-    texts = staged(rows.join(wanted, (rows["digest"] == wanted["wanted"]) & rows["doc_id"].eqNullSafe(wanted["first_id"]))
-                   .select("node", null_as_empty(F.col("text")).alias("text")), "texts")
+    copies = rows.join(wanted, (rows["digest"] == wanted["wanted"]) & rows["doc_id"].eqNullSafe(wanted["first_id"]))
+    texts = staged(copies.groupBy("node").agg(F.first(null_as_empty(F.col("text"))).alias("text")), "texts")
     linked = link(members, texts, similarity)
     labels = nodes.select("digest", "node").join(linked, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     return signed.select("doc_id", "digest").join(labels, "digest").select("doc_id", "digest", "component")
@@ -282,7 +378,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id`` (the smallest id of the class) for every row."""
-    rows = staged(classify(docs, id_col, text_col, similarity), "classes")
+    rows = settled(docs.sparkSession, lambda: classify(docs, id_col, text_col, similarity), "classes")
     first = rows.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     return rows.join(first, "component").select("doc_id", "class_id")
 
@@ -290,12 +386,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class, the one with the smallest id (of several texts under that id, the
     one with the smallest digest; of equal rows, one); all columns as they were."""
-    rows = classify(docs, id_col, text_col, similarity)
-    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best")
-    keepers = staged(rows.groupBy("component").agg(best).select(row_key(F.col("best.doc_id"), F.col("best.digest")).alias("__key")), "keepers")
+    def keepers() -> DataFrame:
+        rows = staged(classify(docs, id_col, text_col, similarity), "classes")
+        best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best"))
+        return best.select(row_key(F.col("best.doc_id"), F.col("best.digest")).alias(key))
+    key = "key"
+    while key in {c.lower() for c in docs.columns}:  # no column of the table has that name
+        key += "_"
+    kept = settled(docs.sparkSession, keepers, "keepers")
     digest = F.unhex(F.md5(F.encode(null_as_empty(docs[text_col]), "utf-8")))
-    keyed = docs.withColumn("__key", row_key(docs[id_col], digest))
-    return keyed.join(keepers, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    keyed = docs.withColumn(key, row_key(docs[id_col], digest))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 def row_key(doc_id, digest) -> F.Column:
