@@ -4,6 +4,10 @@ Prices are ``decimal(18,6)`` and travel as integer *units* (millionths of the cu
 sums of units are exact, rolling means compare exactly (``4*sum10 > sum40``) and the
 displayed mean is one IEEE division of an exact integer, which any engine reproduces bit
 for bit.  A price with more than six decimals is rejected where it is parsed, never rounded.
+
+Prices of more than ``MAX_PRICE`` either way are rejected with a reason, in lines (``bad_range``) and in tables
+(``out_of_range``) alike: up to it, the sums and products of the moving averages stay in 64 bits.  Sums over windows,
+which any number of rows may enter, are decimals.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from .timefmt import py_datetime_str
 
 PRICE_TYPE = "decimal(18,6)"
 UNITS = 1_000_000  # units of one currency unit
+MAX_PRICE = 1_000_000_000
+MAX_UNITS = MAX_PRICE * UNITS
 # Fixed values of the trading rule: a $100,000 budget per signal.
 BUDGET_UNITS = 100_000 * UNITS
 
@@ -24,6 +30,16 @@ def units(price: Column) -> Column:
     return (price.cast(PRICE_TYPE) * UNITS).cast("bigint")
 
 
+def wide(units_col: Column) -> Column:
+    """Units for sums over any number of rows."""
+    return units_col.cast("decimal(28,0)")
+
+
+def fits_long(factor: int) -> bool:
+    """Whether ``factor`` times the largest units stays in 64 bits."""
+    return factor * MAX_UNITS < 1 << 63
+
+
 def price_of(price_units: Column) -> Column:
     """Units -> the exact decimal price."""
     return (price_units.cast("decimal(24,0)") / UNITS).cast(PRICE_TYPE)

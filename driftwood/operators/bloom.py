@@ -55,12 +55,17 @@ def build(words: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K, word: str =
     """
     w = words.select(word).distinct()
     pos = positions(w, m, k, word).select("pos").distinct()
+    return pack(pos, m, k, w.select(F.count(F.lit(1))).scalar())
+
+
+def pack(pos: DataFrame, m: int, k: int, n_words: Column) -> DataFrame:
+    """The artifact of distinct set positions."""
     per_byte = pos.groupBy(F.floor(F.col("pos") / 8).cast("int").alias("b")).agg(
         F.sum(F.expr("shiftleft(1, 7 - pos % 8)")).cast("int").alias("v"),
         F.count(F.lit(1)).alias("nset"))
     # Segments of fixed size first: a map lookup is linear in the map, so one map of all bytes would be quadratic.
     filled = per_byte.select(F.floor(F.col("b") / SEGMENT).cast("int").alias("seg"), (F.col("b") % SEGMENT).alias("b"), "v", "nset")
-    segments = words.sparkSession.range(math.ceil(m / 8 / SEGMENT)).select(F.col("id").cast("int").alias("seg"))
+    segments = pos.sparkSession.range(math.ceil(m / 8 / SEGMENT)).select(F.col("id").cast("int").alias("seg"))
     packed_segments = segments.join(filled.groupBy("seg").agg(
         F.map_from_entries(F.collect_list(F.struct("b", "v"))).alias("mp"), F.sum("nset").alias("nset")), "seg", "left")
     size = F.least(F.lit(SEGMENT), F.lit(math.ceil(m / 8)) - F.col("seg") * SEGMENT)
@@ -69,12 +74,58 @@ def build(words: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K, word: str =
     packed = packed_segments.select("seg", "nset", F.array_join(hexes, "").alias("hx")).agg(
         F.sort_array(F.collect_list(F.struct("seg", "hx"))).alias("parts"), F.sum("nset").alias("bits_set"))
     b64 = F.regexp_replace(F.base64(F.unhex(F.array_join(F.transform("parts", lambda p: p["hx"]), ""))), "[\\r\\n]", "")
-    n_words = w.select(F.count(F.lit(1))).scalar()
     return packed.select(F.lit(m).alias("m"), F.lit(k).alias("k"), n_words.alias("n_words"),
                          F.coalesce(F.col("bits_set"), F.lit(0)).cast("bigint").alias("bits_set"),
                          b64.alias("bits_b64"))
 
 
+BITMAP_BITS = 32768  # of one bitmap of Spark's bitmap aggregates (fixed value)
+
+
+def build_bitmaps(words: DataFrame, m: int = DEFAULT_M, k: int = DEFAULT_K, word: str = "word") -> DataFrame:
+    """The filter as ``(m, k, bucket, bitmap)`` rows, one for each 32,768 bits that have a set one: partial bitmaps are
+    OR-ed by the aggregate, before and after the shuffle.  Rows of several filters can be merged."""
+    pos = positions(words.select(word).distinct(), m, k, word).select((F.col("pos") + 1).cast("bigint").alias("p"))
+    return (pos.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap"))
+            .select(F.lit(m).alias("m"), F.lit(k).alias("k"), "bucket", "bitmap"))
+
+
+def merge_bitmaps(*parts: DataFrame) -> DataFrame:
+    """OR of filters; only those with the same ``m`` and ``k`` meet."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy("m", "k", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def bits_set(bitmaps: DataFrame) -> DataFrame:
+    """``(m, k, bits_set)``, counted in the bitmaps."""
+    return bitmaps.groupBy("m", "k").agg(F.sum(F.bitmap_count("bitmap")).alias("bits_set"))
+
+
+def bitmap_positions(bitmaps: DataFrame) -> DataFrame:
+    """``(pos)`` of every set bit: the lowest bit of a byte is its first position."""
+    starts = F.sequence(F.lit(0), F.lit(BITMAP_BITS // 8 - SEGMENT), F.lit(SEGMENT))
+    seg = bitmaps.select("bucket", F.explode(F.transform(starts, lambda a: F.struct(a.alias("start"), F.hex(F.substring(F.col("bitmap"), a + 1, SEGMENT)).alias("hx")))).alias("s"))
+    byte = seg.select("bucket", F.col("s.start").alias("start"), F.col("s.hx").alias("hx"), F.explode(F.sequence(F.lit(0), F.lit(SEGMENT - 1))).alias("b"))
+    byte = byte.select("bucket", (F.col("start") + F.col("b")).alias("byte"), F.conv(F.substring(F.col("hx"), F.col("b") * 2 + 1, F.lit(2)), 16, 10).cast("int").alias("v")).filter("v > 0")
+    bits = byte.select("bucket", "byte", "v", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i")).filter("shiftright(v, i) % 2 = 1")
+    return bits.select(((F.col("bucket") - 1) * BITMAP_BITS + F.col("byte") * 8 + F.col("i")).cast("int").alias("pos"))
+
+
+def save_text(artifact: DataFrame, path: str) -> str:
+    """The Base64 bits alone, as one line of text; ``m`` and ``k`` are the reader's to know."""
+    artifact.select("bits_b64").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def reload_text(spark: SparkSession, path: str, m: int, k: int) -> DataFrame:
+    """The artifact of a text line and the caller's ``m`` and ``k`` (``n_words`` and ``bits_set`` aren't known): blanks around the
+    line are dropped, a line too short for ``m`` has no further bits set."""
+    return spark.read.text(path).filter("trim(value) <> ''").limit(1).select(
+        F.lit(m).alias("m"), F.lit(k).alias("k"), F.lit(None).cast("bigint").alias("n_words"), F.lit(None).cast("bigint").alias("bits_set"), F.trim("value").alias("bits_b64"))
+
+
 def save(artifact: DataFrame, path: str) -> str:
     """Persist the one-row artifact (parameters stored with the bits)."""
     artifact.coalesce(1).write.mode("overwrite").parquet(path)

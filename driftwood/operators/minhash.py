@@ -47,15 +47,6 @@ def residues(text: Column, modulus: int = MODULUS) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.pmod(md5_u32(w), F.lit(modulus))))
 
 
-def signature_of(res: Column, num_hashes: int = NUM_HASHES, modulus: int = MODULUS) -> Column:
-    """Signature array from a residue array; null when there is no shingle."""
-    sig = F.transform(
-        F.sequence(F.lit(0), F.lit(num_hashes - 1)),
-        lambda i: F.array_min(F.transform(
-            res, lambda r: F.pmod((i * 2 + 1) * r + i * 100 + 2, F.lit(modulus)))).cast("int"))
-    return F.when(F.size(res) > 0, sig)
-
-
 def hash_table(spark: SparkSession, num_hashes: int = NUM_HASHES, modulus: int = MODULUS) -> DataFrame:
     """``(r, i, h)`` with ``h = h_i(r)`` for every residue ``r < M`` and ``i < n``."""
     r = spark.range(modulus).select(F.col("id").cast("int").alias("r"))
@@ -113,13 +104,6 @@ def signatures_relational(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     .alias("signature"))
 
 
-def signatures_rowwise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       num_hashes: int = NUM_HASHES, modulus: int = MODULUS) -> DataFrame:
-    """Row-local twin of ``signatures`` with array lambdas (no shuffle; slower per row)."""
-    r = docs.select(id_col, residues(F.col(text_col), modulus).alias("_r"))
-    return r.select(id_col, signature_of(F.col("_r"), num_hashes, modulus).alias("signature"))
-
-
 def signatures_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     num_hashes: int = NUM_HASHES, modulus: int = MODULUS) -> DataFrame:
     """``(doc_id, i, minhash)``: one row per signature entry (the printed report, as rows); a text

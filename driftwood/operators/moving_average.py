@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import UNITS, price_of, shares_for_budget, signal_message
+from ..functions.money import UNITS, fits_long, price_of, shares_for_budget, signal_message
 from ..sources.quotes import usable
 from .rolling import rolling_sums
 
@@ -52,6 +52,8 @@ def rolling_ma_pair(quotes: DataFrame, fast: int = FAST, slow: int = SLOW, bucke
 
 def _cmp(df_fast: Column, df_slow: Column, fast: int, slow: int):
     """(fast mean > slow mean, fast mean < slow mean) on exact sums."""
+    if not fits_long(fast * slow):
+        df_fast, df_slow = df_fast.cast("decimal(28,0)"), df_slow.cast("decimal(28,0)")
     lhs, rhs = df_fast * slow, df_slow * fast
     return lhs > rhs, lhs < rhs
 

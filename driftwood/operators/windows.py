@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import UNITS
+from ..functions.money import MAX_UNITS, UNITS, wide
 from ..sources.quotes import usable
 
 
@@ -29,7 +29,7 @@ def mean_of(sum_units: Column, n: Column) -> Column:
 
 def usable_by(quotes: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Quotes that count for a mean: with a price, a time and (if it is a key) a symbol."""
-    return usable(quotes) if "symbol" in keys else quotes.filter("ts IS NOT NULL AND units IS NOT NULL")
+    return usable(quotes) if "symbol" in keys else quotes.filter(F.col("ts").isNotNull() & F.col("units").between(-MAX_UNITS, MAX_UNITS))
 
 
 def window_sums(quotes: DataFrame, width: str, keys: Sequence[str] = ("symbol",),
@@ -37,7 +37,7 @@ def window_sums(quotes: DataFrame, width: str, keys: Sequence[str] = ("symbol",)
     """``(keys..., window_start, window_end, sum_units, n)`` per tumbling window (partial+final agg)."""
     w = F.window(ts, width)
     return (usable_by(quotes, keys).groupBy(*keys, w.alias("w"))
-            .agg(F.sum("units").alias("sum_units"), F.count(F.lit(1)).alias("n"))
+            .agg(F.sum(wide(F.col("units"))).alias("sum_units"), F.count(F.lit(1)).alias("n"))
             .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "sum_units", "n"))
 

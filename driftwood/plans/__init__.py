@@ -4,4 +4,4 @@ Importing this package imports every plan module, which fills the registry.
 """
 
 from .registry import ORACLE, QUERIES, register  # noqa: F401
-from . import quotes, windows, history, text, minhash, streams  # noqa: F401,E402
+from . import quotes, windows, history, text, minhash, similar, streams  # noqa: F401,E402

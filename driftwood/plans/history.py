@@ -45,10 +45,10 @@ def backfill_dedup(spark, sf_dir):
 @register("union_sorted", f"""
 WITH {Q} SELECT event_id, ts, symbol, price FROM q""")
 def union_sorted(spark, sf_dir):
-    """The histories of all symbols, one by one, in one sorted table."""
+    """The histories of two groups of symbols (by a hash, a missing symbol included) in one sorted table."""
     h = _hist(spark, sf_dir)
-    symbols = ("click", "error", "purchase", "signup", "view")  # fixed: the symbols of the events table
-    return hist.union_sorted(*[h.filter(F.col("symbol") == s) for s in symbols])
+    group = F.pmod(F.xxhash64("symbol"), F.lit(2))
+    return hist.union_sorted(*[h.filter(group == g) for g in (0, 1)])
 
 
 @register("latest_per_symbol", f"""
@@ -124,3 +124,37 @@ def backfill_tagged(spark, sf_dir):
     h = _hist(spark, sf_dir)
     fetch = [h.filter(F.col("symbol") == s).drop("symbol") for s in ("purchase", "view", "click")]
     return hist.assemble_chunks([(i, s, rows) for i, (s, rows) in enumerate(zip(("purchase", "view", "click"), fetch))])
+
+
+# Of the four planned chunks one was fetched whole, one never, one holds no quotes and one nothing but its header.
+MANIFEST_SQL = f"""{Q}, {GIVEN_CHUNKS}, n AS (
+  SELECT c.chunk_no, count(q.ts) AS n FROM c LEFT JOIN q ON q.ts >= c.fetch_start AND q.ts <= c.fetch_end GROUP BY 1)"""
+
+
+def _damaged_chunks(spark, sf_dir):
+    h = _hist(spark, sf_dir)
+    plan = hist.backfill_chunks(h, STEP, OVERLAP, start=GIVEN[0], end=GIVEN[1])
+    fetched = hist.backfill_overlap(h, STEP, OVERLAP, start=GIVEN[0], end=GIVEN[1])
+    path = hist.land_chunk_files(fetched.filter("chunk_no = 0"), work_path(spark, "chunk-files"))
+    fetched.filter("chunk_no = 2").select(F.concat(F.lit("<html>"), F.col("symbol")).alias("value")).write.text(f"{path}/chunk_no=2")
+    spark.range(1).select(F.lit(hist.CHUNK_HEADER).alias("value")).coalesce(1).write.text(f"{path}/chunk_no=3")
+    return path, plan
+
+
+@register("backfill_manifest", f"""
+WITH {MANIFEST_SQL}
+SELECT chunk_no, CASE WHEN chunk_no = 1 THEN 'absent' WHEN chunk_no = 3 OR n = 0 THEN 'empty' WHEN chunk_no = 2 THEN 'failed' ELSE 'ok' END AS status,
+       CASE WHEN chunk_no = 0 THEN n ELSE 0 END AS n_rows, CASE WHEN chunk_no = 2 THEN n ELSE 0 END AS n_bad FROM n""")
+def backfill_manifest(spark, sf_dir):
+    """What became of every planned chunk: a bad or missing file is a row of the report, not a failed job."""
+    path, plan = _damaged_chunks(spark, sf_dir)
+    return hist.manifest_report(spark, path, plan)
+
+
+@register("backfill_from_files", f"""
+WITH {MANIFEST_SQL}
+SELECT c.chunk_no, q.ts, q.symbol, q.price FROM q JOIN c ON q.ts >= c.fetch_start AND q.ts <= c.fetch_end WHERE c.chunk_no = 0""")
+def backfill_from_files(spark, sf_dir):
+    """The rows of the chunks that could be read."""
+    path, plan = _damaged_chunks(spark, sf_dir)
+    return hist.read_chunk_files(spark, path, plan)

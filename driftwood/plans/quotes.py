@@ -22,9 +22,9 @@ ROLL = """r AS (SELECT *, row_number() OVER w AS rn,
        sum(cents) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS p10,
        sum(cents) OVER (w ROWS BETWEEN 40 PRECEDING AND 1 PRECEDING) AS p40
   FROM q WINDOW w AS (PARTITION BY symbol ORDER BY ts, event_id))"""
-SIGNALS = f"""WITH {Q_USER}, {ROLL},
-s AS (SELECT *, CASE WHEN rn >= 41 AND 4*s10 > s40 AND NOT (4*p10 > p40) THEN 'buy'
+CROSSED = """s AS (SELECT *, CASE WHEN rn >= 41 AND 4*s10 > s40 AND NOT (4*p10 > p40) THEN 'buy'
                      WHEN rn >= 41 AND 4*s10 < s40 AND NOT (4*p10 < p40) THEN 'sell' END AS side FROM r)"""
+SIGNALS = f"WITH {Q_USER}, {ROLL}, {CROSSED}"
 PYTS = """CASE WHEN strftime(ts, '%f') = '000000' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
           ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END"""
 

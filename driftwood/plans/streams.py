@@ -11,6 +11,7 @@ from ..session import work_path
 from ..sources import documents as docs
 from ..sources import quotes as qs
 from ..sources.tables import read_documents, read_quotes
+from ..streaming import batches
 from ..streaming import bloom as sbloom
 from ..streaming import crossover as sx
 from ..streaming import io
@@ -22,7 +23,7 @@ from . import windows as pw
 from .registry import register
 
 N_FILES = 4  # slices of a replay at least
-N_DOC_SLICES = 4  # micro-batches of the document-line replays
+N_DOC_SLICES = 4  # micro-batches of the document-line replays at least
 
 
 def _state_partitions(spark):
@@ -55,6 +56,14 @@ def _parsed_stream(spark, path):
     return qs.accepted(qs.parse_lines4(lines))
 
 
+def _land_document_lines(spark, sf_dir):
+    """Document lines in slices with a file for each core, so that a micro-batch is scanned by all of them."""
+    lines = docs.document_lines(read_documents(spark, sf_dir))
+    files = spark.sparkContext.defaultParallelism
+    slices = max(N_DOC_SLICES, lines.rdd.getNumPartitions() // files)
+    return io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), slices, "doc_id", files_per_slice=files), files
+
+
 @register("tumbling_avg_stream", QUERY_SQL["tumbling_avg_10d"])
 def tumbling_avg_stream(spark, sf_dir):
     """10-day mean of one symbol, complete mode (all windows re-emitted every trigger)."""
@@ -84,11 +93,10 @@ def window_ma_stream(spark, sf_dir):
 @register("bloom_stream", QUERY_SQL["bloom_verdict"])
 def bloom_stream(spark, sf_dir):
     """Token verdicts scored per micro-batch of a document-line stream."""
-    lines = docs.document_lines(read_documents(spark, sf_dir))
-    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_DOC_SLICES, "doc_id")
+    landing, files = _land_document_lines(spark, sf_dir)
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "bloom-stream-out")
-    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files,
                          schema="doc_id bigint, line_no int, line string")
     io.run_available(src, "bloom_stream", foreach_batch=sbloom.verdict_writer(bits, out, pt.M, pt.K))
     return spark.read.parquet(out).select("doc_id", "line_no", "pos", "word", "verdict")
@@ -110,11 +118,10 @@ def crossover_stream(spark, sf_dir):
 @register("sentence_gate_stream", QUERY_SQL["sentence_gate"])
 def sentence_gate_stream(spark, sf_dir):
     """Lines without a positive token, gated per micro-batch of a document-line stream."""
-    lines = docs.document_lines(read_documents(spark, sf_dir))
-    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_DOC_SLICES, "doc_id")
+    landing, files = _land_document_lines(spark, sf_dir)
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "sentence-gate-out")
-    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files,
                          schema="doc_id bigint, line_no int, line string")
     io.run_available(src, "sentence_gate_stream", foreach_batch=sbloom.sentence_gate_writer(bits, out, pt.M, pt.K))
     return spark.read.parquet(out).select("doc_id", "line_no", "line")
@@ -122,7 +129,7 @@ def sentence_gate_stream(spark, sf_dir):
 
 def _batch_no(spark_side: bool) -> str:
     """Micro-batches of the gate: 32 lines of 500 documents each (documents in order of their ids)."""
-    return "CAST(floor(doc_id / 500) * 100000 + floor(line_no / 32) AS INT)" if spark_side else "CAST(doc_id // 500 * 100000 + line_no // 32 AS INTEGER)"
+    return "CAST(floor(doc_id / 500) * 100000000 + floor(line_no / 32) AS BIGINT)" if spark_side else "CAST(doc_id // 500 * 100000000 + line_no // 32 AS BIGINT)"
 
 
 @register("batch_gate_stream", f"""
@@ -137,7 +144,7 @@ def batch_gate_stream(spark, sf_dir):
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "batch-gate-out")
     src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
-                         schema="doc_id bigint, line_no int, line string, b int").drop("b")
+                         schema="doc_id bigint, line_no int, line string, b bigint").drop("b")
     io.run_available(src, "batch_gate_stream", foreach_batch=sbloom.batch_gate_writer(bits, out, pt.M, pt.K))
     return spark.read.parquet(out).select("doc_id", "line_no", "line")
 
@@ -145,10 +152,9 @@ def batch_gate_stream(spark, sf_dir):
 @register("first_token_stream", QUERY_SQL["first_token"])
 def first_token_stream(spark, sf_dir):
     """The first token of every line of a document-line stream (stateless projection)."""
-    lines = docs.document_lines(read_documents(spark, sf_dir))
-    landing = io.land_time_slices(lines, work_path(spark, "replay-doc-lines"), N_DOC_SLICES, "doc_id")
+    landing, files = _land_document_lines(spark, sf_dir)
     out = work_path(spark, "first-token-out")
-    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1, schema="doc_id bigint, line_no int, line string")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files, schema="doc_id bigint, line_no int, line string")
     io.run_available(docs.first_token(src), "first_token_stream", "append", out)
     return spark.read.parquet(out)
 
@@ -183,3 +189,61 @@ def backfill_dedup_stream(spark, sf_dir):
     r = spark.read.parquet(out)
     return r.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "symbol", "price")
 
+
+# Arrivals for the late-row replays: an eighth of the events a micro-batch, every seventh event two micro-batches late.
+LATE_DELAY = "1 hour"
+ARRIVALS_SQL = f"""
+a AS (SELECT event_id, ts, event_type AS symbol, CAST(value AS DECIMAL(18,6)) AS price, CAST(round(value * 100) AS BIGINT) AS cents,
+             CAST(event_id * 8 // (SELECT max(event_id) + 1 FROM events) + CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END AS BIGINT) AS arrival FROM events),
+m AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM a GROUP BY arrival),
+j AS (SELECT a.*, coalesce(ts <= mark - INTERVAL '{LATE_DELAY}', false) AS late FROM a JOIN m USING (arrival))"""
+
+
+def _land_arrivals(spark, sf_dir):
+    """A folder for each micro-batch; the folder's number is its place in the replay."""
+    q = read_quotes(spark, sf_dir, "event_type")
+    events = (q.agg(F.max("event_id")).first()[0] or 0) + 1
+    q = q.withColumn("arrival", F.expr(f"event_id * 8 div {events} + IF(event_id % 7 = 0, 2, 0)").cast("bigint"))
+    landing = work_path(spark, "replay-late")
+    q.repartitionByRange(_state_partitions(spark), "arrival").sortWithinPartitions("arrival").write.partitionBy("arrival").parquet(landing)
+    io.order_folders(spark, landing)
+    return io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+                          schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,6), units bigint, arrival bigint")
+
+
+@register("late_rows_stream", f"""WITH {ARRIVALS_SQL}
+SELECT arrival, event_id, symbol, ts, price, CASE WHEN late THEN 'late' END AS reject FROM j""")
+def late_rows_stream(spark, sf_dir):
+    """Every arrival of a replay with stragglers, with the reason why it is late or none: both outputs of the split."""
+    src = _land_arrivals(spark, sf_dir)
+    on_time, late = work_path(spark, "on-time"), work_path(spark, "late")
+    io.run_available(src, "late_rows_stream", foreach_batch=batches.late_split_writer(on_time, late, work_path(spark, "late-state"), LATE_DELAY))
+    cols = ["arrival", "event_id", "symbol", "ts", "price"]
+    kept = spark.read.parquet(on_time).select(*cols, F.lit(None).cast("string").alias("reject"))
+    return kept.unionByName(spark.read.parquet(late).select(*cols, "reject"))
+
+
+@register("crossover_late_stream", f"""
+WITH {ARRIVALS_SQL}, q AS (SELECT * FROM j WHERE NOT late), {pq.ROLL}, {pq.CROSSED}
+SELECT symbol, ts, event_id, side, price, CAST(10000000 // cents AS BIGINT) AS shares,
+       CAST(s10 AS DOUBLE) / CAST(1000 AS DOUBLE) AS ma10, CAST(s40 AS DOUBLE) / CAST(4000 AS DOUBLE) AS ma40
+FROM s WHERE side IS NOT NULL
+  AND ts <= (SELECT max(ts) FROM q) - INTERVAL '{LATE_DELAY}'""")
+def crossover_late_stream(spark, sf_dir):
+    """Crossover signals of five hot symbols from the same replay: state in tables, each symbol split by time, late rows left out."""
+    src = _land_arrivals(spark, sf_dir).drop("arrival")
+    out = work_path(spark, "crossover-late")
+    io.run_available(src, "crossover_late_stream", foreach_batch=batches.crossover_writer(out, work_path(spark, "late"), work_path(spark, "crossover-state"), LATE_DELAY))
+    return spark.read.parquet(out).drop("units", "batch_id")
+
+
+@register("latest_snapshot_stream", QUERY_SQL["latest_snapshot"])
+def latest_snapshot_stream(spark, sf_dir):
+    """Newest quotes as a running query: every trigger publishes a whole snapshot; the last one is read."""
+    from ..sources import history as hist
+    q = read_quotes(spark, sf_dir, "event_type").select("event_id", "ts", "symbol", "price")
+    landing = io.land_time_slices(q, work_path(spark, "replay-latest"), io.slices_for(q, N_FILES), "ts")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1, schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,6)")
+    path = work_path(spark, "snapshots")
+    io.run_available(hist.latest_stream(src), "latest_snapshot_stream", "update", foreach_batch=hist.snapshot_writer(path), state_partitions=_state_partitions(spark))
+    return hist.snapshot_lines(hist.read_snapshot(spark, path))

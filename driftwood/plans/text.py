@@ -126,6 +126,23 @@ def bloom_save(spark, sf_dir):
     return bloom.reload(spark, path)
 
 
+@register("bloom_merge", f"SELECT m, k, bits_set, bits_b64 FROM ({BUILD_SQL(M, K)})")
+def bloom_merge(spark, sf_dir):
+    """Half of the listed words in a saved filter, the other half OR-ed into it: equal to a rebuild, bit for bit."""
+    bad, half = _bad(spark, sf_dir), F.pmod(F.xxhash64("word"), F.lit(2))
+    path = work_path(spark, "bloom-bitmaps")
+    bloom.build_bitmaps(bad.filter(half == 0), M, K).write.parquet(path)
+    merged = bloom.merge_bitmaps(spark.read.parquet(path), bloom.build_bitmaps(bad.filter(half == 1), M, K))
+    return bloom.pack(bloom.bitmap_positions(merged), M, K, F.lit(None).cast("bigint")).select("m", "k", "bits_set", "bits_b64")
+
+
+@register("bloom_reload_text", f"WITH {LEX}, {BAD}, {BITS()} SELECT pos FROM bits")
+def bloom_reload_text(spark, sf_dir):
+    """Set-bit positions of a text artifact that stores the Base64 line only."""
+    path = bloom.save_text(bloom.build(_bad(spark, sf_dir), M, K), work_path(spark, "bloom-text"))
+    return bloom.set_bits(bloom.reload_text(spark, path, M, K))
+
+
 @register("bloom_reload", f"WITH {LEX}, {BAD}, {BITS()} SELECT pos FROM bits")
 def bloom_reload(spark, sf_dir):
     """Set-bit positions decoded from the saved Base64 artifact."""

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.money import PRICE_TYPE, price_text, units
+from ..functions.money import MAX_PRICE, MAX_UNITS, PRICE_TYPE, price_text, units
 from ..functions.timefmt import SECOND_FMT
 
 
@@ -52,18 +52,19 @@ def _reject(fields: Column, ts: Column, symbol: Column, token: Column) -> Column
             .when(ts.isNull(), F.lit("bad_timestamp"))
             .when(symbol == "", F.lit("bad_symbol"))
             .when(token.try_cast("double").isNull() | token.rlike("^[+-]?[a-zA-Z]"), F.lit("bad_price"))
+            .when(F.abs(token.try_cast("double")) > MAX_PRICE, F.lit("bad_range"))
             .when(~_scale_fits(token), F.lit("bad_scale")))
 
 
 def usable(quotes: DataFrame, *, value: str = "units") -> DataFrame:
-    """The quotes that batch and stream work on alike: those with a symbol, a time and a price."""
-    return quotes.filter(F.col("symbol").isNotNull() & F.col("ts").isNotNull() & F.col(value).isNotNull())
+    """The quotes that batch and stream work on alike: those with a symbol, a time and a price in range."""
+    return quotes.filter(F.col("symbol").isNotNull() & F.col("ts").isNotNull() & F.col(value).between(-MAX_UNITS, MAX_UNITS))
 
 
 def unusable(quotes: DataFrame, *, value: str = "units") -> DataFrame:
     """The others, with the reason."""
     reason = (F.when(F.col("symbol").isNull(), F.lit("null_symbol")).when(F.col("ts").isNull(), F.lit("null_time"))
-              .when(F.col(value).isNull(), F.lit("null_price")))
+              .when(F.col(value).isNull(), F.lit("null_price")).when(~F.col(value).between(-MAX_UNITS, MAX_UNITS), F.lit("out_of_range")))
     return quotes.withColumn("reject", reason).filter(F.col("reject").isNotNull())
 
 
@@ -150,19 +151,25 @@ def land_quote_json(quotes: DataFrame, path: str, page_rows: int = 16) -> str:
     return path
 
 
-def latest_from_json(spark: SparkSession, path: str) -> DataFrame:
-    """Newest quote per symbol: ``values[0]`` of each page, then the newest page head.
-
-    A page without ``values`` contributes nothing (the reference returns None then).
-    """
+def json_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """Every entry of every page: ``symbol, ts, close, id`` and ``reject`` (null, or why the entry is left out).  A page
+    without entries is one row with ``no_values``."""
     pages = spark.read.schema(JSON_SCHEMA).json(path)
-    head = F.get(F.col("values"), F.lit(0))
-    heads = pages.select(
-        "symbol",
-        F.try_to_timestamp(head["datetime"], F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).cast("timestamp_ntz").alias("ts"),
-        head["close"].try_cast(PRICE_TYPE).alias("close"), head["id"].alias("id"),
-    ).filter(F.col("close").isNotNull() & F.col("ts").isNotNull())
-    return (heads.groupBy("symbol")
+    rows = pages.select("symbol", F.explode_outer("values").alias("v"))
+    ts = F.try_to_timestamp(F.col("v.datetime"), F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).cast("timestamp_ntz")
+    close = F.col("v.close").try_cast(PRICE_TYPE)
+    reject = (F.when(F.col("v").isNull(), F.lit("no_values")).when(ts.isNull(), F.lit("bad_timestamp"))
+              .when(F.col("v.close").try_cast("double").isNull(), F.lit("bad_price"))
+              .when(F.abs(F.col("v.close").try_cast("double")) > MAX_PRICE, F.lit("bad_range"))
+              .when(~_scale_fits(F.col("v.close")), F.lit("bad_scale")))
+    return rows.select("symbol", ts.alias("ts"), close.alias("close"), F.col("v.id").alias("id"), reject.alias("reject"))
+
+
+def latest_from_json(spark: SparkSession, path: str) -> DataFrame:
+    """Newest quote per symbol over all entries of all pages; a page whose first entry is bad still counts
+    with its others."""
+    rows = json_quotes(spark, path).filter(F.col("reject").isNull())
+    return (rows.groupBy("symbol")
             .agg(F.max_by(F.struct("ts", "close"), F.struct("ts", "id", "close")).alias("m"))
             .select("symbol", F.col("m.ts").alias("ts"), F.col("m.close").alias("close"),
                     F.concat_ws(",", "symbol", price_text(F.col("m.close"))).alias("line")))

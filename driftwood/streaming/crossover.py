@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.money import BUDGET_UNITS, UNITS, price_of
+from ..functions.money import BUDGET_UNITS, UNITS, fits_long, price_of
 from ..operators.moving_average import FAST, SLOW
 from ..session import ship_package
 from ..sources.quotes import usable
@@ -57,7 +57,9 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_units: int = BUDGET_UNIT
         ready, rest = rows[:n_ready], rows[n_ready:]
 
         vals = np.concatenate([tail, ready[:, 2]])
-        cs = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(vals)])
+        # Prefix sums and products stay in 64 bits, or are Python's integers.
+        sums = vals if fits_long(max(fast * slow, len(vals))) else vals.astype(object)
+        cs = np.concatenate([np.zeros(1, dtype=sums.dtype), np.cumsum(sums)])
         t = np.arange(len(tail), len(vals))  # positions of the ready rows in vals
 
         def window(end, width):  # sum of vals[end - width : end] (fewer at the start)
@@ -66,8 +68,8 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_units: int = BUDGET_UNIT
         cur_f, cur_s = window(t + 1, fast), window(t + 1, slow)
         prev_f, prev_s = window(t, fast), window(t, slow)
         warm = rn + 1 + np.arange(n_ready) >= slow + 1
-        gt, lt = cur_f * slow > cur_s * fast, cur_f * slow < cur_s * fast
-        pgt, plt = prev_f * slow > prev_s * fast, prev_f * slow < prev_s * fast
+        gt, lt = (cur_f * slow > cur_s * fast).astype(bool), (cur_f * slow < cur_s * fast).astype(bool)
+        pgt, plt = (prev_f * slow > prev_s * fast).astype(bool), (prev_f * slow < prev_s * fast).astype(bool)
         buy, sell = warm & gt & ~pgt, warm & lt & ~plt
 
         state.update((rn + n_ready, vals[-slow:].tolist(), rest.tolist()))
@@ -85,7 +87,7 @@ def detector(fast: int = FAST, slow: int = SLOW, budget_units: int = BUDGET_UNIT
             yield pd.DataFrame({
                 "symbol": [key[0]] * len(hit), "ts_us": ready[hit, 0], "event_id": ready[hit, 1],
                 "side": np.where(buy[hit], "buy", "sell"), "units": c, "shares": shares,
-                "ma_fast": cur_f[hit] / float(fast * UNITS), "ma_slow": cur_s[hit] / float(slow * UNITS)})
+                "ma_fast": cur_f[hit].astype(float) / float(fast * UNITS), "ma_slow": cur_s[hit].astype(float) / float(slow * UNITS)})
     return step
 
 

@@ -38,42 +38,46 @@ def slices_for(rows: DataFrame, least: int) -> int:
 
 def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", fmt: str = "parquet",
                      files_per_slice: int = 1) -> str:
-    """Land ``rows`` as ``n_files`` event-time slices, oldest first.
-
-    Cut points are approximate quantiles of ``ts`` (one partial aggregate with a
-    bounded sketch; no row moves); each slice is appended by its own job, so the
-    file source (which takes files in modification-time order) replays the slices
-    in event-time order.  Each job reads only its slice (the range filter is pushed
-    to the scan) with all its tasks, shuffles it into ``files_per_slice`` files and sorts each: choose
-    ``n_files`` so that a slice is a task's worth of rows (``slices_for``); a replay reader then sets
-    ``maxFilesPerTrigger`` to ``files_per_slice``.  Rows without a time stay, in the first slice.
+    """Land ``rows`` as ``n_files`` event-time slices of ``files_per_slice`` files, oldest first.
+
+    One range-partitioned write: Spark samples the bounds, every row is shuffled once to its file, whatever the number of
+    slices, and file k holds the k-th range of times, sorted.  The file source takes files in the order of
+    their modification times, so those are set in the order of the file names (``order_files``); a replay reader sets
+    ``maxFilesPerTrigger`` to ``files_per_slice``.  Rows without a time come first.
     """
-    dtype = rows.schema[ts].dataType.simpleString()
-    probs = [i / n_files for i in range(1, n_files)]
-    cuts = []
-    if probs:
-        # cut values travel as strings and are cast back to the column's own type,
-        # so no client-side time zone conversion is involved
-        q = rows.select(F.percentile_approx(F.col(ts), probs, 10_000).cast("array<string>").alias("q"))
-        # n_files - 1 cut values: a bounded, tiny result, not the data
-        cuts = list(dict.fromkeys(v for v in (q.collect()[0]["q"] or []) if v is not None))
-    edges = [None, *cuts, None]
-    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        part = rows
-        if lo is not None:
-            part = part.filter(F.col(ts) >= F.lit(lo).cast(dtype))
-        if hi is not None:
-            before = F.col(ts) < F.lit(hi).cast(dtype)
-            part = part.filter(before | F.col(ts).isNull() if i == 0 else before)  # rows without a time come first
-        part = part.repartitionByRange(files_per_slice, ts).sortWithinPartitions(ts)
-        if fmt == "text":
-            part.select("value").write.mode("append").text(path)
-            continue
-        w = part.write.mode("append")
-        w.format(fmt).save(path)
+    part = rows.repartitionByRange(n_files * files_per_slice, F.col(ts).asc_nulls_first()).sortWithinPartitions(F.col(ts).asc_nulls_first())
+    if fmt == "text":
+        part.select("value").write.mode("append").text(path)
+    else:
+        part.write.mode("append").format(fmt).save(path)
+    order_files(rows.sparkSession, path)
     return path
 
 
+def order_files(spark: SparkSession, path: str) -> int:
+    """Give the data files of a landing folder modification times in the order of their names, a second apart and in
+    the past; returns how many there are.  Touches no data (a call of the file system for each file)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    start = spark._jvm.java.lang.System.currentTimeMillis() - 1000 * (len(files) + 1)
+    for i, f in enumerate(files):
+        fs.setTimes(f, start + 1000 * i, -1)
+    return len(files)
+
+
+def order_folders(spark: SparkSession, path: str) -> int:
+    """As ``order_files`` for a folder partitioned by one number (``name=7``): in the order of the numbers."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath() for f in fs.listStatus(folder) if "=" in f.getPath().getName()), key=lambda p: int(p.getName().split("=")[1]))
+    start = spark._jvm.java.lang.System.currentTimeMillis() - 1000 * (len(parts) + 1)
+    for i, part in enumerate(parts):
+        for f in fs.listStatus(part):
+            fs.setTimes(f.getPath(), start + 1000 * i, -1)
+    return len(parts)
+
+
 def _start_with(w, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
     """Start ``w``; with ``state_partitions``, the query's stateful operators get that many
     partitions.  A streaming query copies the session's settings when it starts (and a
@@ -92,8 +96,9 @@ def _start_with(w, spark: SparkSession, state_partitions: int | None) -> Streami
 
 def run_available(df: DataFrame, name: str, mode: str = "append", out: str | None = None,
                   foreach_batch=None, checkpoint: str | None = None,
-                  fmt: str = "parquet", state_partitions: int | None = None) -> StreamingQuery:
-    """Process everything available now, checkpointed, and wait for it."""
+                  fmt: str = "parquet", state_partitions: int | None = None, timeout: float | None = None) -> StreamingQuery:
+    """Process everything available now, checkpointed, and wait for it; with ``timeout`` (seconds), a query that isn't done
+    by then is stopped (its checkpoint stays, a later start goes on) and ``TimeoutError`` raised."""
     spark = df.sparkSession
     ck = checkpoint or work_path(spark, f"ckpt-{name}")
     w = df.writeStream.queryName(f"{name}_{ck.rsplit('-', 1)[-1]}").outputMode(mode) \
@@ -103,7 +108,11 @@ def run_available(df: DataFrame, name: str, mode: str = "append", out: str | Non
     else:
         w = w.format(fmt).option("path", out)
     q = _start_with(w, spark, state_partitions)
-    q.awaitTermination()
+    if timeout is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout):
+        q.stop()
+        raise TimeoutError(f"{name} was not done after {timeout} seconds")
     if q.exception() is not None:
         raise q.exception()
     return q

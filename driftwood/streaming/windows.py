@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import wide
 from ..operators.windows import _check_nesting, mean_of, usable_by
 
 
@@ -26,7 +27,7 @@ def tumbling_avg_stream(quotes: DataFrame, width: str = "10 days", delay: str =
                         keys=(), name: str = "ma10d") -> DataFrame:
     q = with_event_time(usable_by(quotes, keys), delay)
     agg = q.groupBy(*keys, F.window("ts", width).alias("w")).agg(
-        F.sum("units").alias("sum_units"), F.count(F.lit(1)).alias("n"))
+        F.sum(wide(F.col("units"))).alias("sum_units"), F.count(F.lit(1)).alias("n"))
     return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       mean_of(F.col("sum_units"), F.col("n")).alias(name), "n")
 
@@ -36,7 +37,7 @@ def window_ma_stream(quotes: DataFrame, fine: str = "10 minutes", coarse: str =
     _check_nesting(fine, coarse)
     q = with_event_time(usable_by(quotes), delay)
     f = q.groupBy("symbol", F.window("ts", fine).alias("fw")).agg(
-        F.sum("units").alias("s"), F.count(F.lit(1)).alias("n"))
+        F.sum(wide(F.col("units"))).alias("s"), F.count(F.lit(1)).alias("n"))
     c = f.groupBy("symbol", F.window(F.window_time("fw"), coarse).alias("cw")).agg(
         F.collect_list(F.struct(F.col("fw.start").alias("fs"), F.col("fw.end").alias("fe"), "s", "n")).alias("parts"),
         F.sum("s").alias("cs"), F.sum("n").alias("cn"))

@@ -94,3 +94,36 @@ def test_empty_word_list_builds_an_empty_filter(spark):
     art = bloom.build(empty, 2000, 5).collect()[0]
     assert art["bits_set"] == 0 and art["n_words"] == 0
     assert base64.b64decode(art["bits_b64"]) == bytes(250)
+
+
+def test_merged_bitmaps_equal_a_rebuild(spark):
+    words = spark.range(3000).selectExpr("concat('w', id) AS word")
+    for m, k in ((2000, 5), (1 << 17, 3), (70_001, 2)):
+        parts = [bloom.build_bitmaps(words.filter(f"hash(word) % 3 = {r}"), m, k) for r in (-2, -1, 0, 1, 2)] + [bloom.build_bitmaps(words.limit(0), m, k)]
+        merged = bloom.merge_bitmaps(*parts)
+        whole = bloom.build(words, m, k).first()
+        assert bloom.pack(bloom.bitmap_positions(merged), m, k, F.lit(0)).first().bits_b64 == whole.bits_b64
+        assert bloom.bits_set(merged).first().bits_set == whole.bits_set
+        assert bloom.merge_bitmaps(merged, merged).exceptAll(merged).count() == 0  # OR of itself
+
+
+def test_a_large_filter_takes_new_words(spark):
+    m, k = 1 << 24, 7
+    old = bloom.build_bitmaps(spark.range(20_000).selectExpr("concat('old', id) AS word"), m, k)
+    new = spark.range(500).selectExpr("concat('new', id) AS word")
+    merged = bloom.merge_bitmaps(old, bloom.build_bitmaps(new, m, k))
+    pos = bloom.bitmap_positions(merged)
+    assert bloom.probe(new, pos, m, k).filter("in_filter").count() == 500
+    assert bloom.probe(spark.range(500).selectExpr("concat('other', id) AS word"), pos, m, k).filter("in_filter").count() == 0
+    assert merged.count() <= m // bloom.BITMAP_BITS
+
+
+def test_text_artifact_with_the_callers_parameters(spark, tmp_path):
+    words = spark.createDataFrame([("one",), ("two",)], "word string")
+    art = bloom.build(words, 2000, 5)
+    path = bloom.save_text(art, f"{tmp_path}/bits")
+    got = {r.pos for r in bloom.set_bits(bloom.reload_text(spark, path, 2000, 5)).collect()}
+    assert got == {r.pos for r in bloom.set_bits(art).collect()} and got
+    line = art.first().bits_b64.rstrip("=")
+    spark.createDataFrame([(f"  {line} ",), ("",)], "value string").coalesce(1).write.text(f"{tmp_path}/loose")
+    assert {r.pos for r in bloom.set_bits(bloom.reload_text(spark, f"{tmp_path}/loose", 2000, 5)).collect()} == got
