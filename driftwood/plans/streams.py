@@ -247,3 +247,29 @@ def latest_snapshot_stream(spark, sf_dir):
     path = work_path(spark, "snapshots")
     io.run_available(hist.latest_stream(src), "latest_snapshot_stream", "update", foreach_batch=hist.snapshot_writer(path), state_partitions=_state_partitions(spark))
     return hist.snapshot_lines(hist.read_snapshot(spark, path))
+
+
+# Fine windows with a count that three doesn't divide, coarse ones with an even count: either side has windows without a partner.
+OUTER_STREAM_SQL = f"""
+WITH e AS (SELECT date_trunc('second', ts) AS ts, event_type AS symbol, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+f AS (SELECT symbol, time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS s, sum(cents) AS sum_cents, count(*) AS n FROM e GROUP BY ALL HAVING count(*) % 3 > 0),
+c AS (SELECT symbol, time_bucket(INTERVAL '40 minutes', ts, TIMESTAMP '1970-01-01') AS s, sum(cents) AS sum_cents, count(*) AS n FROM e GROUP BY ALL HAVING count(*) % 2 = 0),
+g AS (SELECT *, time_bucket(INTERVAL '40 minutes', s, TIMESTAMP '1970-01-01') AS cs FROM f)
+SELECT coalesce(g.symbol, c.symbol) AS symbol, g.s AS window_start, g.s + INTERVAL '10 minutes' AS window_end, {pw._mean('g.sum_cents', 'g.n')} AS ma10m,
+       coalesce(g.cs, c.s) AS coarse_start, c.s + INTERVAL '40 minutes' AS coarse_end, {pw._mean('c.sum_cents', 'c.n')} AS ma40m
+FROM g FULL OUTER JOIN c ON g.symbol = c.symbol AND g.cs = c.s
+WHERE coalesce(g.cs, c.s) + INTERVAL '40 minutes' <= (SELECT max(ts) FROM e) - INTERVAL '10 minutes'"""
+
+
+@register("window_ma_outer_stream", OUTER_STREAM_SQL)
+def window_ma_outer_stream(spark, sf_dir):
+    """Two streams of window means joined full outer; coarse windows that the watermark has closed."""
+    path = _land_lines(spark, sf_dir)
+    out = work_path(spark, "window-outer-out")
+    joined = sw.window_ma_outer_stream(_parsed_stream(spark, path), _parsed_stream(spark, path), fine_filter=F.col("n") % 3 > 0, coarse_filter=F.col("n") % 2 == 0)
+    io.run_available(joined, "window_ma_outer_stream", "append", out, state_partitions=_state_partitions(spark))
+    times = ("window_start", "window_end", "coarse_start", "coarse_end")
+    r = spark.read.parquet(out).withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+    # A fine window is emitted with its partner before the coarse window's end has passed the watermark, alone after it.
+    edge = read_quotes(spark, sf_dir, "event_type").select(F.date_trunc("second", F.max("ts")).cast("timestamp_ntz")).scalar()
+    return r.filter(F.col("coarse_start") + F.expr("INTERVAL 40 MINUTES") <= edge - F.expr("INTERVAL 10 MINUTES"))
