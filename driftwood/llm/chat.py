@@ -44,9 +44,10 @@ def format_chat(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
                 text_col: str = "text", loss_role: str = "assistant") -> DataFrame:
     """One row per conversation: ``conv_id``, ``formatted`` and ``pieces``, an array of (piece, loss)."""
     rows = pick(turns, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col).select(
-        "conv_id", F.struct("turn", escape(null_as_empty(F.col("role"))).alias("role"),
-                            escape(null_as_empty(F.col("text"))).alias("text")).alias("t"))
-    convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+        "conv_id", F.struct("turn", null_as_empty(F.col("role")).alias("role"), null_as_empty(F.col("text")).alias("text")).alias("t"))
+    sorted_turns = F.sort_array(F.collect_list("t"))  # ties by role and text as they are, then escaped
+    convs = rows.groupBy("conv_id").agg(sorted_turns.alias("turns")).select("conv_id", F.transform(
+        "turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text"))).alias("turns"))
     # Where a block starts: the first turn, and every turn whose role differs from the one before.
     roles = convs.select("*", F.transform("turns", lambda t: t["role"]).alias("roles"))
     pairs = F.zip_with("roles", F.concat(F.array(F.lit(None).cast("string")), F.slice("roles", F.lit(1), F.size("roles") - 1)),

@@ -14,8 +14,8 @@ single word; the stretch length that is required adapts to the shortest window.
 
 Items travel to the tasks in shards of at most ``SHARD_WORDS`` words (one shard for any usual
 benchmark; a longer item is a shard of its own).  With more shards the documents pass each of
-them in turn, so nothing that grows with the benchmark is held whole.  Row-local otherwise: no
-shuffle of documents.
+them in turn: one shard at a time is on the driver and in the tasks, and the documents' texts are staged between two
+shards.  Row-local otherwise: no shuffle of documents.
 
 Defined results: a null text or item has no words; an item without words has no window;
 repeated documents are kept one to one, repeated item ids count once and items with a null id hit but aren't listed.
@@ -24,6 +24,7 @@ repeated documents are kept one to one, repeated item ids count once and items w
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -165,19 +166,21 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def shards(items: DataFrame, id_col: str, text_col: str, most: int = SHARD_WORDS) -> list[list[tuple]]:
-    """The items in groups of at most ``most`` words; one group at a time is sent to the tasks."""
-    out, size = [], 0
+def shards(items: DataFrame, id_col: str, text_col: str, most: int = SHARD_WORDS) -> Iterator[list[tuple]]:
+    """The items in groups of at most ``most`` words.  Rows come to the driver as a group is filled, so it holds one group, which
+    is sent to the tasks, and a partition of the items."""
+    group: list[tuple] = []
+    size = 0
     for r in pick(items, item=id_col, text=text_col).where("text IS NOT NULL").toLocalIterator():
         n = len(words(r.text))
         if not n:
             continue
-        if not out or size + n > most:
-            out.append([])
-            size = 0
-        out[-1].append((None if r.item is None else str(r.item), r.text))
+        if group and size + n > most:
+            yield group
+            group, size = [], 0
+        group.append((None if r.item is None else str(r.item), r.text))
         size += n
-    return out
+    yield group
 
 
 _AUTOMATA: dict = {}
@@ -202,7 +205,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                       F.expr("CAST(array() AS array<struct<first:bigint,end:bigint>>)").alias("hits"),
                       F.expr("CAST(array() AS array<string>)").alias("items"), F.lit(0).cast("bigint").alias("longest"))
     range_type = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
-    groups = shards(items, item_col, item_text_col, shard_words) or [[]]
 
     def step_of(group):
         def make():
@@ -225,7 +227,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         return make
 
     schema = f"doc_id {kind}, text string, n_words bigint, hits array<struct<first:bigint,end:bigint>>, items array<string>, longest bigint"
-    for i, group in enumerate(groups):
+    for i, group in enumerate(shards(items, item_col, item_text_col, shard_words)):
+        if i and not group:
+            break
         rows = map_batches(rows if i == 0 else staged(rows, "leaks"), step_of(group), schema)
     return rows
 

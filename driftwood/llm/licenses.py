@@ -43,28 +43,33 @@ def canonical_text(lines) -> F.Column:
     return F.array_join(F.filter(lines, lambda line: ~line.rlike(COPYRIGHT_LINE)), " ")
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """(kind, license, digest, size) of the known texts, by the same expressions as the documents'."""
+def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
+    """(kind, license, digest, size) of the known texts, by the same expressions as the documents': the fixed list, or the rows (kind
+    'text' or 'line', license, text) of ``known``."""
     rows = [F.struct(F.lit(kind).alias("kind"), F.lit(spdx).alias("license"), F.lit(text).alias("text"))
             for kind, known in (("text", LICENSES), ("line", NOTICES)) for spdx, text in known]
-    texts = spark.range(1).select(F.explode(F.array(*rows)).alias("k")).select("k.*").withColumn("lines", canonical_lines(F.col("text")))
+    listed = spark.range(1).select(F.explode(F.array(*rows)).alias("k")).select("k.*") if known is None else known.select("kind", "license", "text")
+    texts = listed.withColumn("lines", canonical_lines(F.col("text")))
     unit = F.when(F.col("kind") == "text", canonical_text(F.col("lines"))).otherwise(F.array_join("lines", " "))
     return texts.select("kind", "license", F.sha2(unit, 256).alias("digest"), F.length(unit).alias("size")).distinct()
 
 
-def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known_texts: DataFrame | None = None) -> DataFrame:
     """One row per id: ``doc_id``, ``text_licenses`` (whole texts that match), ``n_notices`` (lines that
-    match) and ``notice_licenses``; licences as SPDX ids, sorted and comma-joined, '' if none."""
-    known = known_digests(docs.sparkSession)
-    sizes = {k: [r["size"] for r in known.where(F.col("kind") == k).select("size").distinct().collect()] for k in ("text", "line")}
+    match) and ``notice_licenses``; licences as SPDX ids, sorted and comma-joined, '' if none.  ``known_texts`` (kind 'text' or
+    'line', license, text) stands in for the fixed list."""
+    known = known_digests(docs.sparkSession, known_texts)
+    # Units of other lengths than the listed ones are dropped early; a list of the caller's, of any size, is joined as a table.
+    sizes = {} if known_texts is not None else {
+        k: [r["size"] for r in known.where(F.col("kind") == k).select("size").distinct().collect()] for k in ("text", "line")}
     src = pick(docs, doc_id=id_col, text=text_col)
     lines = src.select("doc_id", canonical_lines(F.col("text")).alias("lines"))
-    of_size = lambda kind: lambda u: F.length(u).isin(*sizes[kind])
+    of_size = lambda kind: lambda u: F.length(u).isin(*sizes[kind]) if sizes else F.lit(True)
     units = lines.select("doc_id", F.concat(
         F.transform(F.filter(F.array(canonical_text(F.col("lines"))), of_size("text")), lambda u: F.struct(F.lit("text").alias("kind"), u.alias("unit"))),
         F.transform(F.filter("lines", of_size("line")), lambda u: F.struct(F.lit("line").alias("kind"), u.alias("unit")))).alias("units"))
     found = (units.select("doc_id", F.explode("units").alias("u")).select("doc_id", "u.kind", F.sha2("u.unit", 256).alias("digest"))
-             .join(F.broadcast(known.drop("size")), ["kind", "digest"])  # a fixed list
+             .join(known.drop("size") if known_texts is not None else F.broadcast(known.drop("size")), ["kind", "digest"])  # a fixed list, or a table
              .groupBy("doc_id").agg(
                  F.array_join(F.sort_array(F.collect_set(F.when(F.col("kind") == "text", F.col("license")))), ",").alias("text_licenses"),
                  F.count(F.when(F.col("kind") == "line", 1)).alias("n_notices"),

@@ -41,10 +41,19 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 USERINFO = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+:[^\s@/]+@[A-Za-z0-9.-]+(?::[0-9]+)?")
 CUE_GAP = re.compile(r"(?a:\x20?(?:number|num|nr|no|id)?\.?\x20*[:#=]?\x20*)", re.IGNORECASE)
-IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30}")
 SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,19}(?![0-9])")
 
+# Fixed lengths of account numbers by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22,
+    "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22,
+    "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VG": 24, "XK": 20,
+}
+
 # Fixed anchors: schemes and identifier cues, in lower case; found in any case.
 SCHEMES = ("http://", "https://", "ftp://", "ftps://", "sftp://", "ssh://", "smtp://", "imap://", "jdbc:", "mongodb://", "redis://", "amqp://")
 CUES = ("iban", "ssn", "social security", "account", "acct", "passport", "routing", "customer id", "tax id")
@@ -83,6 +92,19 @@ def iban_ok(raw: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the account number that starts here ends: before a character that can't go on a word, with the length of its country
+    (any, if that isn't listed) and a right checksum; the longest of several."""
+    country = IBAN_LENGTHS.get(text[start:start + 2].upper())
+    for stop in range(end, start + 14, -1):
+        if text[stop - 1] == " " or (stop < len(text) and text[stop].isalnum()):
+            continue
+        raw = text[start:stop].upper()
+        if (country is None or len(raw) - raw.count(" ") == country) and iban_ok(raw):
+            return stop
+    return None
+
+
 def left_run(text: str, low: int, end: int, chars: str) -> int:
     """Start of the longest run of ``chars`` that ends at ``end`` and doesn't pass ``low``."""
     width = 64
@@ -170,11 +192,12 @@ class AnchorScanner:
     @staticmethod
     def _account(text, i, found, at):
         i = CUE_GAP.match(text, i).end()
-        for parser, valid in ((IBAN, iban_ok), (SSN, None), (ACCOUNT, None)):
+        for parser in (IBAN, SSN, ACCOUNT):
             m = parser.match(text, i)
-            if m and (valid is None or valid(m.group())):
-                found["account"].append(m.span())
-                at["account"] = m.end()
+            end = m and (iban_end(text, *m.span()) if parser is IBAN else m.end())
+            if end:
+                found["account"].append((i, end))
+                at["account"] = end
                 return
 
 
@@ -200,8 +223,8 @@ def pii_digests(found: DataFrame) -> DataFrame:
     """Digest columns of ``find_pii``: counts per base kind, hash of the base spans, all spans as text."""
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
-    return found.select("doc_id", *[kind_count(spans, k).alias(f"n_{k}") for k in KINDS],
-                        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(spans).alias("spans"))
+    return found.select("doc_id", *[kind_count(spans, k).alias(f"n_{k}") for k in BASE], F.sha2(span_text(base), 256).alias("base_sha256"),
+                        span_text(spans).alias("spans"), *[kind_count(spans, k).alias(f"n_{k}") for k in KINDS[len(BASE):]])
 
 
 def masked(text: str, spans: list[tuple[str, int, int]]) -> str:

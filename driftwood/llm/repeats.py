@@ -1,8 +1,8 @@
 """Repeated passages: every byte covered by a 200-byte string that starts somewhere else, too.
 
-Prefix doubling over all positions of a corpus would shuffle tens of bytes per byte of text.
-Here the doubling keeps its ranks - a position's rank at a length names the string of that
-length that starts there, equal ranks for equal strings - but positions share their rows:
+Prefix doubling sorts a (position, rank) pair for each byte of the corpus: 16 bytes a byte of text in the first round
+alone.  This is another method, which takes from it that a rank names the string that starts at a position (equal
+ranks for equal strings) and that unique ranks drop out; there are two lengths and no doubling:
 
 1. *Short strings.*  Each position is represented by an anchor: of the 96 strings of 40 bytes
    that start from it on, the one with the smallest hash.  The choice depends on the position's
@@ -18,7 +18,8 @@ length that starts there, equal ranks for equal strings - but positions share th
 Ranks are 64-bit hashes.  Sorting happens in buckets of the rank's leading bits, as many as
 the corpus needs to keep a bucket to some megabytes; ranks travel as packed arrays.  Texts are
 shuffled by blocks, once; afterwards only those with a repeated anchor are carried on.  Every
-anchor row of a rank meets in one bucket: 24 bytes for each document of the most frequent passage.
+anchor row of a rank meets in one bucket: 24 bytes for each place where the most frequent anchor stands, which in a run of one
+character is every byte of it.
 
 Defined results: a null text is empty; texts under 200 bytes keep all; bytes are those of the
 UTF-8 form; rows that share an id are judged by their own texts, rows equal in id and text

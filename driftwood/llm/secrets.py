@@ -2,13 +2,13 @@
 
 Base kinds are three fixed patterns (``assign``, ``access``, ``hex``), leftmost and
 non-overlapping per kind, judged on the whole text.  On top of them every *candidate* - a
-long unbroken string with letters and digits that stands in a sensitive context (a cue
+long unbroken string that isn't a number and stands in a sensitive context (a cue
 word such as ``key`` or ``credential`` shortly before it, or a quoted assignment) - is
 measured: the bytes that it adds when it is compressed between its surrounding text by a
 zstandard compressor primed with a dictionary of common identifiers.  Names, paths and
 repeated values are found in the dictionary or in the surroundings and add little; a
-random key can't be.  Candidates that add at least ``min_rate`` bytes per character are
-reported as ``novel`` unless a base span already covers them.
+random key can't be.  Candidates that add at least ``min_rate`` bytes per character (without a
+digit, ``LETTERS_RATE``) are reported as ``novel``; of one that base spans overlap, the parts that they leave are measured.
 
 Row-local: no shuffle, one pass, memory of one Arrow batch.
 
@@ -68,6 +68,8 @@ IDENTIFIERS = (
 )
 BEFORE, AFTER, CUE_REACH = 256, 128, 48
 MIN_RATE = 0.55
+LETTERS_RATE = 0.95  # of candidates without a digit: words add fewer bytes a letter, random letters more
+LEAST_PART = 16  # characters of a candidate that no base span covers
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,added_bytes:int>"
 
@@ -98,21 +100,32 @@ class NoveltyScanner:
         begins, reach = [a for a, _ in covered], 0
         ends = [reach := max(reach, b) for _, b in covered]
         for m in CANDIDATE.finditer(text):
-            a, b = m.span()
-            value = m.group()
-            if value.isdigit() or value.isalpha() or not any(c.isdigit() for c in value):
+            if m.group().isdigit():
                 continue
-            at = bisect_right(begins, b - 1)
-            if at and ends[at - 1] > a:  # a base span overlaps
-                continue
-            before = text[max(0, a - CUE_REACH):a]
-            if CUES.search(before) or QUOTED.search(before):
-                size = self.added(text, a, b)
-                if size >= self.min_rate * (b - a):
-                    spans.append(("novel", a, b, size))
+            for a, b in uncovered(*m.span(), covered, begins, ends):
+                before = text[max(0, a - CUE_REACH):a]
+                if CUES.search(before) or QUOTED.search(before):
+                    size = self.added(text, a, b)
+                    rate = self.min_rate if any(c.isdigit() for c in text[a:b]) else max(self.min_rate, LETTERS_RATE)
+                    if size >= rate * (b - a):
+                        spans.append(("novel", a, b, size))
         return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def uncovered(a: int, b: int, covered: list[tuple[int, int]], begins: list[int], ends: list[int]) -> list[tuple[int, int]]:
+    """The parts of a candidate that no base span covers: all of it, or what is left, if it is long enough.  ``begins`` are the
+    starts of the ``covered`` ranges, ``ends`` the greatest end so far."""
+    first, last = bisect_right(ends, a), bisect_right(begins, b - 1)
+    if first >= last:
+        return [(a, b)]
+    out, at = [], a
+    for x, y in covered[first:last]:
+        if x - at >= LEAST_PART:
+            out.append((at, x))
+        at = max(at, y)
+    return out + [(at, b)] if b - at >= LEAST_PART else out
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_rate: float = MIN_RATE) -> DataFrame:
     """One row per input row: ``doc_id`` and ``spans``, an array of (kind, start, end, added_bytes)."""
     src = pick(docs, doc_id=id_col, text=text_col)
@@ -136,5 +149,5 @@ def secret_digests(found: DataFrame) -> DataFrame:
     """Digest columns of ``find_secrets``: counts per base kind, hash of the base spans, all spans as text."""
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"] != "novel")
-    return found.select("doc_id", *[kind_count(spans, k).alias(f"n_{k}") for k in KINDS],
-                        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(spans).alias("spans"))
+    return found.select("doc_id", *[kind_count(spans, k).alias(f"n_{k}") for k in KINDS[:3]],
+                        F.sha2(span_text(base), 256).alias("base_sha256"), span_text(spans).alias("spans"), kind_count(spans, "novel").alias("n_novel"))

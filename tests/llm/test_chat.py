@@ -53,3 +53,8 @@ def test_query_reads_the_probe(spark):
 def test_expressions_only(spark):
     plan = op5_chat(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_ties_are_ordered_by_the_text_itself(spark):
+    got = check(spark, [(1, 0, "user", "<}"), (1, 0, "user", "<|"), (1, 0, "user", "~"), (1, 0, "user", "}")])
+    assert got[1].n_turns == 4

@@ -40,3 +40,11 @@ def test_query_equals_sql(spark):
 def test_expressions_only(spark):
     plan = op4_licenses(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "ExistingRDD"))
+
+
+def test_a_table_of_known_texts(spark):
+    from driftwood.llm import licenses
+    docs = spark.createDataFrame([(1, "Copyright (c) 2020 Me\nYou MAY use this, freely!"), (2, "other"), (3, "x\nSee THE house-rules\ny")], "doc_id long, text string")
+    known = spark.createDataFrame([("text", "House-1", "you may use this freely"), ("line", "House-2", "see the house rules")], "kind string, license string, text string")
+    got = {r.doc_id: (r.text_licenses, r.n_notices, r.notice_licenses) for r in licenses.find_licenses(docs, known_texts=known).collect()}
+    assert got == {1: ("House-1", 0, ""), 2: ("", 0, ""), 3: ("", 1, "House-2")}

@@ -94,3 +94,18 @@ def test_cues_and_schemes_in_any_case():
             text = before + cue + number
             assert ("account", len(text) - len(number), len(text)) in scan(text), text
     assert ("url", 8, 17) in scan("HttPS://u:p@a.com")
+
+
+def test_account_numbers_end_where_their_country_says():
+    from driftwood.llm.pii import AnchorScanner
+    texts = {"IBAN: DE89 3704 0044 0532 0130 00 BIC": ["DE89 3704 0044 0532 0130 00"], "iban de89370400440532013000, and": ["de89370400440532013000"],
+             "IBAN GB82 WEST 1234 5698 7654 32 ABC": ["GB82 WEST 1234 5698 7654 32"], "IBAN DE89 3704 0044 0532 0130 01 BIC": [],
+             "IBAN FR1420041010050500013M02606": ["FR1420041010050500013M02606"]}
+    for text, want in texts.items():
+        assert [text[a:b] for kind, a, b in AnchorScanner().scan(text) if kind == "account"] == want, text
+
+
+def test_contract_columns_come_first(spark):
+    from driftwood.llm import pii
+    out = pii.pii_digests(pii.find_pii(spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")))
+    assert out.columns[:7] == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]

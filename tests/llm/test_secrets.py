@@ -61,3 +61,23 @@ def test_empty_and_repeated_rows(spark):
     assert secrets.secret_digests(secrets.find_secrets(spark.createDataFrame([], schema))).count() == 0
     rows = secrets.find_secrets(spark.createDataFrame([(None, "token=abcdef")] * 3, schema)).collect()
     assert len(rows) == 3 and all(len(r.spans) == 1 for r in rows)
+
+
+def test_letters_only_keys_and_what_base_spans_leave(spark):
+    from driftwood.llm import secrets
+    scanner = secrets.NoveltyScanner()
+    key = "qZxWvKjRtPmNbLcHgFyDsA"
+    novel = lambda text: [text[a:b] for kind, a, b, _ in scanner.scan(text) if kind == "novel"]
+    assert novel(f'the api key was "{key}" then') == [key]
+    assert novel('the api key was "configurationManagerFactory" then') == []
+    assert novel("ordinary words " * 50) == []
+    out = secrets.secret_digests(secrets.find_secrets(spark.createDataFrame([(1, f"token={key}")], "doc_id long, text string")))
+    assert out.columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+def test_uncovered_parts():
+    from driftwood.llm.secrets import uncovered
+    covered = [(10, 20), (30, 40)]
+    at = (covered, [10, 30], [20, 40])
+    assert uncovered(50, 70, *at) == [(50, 70)] and uncovered(20, 30, *at) == [(20, 30)]
+    assert uncovered(0, 70, *at) == [(40, 70)] and uncovered(12, 18, *at) == [] and uncovered(15, 60, *at) == [(40, 60)]
