@@ -52,8 +52,8 @@ def _reject(fields: Column, ts: Column, symbol: Column, token: Column) -> Column
             .when(ts.isNull(), F.lit("bad_timestamp"))
             .when(symbol == "", F.lit("bad_symbol"))
             .when(token.try_cast("double").isNull() | token.rlike("^[+-]?[a-zA-Z]"), F.lit("bad_price"))
-            .when(F.abs(token.try_cast("double")) > MAX_PRICE, F.lit("bad_range"))
-            .when(~_scale_fits(token), F.lit("bad_scale")))
+            .when(~_scale_fits(token), F.lit("bad_scale"))
+            .when(F.abs(token.try_cast("double")) > MAX_PRICE, F.lit("bad_range")))
 
 
 def usable(quotes: DataFrame, *, value: str = "units") -> DataFrame:
@@ -160,8 +160,8 @@ def json_quotes(spark: SparkSession, path: str) -> DataFrame:
     close = F.col("v.close").try_cast(PRICE_TYPE)
     reject = (F.when(F.col("v").isNull(), F.lit("no_values")).when(ts.isNull(), F.lit("bad_timestamp"))
               .when(F.col("v.close").try_cast("double").isNull(), F.lit("bad_price"))
-              .when(F.abs(F.col("v.close").try_cast("double")) > MAX_PRICE, F.lit("bad_range"))
-              .when(~_scale_fits(F.col("v.close")), F.lit("bad_scale")))
+              .when(~_scale_fits(F.col("v.close")), F.lit("bad_scale"))
+              .when(F.abs(F.col("v.close").try_cast("double")) > MAX_PRICE, F.lit("bad_range")))
     return rows.select("symbol", ts.alias("ts"), close.alias("close"), F.col("v.id").alias("id"), reject.alias("reject"))
 
 

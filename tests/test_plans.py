@@ -58,4 +58,4 @@ def test_window_means_scan_once_without_a_join(spark):
     p = final_plan(spark, "window_ma_join")
     assert p.count("FileScan parquet") == 1
     assert "Join" not in p
-    assert "partial_sum(units" in p
+    assert "partial_sum(cast(units" in p
