@@ -31,6 +31,10 @@ HEADLINE = [
     "bloom_stream",
     "sentence_gate_stream",
     "backfill_dedup_stream",
+    "lsh_candidates",
+    "jaccard_verified",
+    "bloom_merge",
+    "crossover_late_stream",
 ]
 
 
