@@ -34,7 +34,6 @@ HEADLINE = [
     "lsh_candidates",
     "jaccard_verified",
     "bloom_merge",
-    "crossover_late_stream",
 ]
 
 
