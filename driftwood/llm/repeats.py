@@ -17,9 +17,13 @@ ranks for equal strings) and that unique ranks drop out; there are two lengths a
 
 Ranks are 64-bit hashes.  Sorting happens in buckets of the rank's leading bits, as many as
 the corpus needs to keep a bucket to some megabytes; ranks travel as packed arrays.  Texts are
-shuffled by blocks, once; afterwards only those with a repeated anchor are carried on.  Every
-anchor row of a rank meets in one bucket: 24 bytes for each place where the most frequent anchor stands, which in a run of one
-character is every byte of it.
+shuffled by blocks, once; afterwards only those with a repeated anchor are carried on.
+
+A frequent rank is thinned where its texts are, before the shuffle (``sift``): of equal rows in some megabytes of text two
+travel, the others are known to be settled; of an anchor with more than ``HOT`` kinds of stretch there, three kinds travel, and the other
+rows count as open, which is always right and only costs their ranking at the full length.  So a bucket gets
+at most ``2 * (HOT + 1)`` rows of one rank, 24 bytes each, for every ``CHUNK_BYTES`` of text (432 bytes in 8 MB), however often it stands there;
+at the full length each block sends a rank once, 8 bytes in 4 MB.
 
 Defined results: a null text is empty; texts under 200 bytes keep all; bytes are those of the
 UTF-8 form; rows that share an id are judged by their own texts, rows equal in id and text
@@ -36,14 +40,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import null_as_empty, pick, staged, tuning
+from .common import null_as_empty, pick, row_chunks, staged, tuning
 from .probminhash import _powers, mix
 
 LENGTH, GRAM, SPAN = 200, 40, 96
 INSIDE = LENGTH - GRAM - SPAN + 1  # positions after a window's first whose anchors lie within the window, too
 SEGMENT = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 4 << 20
+BUCKET_BYTES, BLOCK_BYTES, CHUNK_BYTES = 8 << 20, 4 << 20, 8 << 20
+HOT = 8  # kinds of stretch of one anchor in a chunk of texts, from which on the chunk decides on the rows itself
+DECIDED = 1 << 20  # rows decided before the shuffle that travel together
 
 U64, U32, U8 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1")
 
@@ -113,6 +119,29 @@ def judge(ref: np.ndarray, index: np.ndarray, rank: np.ndarray, stretch: np.ndar
 LONE = SETTLED + 3  # a repeated anchor (not a dead one), but no other stretch has its strings
 
 
+def sift(rank: np.ndarray, stretch: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows to be judged together with those of other texts, rows decided here, their states).
+
+    Of equal (rank, stretch) pairs two rows go on: they show that the pair is repeated, the others are settled.  A rank of more than
+    ``hot`` kinds of stretch is known to be repeated and mixed: three kinds go on and tell the same to its rows elsewhere, the rows of the other kinds
+    are witnesses or open, so they are compared at the full length."""
+    order = np.argsort(rank, kind="stable")
+    equal = rank[order][1:] == rank[order][:-1]
+    often = np.r_[False, equal][:len(order)] | np.r_[equal, False][:len(order)]
+    rows = order[often]
+    rows = rows[np.lexsort((stretch[rows], rank[rows]))]
+    r, s = rank[rows], stretch[rows]
+    new_rank = np.r_[True, r[1:] != r[:-1]][:len(r)]
+    new_pair = new_rank | np.r_[True, s[1:] != s[:-1]][:len(r)]
+    group, pair = np.cumsum(new_rank) - 1, np.cumsum(new_pair) - 1
+    place = np.arange(len(r)) - np.flatnonzero(new_pair)[pair]
+    kind = pair - pair[new_rank][group]
+    many = np.bincount(group[new_pair & (s != 0)], minlength=int(new_rank.sum()))[group] > hot
+    on = (place < 2) & (~many | (kind < 3))
+    state = np.where(place > 0, SETTLED, np.where(np.bincount(pair)[pair] > 1, WITNESS, OPEN))
+    return np.sort(np.r_[order[~often], rows[on]]), rows[~on], state[~on].astype(np.uint8)
+
+
 def windows(raw: np.ndarray, states: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(settled: whether each position's 200-byte string is known to be repeated; positions still to be ranked)."""
     n = len(raw) - LENGTH + 1
@@ -158,22 +187,34 @@ def _pack(*arrays) -> list[bytes]:
     return [np.ascontiguousarray(a).tobytes() for a in arrays]
 
 
-def short_ranks(docs: DataFrame, bits: int) -> DataFrame:
-    """Anchor rows of (ref, text), packed by bucket."""
+def short_ranks(docs: DataFrame, bits: int, hot: int, chunk: int) -> DataFrame:
+    """Anchor rows of (ref, text), packed by bucket.  Rows decided here travel along, in buckets of their own below zero, with
+    their states in place of the stretches."""
+    def packed(bucket, ref, index, *columns):
+        return bucket, *columns, *_pack(np.diff(ref, prepend=0), np.diff(index, prepend=np.uint32(0)).astype(U32))
+
+    def rows_of(refs, texts):
+        found = [anchors(raw) for raw in texts]
+        rank, stretch = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        ref = np.repeat(refs, [len(f[0]) for f in found])
+        index = np.concatenate([np.arange(len(f[0]), dtype=np.uint32) for f in found])
+        del found
+        on, decided, state = sift(rank, stretch, hot)
+        for b, at in slices(rank[on], bits):
+            at = on[at]
+            yield packed(b, ref[at], index[at], *_pack(rank[at].astype(U64), stretch[at].astype(U64)))
+        for n in range(0, len(decided), DECIDED):
+            at = decided[n:n + DECIDED]
+            yield packed(-1 - int(mix(ref[at[:1]].astype(np.uint64) + np.uint64(n))[0] >> np.uint64(2)), ref[at], index[at], b"", *_pack(state[n:n + DECIDED]))
+
     def run(batches):
         for batch in batches:
-            refs = batch.column("ref").to_numpy()
-            found = [anchors(raw) for raw in raw_texts(batch.column("text"))]
-            if not found:
-                continue
-            rank, stretch = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-            ref = np.repeat(refs, [len(f[0]) for f in found])
-            index = np.concatenate([np.arange(len(f[0]), dtype=np.uint32) for f in found])
-            rows = [(b, *_pack(rank[at].astype(U64), stretch[at].astype(U64), np.diff(ref[at], prepend=0), np.diff(index[at], prepend=np.uint32(0)).astype(U32)))
-                    for b, at in slices(rank, bits)]
-            for i in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 256]), (pa.int64(), *[pa.binary()] * 4))],
-                                                 ["bucket", "rank", "stretch", "ref", "index"])
+            refs, texts = batch.column("ref").to_numpy(), raw_texts(batch.column("text"))
+            for a, b in row_chunks([len(v) for v in texts], chunk):
+                rows = list(rows_of(refs[a:b], texts[a:b]))
+                for i in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 256]), (pa.int64(), *[pa.binary()] * 4))],
+                                                     ["bucket", "rank", "stretch", "ref", "index"])
     return docs.mapInArrow(run, "bucket bigint, rank binary, stretch binary, ref binary, index binary")
 
 
@@ -181,9 +222,8 @@ def _judge_bucket(table: pa.Table) -> pa.Table:
     def joined(name, dtype, summed=False):
         parts = [np.frombuffer(v.as_buffer(), dtype=dtype) for v in table.column(name)]
         return np.concatenate([np.cumsum(p, dtype=dtype) if summed else p for p in parts])
-    rank, stretch = joined("rank", U64), joined("stretch", U64)
     ref, index = joined("ref", np.dtype("<i8"), True), joined("index", U32, True)
-    state = judge(ref, index, rank, stretch)
+    state = joined("stretch", U8) if table.column("bucket")[0].as_py() < 0 else judge(ref, index, joined("rank", U64), joined("stretch", U64))
     keep = state != UNIQUE
     return pa.table([pa.array(ref[keep]), pa.array(index[keep].astype(np.int32)), pa.array(state[keep].astype(np.int8))], ["ref", "index", "state"])
 
@@ -228,11 +268,11 @@ def _open_windows(texts, states):
 
 
 def long_ranks(blocks: DataFrame, bits: int) -> DataFrame:
-    """Ranks at the full length of the positions still open, packed by block and bucket."""
+    """Ranks at the full length of the positions still open, each once a block, packed by block and bucket."""
     def run(batches):
         for batch in batches:
             for block, texts, states in zip(*(batch.column(c) for c in ("block", "texts", "states"))):
-                rank = np.concatenate([w[3] for w in _open_windows(texts.as_py(), states.as_py())])
+                rank = np.unique(np.concatenate([w[3] for w in _open_windows(texts.as_py(), states.as_py())]))
                 rows = [(b, block.as_py(), rank[at].astype(U64).tobytes()) for b, at in slices(rank, bits)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))],
@@ -255,10 +295,11 @@ def _cut_block(bits: int):
         known = {b: f for b, f in zip(flags.column("bucket").to_pylist(), flags.column("flags").to_pylist())}
         for refs, texts, states in zip(*(blocks.column(c).to_pylist() for c in ("refs", "texts", "states"))):
             found = list(_open_windows(texts, states))
-            rank = np.concatenate([f[3] for f in found])
+            rank, which, times = np.unique(np.concatenate([f[3] for f in found]), return_inverse=True, return_counts=True)
             again = np.zeros(len(rank), dtype=bool)
             for b, rows in slices(rank, bits):
                 again[rows] = np.unpackbits(np.frombuffer(known[b], dtype=np.uint8), count=len(rows)).astype(bool)
+            again = (again | (times > 1))[which]
             start = 0
             for ref, (raw, settled, at, mine) in zip(refs, found):
                 settled[at[again[start:start + len(mine)]]] = True
@@ -270,8 +311,9 @@ def _cut_block(bits: int):
     return cut
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.  ``hot`` and ``chunk`` (bytes) say from when on and over how much
+    text frequent ranks are thinned before the shuffle; they change the work, never the result."""
     spark = docs.sparkSession
     src = pick(docs, doc_id=id_col, text=text_col).select("doc_id", null_as_empty(F.col("text")).alias("text")).withColumn("ref", F.xxhash64("doc_id", "text"))
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -280,7 +322,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_blocks = max(least, math.ceil(total / BLOCK_BYTES))
     block = F.pmod(F.col("ref"), F.lit(n_blocks)).alias("block")
 
-    states = short_ranks(src.select("ref", "text"), bits).groupBy("bucket").applyInArrow(_judge_bucket, "ref bigint, index int, state tinyint")
+    states = short_ranks(src.select("ref", "text"), bits, hot, chunk).groupBy("bucket").applyInArrow(_judge_bucket, "ref bigint, index int, state tinyint")
     long_texts = src.where(F.octet_length("text") >= LENGTH).select(block, "ref", "text")
     blocks = staged(long_texts.groupBy("block").cogroup(states.select(block, "ref", "index", "state").groupBy("block")).applyInArrow(
         _gather_block, "block bigint, refs array<bigint>, texts array<string>, states array<binary>"), "repeat-blocks")

@@ -24,9 +24,9 @@ def brute(docs):
     return sorted(out, key=str)
 
 
-def run(spark, docs):
+def run(spark, docs, **how):
     df = spark.createDataFrame([(i, t, 1, 2) for i, t in docs], "doc_id bigint, text string, ref int, block int")
-    return sorted((tuple(r) for r in repeats.remove_repeats(df).collect()), key=str)
+    return sorted((tuple(r) for r in repeats.remove_repeats(df, **how).collect()), key=str)
 
 
 def words(rng, n):
@@ -96,5 +96,34 @@ def memory(text):
     return np.frombuffer(text.encode(), dtype=np.uint8)
 
 
+@pytest.mark.parametrize("hot, chunk", [(1, 2_000), (2, 1 << 20), (repeats.HOT, repeats.CHUNK_BYTES)])
+def test_frequent_anchors_are_thinned_without_loss(spark, rng, hot, chunk):
+    passage, tail = words(rng, 60), words(rng, 30)
+    docs = [words(rng, 8) + passage + words(rng, 8) for _ in range(120)]  # one passage, other surroundings each time
+    docs += [words(rng, 4) + passage[:260] + tail + words(rng, 4) for _ in range(30)]
+    docs += [docs[0], docs[0][5:], "-" * 20_000, "+" + "-" * 700 + "+", "-=" * 900, passage, "", None]
+    docs += [words(rng, 60) for _ in range(20)]
+    rng.shuffle(docs)
+    rows = list(enumerate(docs)) + [(0, docs[0])]
+    assert run(spark, rows, hot=hot, chunk=chunk) == brute(rows)
+
+
+def test_a_chunk_sends_few_rows_of_one_rank(rng):
+    import numpy as np
+    rank = np.array([rng.choice([7, 7, 7, 9, rng.randrange(10**6)]) for _ in range(30_000)], dtype=np.uint64)
+    stretch = np.array([rng.choice([0, 1, 2, rng.randrange(1, 10**6)]) for _ in range(30_000)], dtype=np.uint64)
+    on, decided, state = repeats.sift(rank, stretch, repeats.HOT)
+    assert sorted([*on.tolist(), *decided.tolist()]) == list(range(30_000))
+    assert np.unique(rank[on], return_counts=True)[1].max() <= 2 * (repeats.HOT + 1)
+    for r in (7, 9):  # other chunks still learn that the rank is mixed; each kind sent on or decided has a row to be compared with
+        assert len(set(stretch[on][rank[on] == r].tolist()) - {0}) >= 2
+        kinds = set(stretch[rank == r].tolist()) - {0}
+        compared = set(stretch[on][rank[on] == r].tolist()) | set(stretch[decided][(rank[decided] == r) & (state != repeats.SETTLED)].tolist())
+        assert kinds <= compared
+    assert repeats.sift(rank[:0], stretch[:0], 1)[0].size == 0
+    run_of_dashes = repeats.anchors(memory("-" * 100_000))
+    assert len(repeats.sift(*run_of_dashes[:2], repeats.HOT)[0]) <= 2 * (repeats.HOT + 1)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
