@@ -285,7 +285,7 @@ def _repeated_in_bucket(table: pa.Table) -> pa.Table:
     rank = np.concatenate(parts)
     order = np.sort(rank)
     twice = np.unique(order[1:][order[1:] == order[:-1]])
-    flags = [np.packbits(np.isin(p, twice)).tobytes() for p in parts]
+    flags = [np.packbits(twice[np.searchsorted(twice[:-1], p)] == p if len(twice) else np.zeros(len(p), dtype=bool)).tobytes() for p in parts]
     return pa.table([table.column("block"), table.column("bucket"), pa.array(flags, pa.binary())], ["block", "bucket", "flags"])
 
 
