@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import null_as_empty, pick, row_chunks, staged, tuning
+from .common import null_as_empty, pick, release, row_chunks, small_batches, staged, tuning
 from .probminhash import _powers, mix
 
 LENGTH, GRAM, SPAN = 200, 40, 96
@@ -212,6 +212,7 @@ def short_ranks(docs: DataFrame, bits: int, hot: int, chunk: int) -> DataFrame:
             refs, texts = batch.column("ref").to_numpy(), raw_texts(batch.column("text"))
             for a, b in row_chunks([len(v) for v in texts], chunk):
                 rows = list(rows_of(refs[a:b], texts[a:b]))
+                release()
                 for i in range(0, len(rows), 256):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 256]), (pa.int64(), *[pa.binary()] * 4))],
                                                      ["bucket", "rank", "stretch", "ref", "index"])
@@ -225,6 +226,7 @@ def _judge_bucket(table: pa.Table) -> pa.Table:
     ref, index = joined("ref", np.dtype("<i8"), True), joined("index", U32, True)
     state = joined("stretch", U8) if table.column("bucket")[0].as_py() < 0 else judge(ref, index, joined("rank", U64), joined("stretch", U64))
     keep = state != UNIQUE
+    release()
     return pa.table([pa.array(ref[keep]), pa.array(index[keep].astype(np.int32)), pa.array(state[keep].astype(np.int8))], ["ref", "index", "state"])
 
 
@@ -250,6 +252,7 @@ def _gather_block(docs: pa.Table, states: pa.Table) -> pa.Table:
         texts.append(text[i].as_py())
         packed.append(full.tobytes())
     block = docs.column("block")[0].as_py() if docs.num_rows and keep else None
+    release()
     rows = [[block], [keep], [texts], [packed]] if keep else [[], [], [], []]
     return pa.table([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.list_(pa.int64())), pa.array(rows[2], pa.list_(pa.string())),
                      pa.array(rows[3], pa.list_(pa.binary()))], ["block", "refs", "texts", "states"])
@@ -274,6 +277,7 @@ def long_ranks(blocks: DataFrame, bits: int) -> DataFrame:
             for block, texts, states in zip(*(batch.column(c) for c in ("block", "texts", "states"))):
                 rank = np.unique(np.concatenate([w[3] for w in _open_windows(texts.as_py(), states.as_py())]))
                 rows = [(b, block.as_py(), rank[at].astype(U64).tobytes()) for b, at in slices(rank, bits)]
+                release()
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))],
                                                      ["bucket", "block", "rank"])
@@ -286,6 +290,7 @@ def _repeated_in_bucket(table: pa.Table) -> pa.Table:
     order = np.sort(rank)
     twice = np.unique(order[1:][order[1:] == order[:-1]])
     flags = [np.packbits(twice[np.searchsorted(twice[:-1], p)] == p if len(twice) else np.zeros(len(p), dtype=bool)).tobytes() for p in parts]
+    release()
     return pa.table([table.column("block"), table.column("bucket"), pa.array(flags, pa.binary())], ["block", "bucket", "flags"])
 
 
@@ -307,6 +312,7 @@ def _cut_block(bits: int):
                 gone = covered(settled, len(raw))
                 for col, v in zip(out, (ref, int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(raw[~gone].tobytes()).hexdigest())):
                     col.append(v)
+        release()
         return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["ref", "n_removed", "n_spans", "kept_sha256"])
     return cut
 
@@ -315,6 +321,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.  ``hot`` and ``chunk`` (bytes) say from when on and over how much
     text frequent ranks are thinned before the shuffle; they change the work, never the result."""
     spark = docs.sparkSession
+    small_batches(spark)
     src = pick(docs, doc_id=id_col, text=text_col).select("doc_id", null_as_empty(F.col("text")).alias("text")).withColumn("ref", F.xxhash64("doc_id", "text"))
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = tuning(spark)
