@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import null_as_empty, pick, release, row_chunks, small_batches, staged, tuning
+from .common import null_as_empty, pick, release, small_batches, staged, tuning
 from .probminhash import _powers, mix
 
 LENGTH, GRAM, SPAN = 200, 40, 96
@@ -207,15 +207,25 @@ def short_ranks(docs: DataFrame, bits: int, hot: int, chunk: int) -> DataFrame:
             at = decided[n:n + DECIDED]
             yield packed(-1 - int(mix(ref[at[:1]].astype(np.uint64) + np.uint64(n))[0] >> np.uint64(2)), ref[at], index[at], b"", *_pack(state[n:n + DECIDED]))
 
-    def run(batches):
+    def chunks(batches):
+        held, size = [], 0
         for batch in batches:
-            refs, texts = batch.column("ref").to_numpy(), raw_texts(batch.column("text"))
-            for a, b in row_chunks([len(v) for v in texts], chunk):
-                rows = list(rows_of(refs[a:b], texts[a:b]))
-                release()
-                for i in range(0, len(rows), 256):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 256]), (pa.int64(), *[pa.binary()] * 4))],
-                                                     ["bucket", "rank", "stretch", "ref", "index"])
+            for ref, raw in zip(batch.column("ref").to_pylist(), raw_texts(batch.column("text"))):
+                if held and size + len(raw) > chunk:
+                    yield zip(*held)
+                    held, size = [], 0
+                held.append((ref, raw))
+                size += len(raw) + 16
+        if held:
+            yield zip(*held)
+
+    def run(batches):
+        for refs, texts in chunks(batches):
+            rows = list(rows_of(np.array(refs, dtype=np.int64), texts))
+            release()
+            for i in range(0, len(rows), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 256]), (pa.int64(), *[pa.binary()] * 4))],
+                                                 ["bucket", "rank", "stretch", "ref", "index"])
     return docs.mapInArrow(run, "bucket bigint, rank binary, stretch binary, ref binary, index binary")
 
 
