@@ -58,7 +58,47 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digests(pii.find_pii(read_table(spark, sf_dir, "documents")))
 
 
-@query("op9_decontam")
+# Windows as joined words.
+LEAK_SQL = r"""
+WITH item_words AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item, item_id, w, least(10, len(w)) AS n FROM item_words WHERE len(w) > 0),
+doc_words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS run FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+runs AS (
+  SELECT row, i, n, array_to_string(w[i:i + n - 1], ' ') AS run
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words CROSS JOIN (SELECT DISTINCT n FROM sized))),
+found AS (SELECT r.row, r.i, r.n, w.item_id FROM runs r JOIN windows w ON w.n = r.n AND w.run = r.run),
+hit AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT DISTINCT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row),
+-- The longest match: pairs of words on one diagonal, in stretches of pairs that are long enough for a window.
+item_pairs AS (SELECT item, j, w[j] || ' ' || w[j + 1] AS pair FROM (SELECT item, w, unnest(range(1, len(w))) AS j FROM sized)),
+doc_pairs AS (SELECT row, i, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT row, w, unnest(range(1, len(w))) AS i FROM doc_words)),
+both_have AS (SELECT row, i, item, j FROM doc_pairs JOIN item_pairs USING (pair)),
+stretches AS (
+  SELECT row, min(i) AS a, count(*) + 1 AS size
+  FROM (SELECT row, i, i - row_number() OVER (PARTITION BY row ORDER BY i) AS run FROM (SELECT DISTINCT row, i FROM both_have)) GROUP BY row, run),
+matches AS (
+  SELECT row, min(i) AS a, count(*) + 1 AS size
+  FROM (SELECT row, item, i, i - j AS diagonal, i - row_number() OVER (PARTITION BY row, item, i - j ORDER BY i) AS run FROM both_have) GROUP BY row, item, diagonal, run),
+shortest AS (SELECT min(n) AS n FROM sized),
+streamed AS (
+  SELECT m.row, m.size FROM matches m JOIN stretches s ON s.row = m.row AND m.a >= s.a AND m.a < s.a + s.size CROSS JOIN shortest WHERE s.size >= shortest.n
+  UNION ALL
+  SELECT row, 1 FROM (SELECT row, unnest(w) AS word FROM doc_words CROSS JOIN shortest WHERE n = 1) JOIN (SELECT DISTINCT unnest(w) AS word FROM sized) USING (word)),
+longest AS (SELECT row, max(size) AS longest FROM streamed GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest
+FROM doc_words LEFT JOIN hit USING (row) LEFT JOIN named USING (row) LEFT JOIN longest USING (row)
+"""
+
+
+@query("op9_decontam", LEAK_SQL)
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of ``benchmark`` in every whole text of ``documents``."""
     found = decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -99,7 +139,26 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-@query("op8_repeats")
+# Bytes as hex digits; strings at all places by their digests, from parts of 1,000 places.
+REPEAT_SQL = """
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (SELECT row, c, substr(h, 2 * c + 1, 2398) AS part FROM (SELECT row, h, unnest(range(0, length(h) // 2 - 199, 1000)) AS c FROM d)),
+starts AS (SELECT row, c + k AS i, md5(substr(part, 2 * k + 1, 400)) AS key FROM (SELECT row, c, part, unnest(range(length(part) // 2 - 199)) AS k FROM parts)),
+again AS (SELECT row, i FROM starts JOIN (SELECT key FROM starts GROUP BY key HAVING count(*) > 1) USING (key)),
+cut AS (SELECT row, i, i - lag(i) OVER (PARTITION BY row ORDER BY i) <= 200 AS joined FROM again),
+runs AS (
+  SELECT row, min(i) AS a, max(i) + 200 AS b
+  FROM (SELECT row, i, count(*) FILTER (joined IS NOT TRUE) OVER (PARTITION BY row ORDER BY i) AS run FROM cut) GROUP BY row, run),
+kept AS (
+  SELECT row, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+  FROM (SELECT row, a, b, h, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS before FROM runs JOIN d USING (row)) GROUP BY row)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)
+"""
+
+
+@query("op8_repeats", REPEAT_SQL)
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of ``documents`` without repeated 200-byte strings."""
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
