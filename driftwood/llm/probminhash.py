@@ -57,6 +57,7 @@ SHINGLE = 5
 REGISTERS, BANDS = 128, 32
 SIMILARITY = 0.8
 CHUNK = 1 << 20  # bytes of text that are hashed at once
+SKETCH_CHUNK = 4 << 20  # bytes of text and of arrival times that are sketched at once
 SKETCH = 1024  # registers of the sketch that decides whether a pair is verified
 ERRORS = 2.4  # standard errors under the threshold at which an estimate is let go
 WINDOW = 127  # members that a member is compared with in a bucket
@@ -236,7 +237,7 @@ def sketch_texts(texts: DataFrame) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, out = batch.column("text").to_pylist(), []
-            for a, b in row_chunks([len(t) for t in texts], CHUNK):
+            for a, b in row_chunks([len(t) + 8 * SKETCH for t in texts], SKETCH_CHUNK):
                 out += [row.tobytes() for row in sketches([weighted_shingles(t) for t in texts[a:b]])]
             return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "sketch"])
         return step
