@@ -127,25 +127,23 @@ def sentence_gate_stream(spark, sf_dir):
     return spark.read.parquet(out).select("doc_id", "line_no", "line")
 
 
-def _batch_no(spark_side: bool) -> str:
-    """Micro-batches of the gate: 32 lines of 500 documents each (documents in order of their ids)."""
-    return "CAST(floor(doc_id / 500) * 100000000 + floor(line_no / 32) AS BIGINT)" if spark_side else "CAST(doc_id // 500 * 100000000 + line_no // 32 AS BIGINT)"
+GATED_LINES = 32  # lines of a document that pass together or not at all
 
 
 @register("batch_gate_stream", f"""
 WITH {pt.LEX}, {pt.BAD}, {pt.BITS(pt.M, pt.K)}, {pt.LINES}, {pt.TOKENS}, {pt.PROBE(pt.M, pt.K)},
-badb AS (SELECT DISTINCT {_batch_no(False)} AS b FROM tokens t JOIN probe p ON p.word = t.word WHERE p.in_filter)
-SELECT doc_id, line_no, line FROM lines WHERE {_batch_no(False)} NOT IN (SELECT b FROM badb)""")
+bad_blocks AS (SELECT DISTINCT doc_id, line_no // {GATED_LINES} AS block FROM tokens t JOIN probe p ON p.word = t.word WHERE p.in_filter)
+SELECT l.doc_id, l.line_no, l.line FROM lines l ANTI JOIN bad_blocks b ON b.doc_id = l.doc_id AND b.block = l.line_no // {GATED_LINES}""")
 def batch_gate_stream(spark, sf_dir):
-    """Micro-batches of a document-line stream pass whole or not at all; every landed file is one micro-batch."""
-    lines = docs.document_lines(read_documents(spark, sf_dir)).withColumn("b", F.expr(_batch_no(True)))
-    landing = work_path(spark, "replay-gate-batches")
-    lines.repartition("b").write.partitionBy("b").parquet(landing)
+    """Blocks of a document's lines pass whole or not at all; a micro-batch holds many blocks, each whole."""
+    block = F.concat_ws(":", F.col("doc_id"), F.floor(F.col("line_no") / GATED_LINES))
+    lines = docs.document_lines(read_documents(spark, sf_dir)).withColumn("block", block)
+    landing, files = io.land_whole(lines, work_path(spark, "replay-gate-batches"), "block", N_DOC_SLICES)
     bits = pt._bits(spark, sf_dir, pt.M, pt.K)
     out = work_path(spark, "batch-gate-out")
-    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
-                         schema="doc_id bigint, line_no int, line string, b bigint").drop("b")
-    io.run_available(src, "batch_gate_stream", foreach_batch=sbloom.batch_gate_writer(bits, out, pt.M, pt.K))
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files,
+                         schema="doc_id bigint, line_no int, line string, block string")
+    io.run_available(src, "batch_gate_stream", foreach_batch=sbloom.batch_gate_writer(bits, out, pt.M, pt.K, by="block"))
     return spark.read.parquet(out).select("doc_id", "line_no", "line")
 
 
@@ -161,12 +159,11 @@ def first_token_stream(spark, sf_dir):
 
 @register("batch_local_ma_stream", QUERY_SQL["batch_local_ma10"])
 def batch_local_ma_stream(spark, sf_dir):
-    """Rolling mean that restarts in every micro-batch: each landed file of 250 arrivals is one."""
+    """Rolling mean that restarts in every batch of 250 arrivals; a micro-batch holds many of them, each whole."""
     q = read_quotes(spark, sf_dir, "event_type").withColumn("b", F.floor(F.col("event_id") / 250).cast("bigint"))
-    landing = work_path(spark, "replay-arrivals")
-    q.repartition("b").write.partitionBy("b").parquet(landing)
+    landing, files = io.land_whole(q, work_path(spark, "replay-arrivals"), "b", N_FILES)
     out = work_path(spark, "batch-local-out")
-    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files,
                          schema="event_id bigint, ts timestamp_ntz, symbol string, price decimal(18,6), units bigint, b bigint")
     io.run_available(src, "batch_local_ma_stream", foreach_batch=io.append_by_batch(out, lambda batch, _: ma.batch_local_ma(batch, "b").withColumnRenamed(
         "batch_id", "arrivals")))

@@ -21,10 +21,13 @@ def verdict_writer(bits: DataFrame, out: str, m: int, k: int, keys=("doc_id", "l
     return append_by_batch(out, transform)
 
 
-def batch_gate_writer(bits: DataFrame, out: str, m: int, k: int, keys=("doc_id", "line_no")):
-    """Pass a micro-batch's lines only when none of its tokens probes positive."""
+def batch_gate_writer(bits: DataFrame, out: str, m: int, k: int, keys=("doc_id", "line_no"), by: str | None = None):
+    """Pass a micro-batch's lines only when none of its tokens probes positive.  With ``by``, a column that names smaller
+    batches, each of these passes or not by itself, so that a micro-batch can hold as many of them as the cluster's cores
+    are worth; the source must not spread one of them over two micro-batches."""
     def transform(batch: DataFrame, batch_id: int) -> DataFrame:
-        return gates.batch_gate(batch, bits, F.lit(batch_id).cast("bigint"), m, k, keys).drop("batch_id")
+        gated = F.lit(batch_id).cast("bigint") if by is None else F.col(by)
+        return gates.batch_gate(batch, bits, gated, m, k, keys).drop("batch_id")
     return append_by_batch(out, transform)
 
 

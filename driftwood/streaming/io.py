@@ -54,6 +54,16 @@ def land_time_slices(rows: DataFrame, path: str, n_files: int, ts: str = "ts", f
     return path
 
 
+def land_whole(rows: DataFrame, path: str, by: str, least: int) -> tuple[str, int]:
+    """Land ``rows`` for a replay whose micro-batches hold every batch named by ``by`` whole, in the order of its values;
+    returns the folder and the files of a micro-batch.
+
+    All rows of one value are in one file, as the write is range-partitioned by it; a micro-batch has a file for each core, and their
+    number (``least`` or more) follows the input's splits, not the number of batches."""
+    files = rows.sparkSession.sparkContext.defaultParallelism
+    return land_time_slices(rows, path, max(least, rows.rdd.getNumPartitions() // files), by, files_per_slice=files), files
+
+
 def order_files(spark: SparkSession, path: str) -> int:
     """Give the data files of a landing folder modification times in the order of their names, a second apart and in
     the past; returns how many there are.  Touches no data (a call of the file system for each file)."""

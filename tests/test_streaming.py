@@ -104,3 +104,38 @@ def test_micro_batches_leave_no_staged_tables(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.select("batch_id").distinct().count() == 10 and got.count() == 20
     bits.unpersist()
+
+
+@pytest.mark.parametrize("by", [None, "block"])
+def test_a_gated_batch_passes_whole_or_not_at_all(spark, tmp_path, by):
+    """By default the micro-batch is gated; with a column, each of its values by itself, however many share a micro-batch."""
+    from driftwood.operators import bloom
+    from driftwood.streaming import bloom as sbloom
+    bits = bloom.set_bits(bloom.build(spark.createDataFrame([("bad",)], "word string"), 2000, 5)).cache()
+    lines = [(d, n, "a bad word" if (d, n) == (4, 3) else f"line {d}" if n else "", f"{d}:{n // 2}") for d in range(12) for n in range(5)]
+    df = spark.createDataFrame(lines, "doc_id bigint, line_no int, line string, block string")
+    landing, files = io.land_whole(df, f"{tmp_path}/in", "block", 3)
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files, schema=df.schema.simpleString()[7:-1].replace(":", " "))
+    io.run_available(src, "t_gate", foreach_batch=sbloom.batch_gate_writer(bits, f"{tmp_path}/out", 2000, 5, by=by))
+    got = spark.read.parquet(f"{tmp_path}/out")
+    kept = {(r.doc_id, r.line_no): r.batch_id for r in got.collect()}
+    bits.unpersist()
+    lost = {(d, n) for d, n, _, _ in lines} - set(kept)
+    if by:
+        assert lost == {(4, 2), (4, 3)} and len(set(kept.values())) <= 4
+    else:
+        assert (4, 3) in lost and len(kept) > 10 and not lost & {(0, 0), (9, 4)}
+        assert {b for (d, n), b in kept.items()}.isdisjoint({kept.get((4, 2), -1)})
+        for block in {b for *_, b in lines}:  # blocks are never split between micro-batches
+            here = [(d, n) for d, n, _, b in lines if b == block]
+            assert len({kept.get(x) for x in here}) == 1
+
+
+def test_landed_batches_are_whole_and_few(spark, tmp_path):
+    df = spark.range(5_000).selectExpr("id", "CAST(floor(id / 7) AS BIGINT) AS b")
+    landing, files = io.land_whole(df, f"{tmp_path}/in", "b", 3)
+    split = spark.read.parquet(landing).select("b", F.input_file_name().alias("file")).distinct().groupBy("b").agg(F.count("*").alias("n"))
+    assert split.where("n > 1").count() == 0 and split.count() == 715
+    assert spark.read.parquet(landing).select(F.input_file_name()).distinct().count() <= 3 * files
+    empty = df.where("id < 0")
+    assert spark.read.schema(df.schema).parquet(io.land_whole(empty, f"{tmp_path}/none", "b", 1)[0]).count() == 0
