@@ -30,6 +30,8 @@ HEADLINE = [
     "window_ma_stream",
     "bloom_stream",
     "sentence_gate_stream",
+    "batch_gate_stream",
+    "batch_local_ma_stream",
     "backfill_dedup_stream",
     "lsh_candidates",
     "jaccard_verified",
