@@ -104,10 +104,13 @@ def bloom_stream(spark, sf_dir):
 
 @register("crossover_stream", CROSSOVER_STREAM_SQL)
 def crossover_stream(spark, sf_dir):
-    """Keyed-state detector over a time-ordered replay (symbol = user_id, 1 h delay)."""
+    """Keyed-state detector over a time-ordered replay (symbol = user_id, 1 h delay).  Every micro-batch visits the state of
+    all symbols, so it takes a file for each core and their number follows the input's splits per core."""
     q = read_quotes(spark, sf_dir, "user_id")
-    landing = io.land_time_slices(q, work_path(spark, "replay-quotes"), io.slices_for(q, N_FILES), "ts")
-    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1,
+    files = _state_partitions(spark)
+    slices = max(N_FILES, q.rdd.getNumPartitions() // files)
+    landing = io.land_time_slices(q, work_path(spark, "replay-quotes"), slices, "ts", files_per_slice=files)
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=files,
                          schema="event_id bigint, ts timestamp_ntz, symbol bigint, price decimal(18,6), units bigint")
     out = work_path(spark, "crossover-out")
     io.run_available(sx.crossover_stream(src, "1 hour"), "crossover_stream", "append", out,

@@ -139,3 +139,16 @@ def test_landed_batches_are_whole_and_few(spark, tmp_path):
     assert spark.read.parquet(landing).select(F.input_file_name()).distinct().count() <= 3 * files
     empty = df.where("id < 0")
     assert spark.read.schema(df.schema).parquet(io.land_whole(empty, f"{tmp_path}/none", "b", 1)[0]).count() == 0
+
+
+def test_state_is_kept_by_groups_of_symbols(spark):
+    """Calls of the state function follow the groups, not the symbols; the signals are the same."""
+    q = read_quotes(spark, SF_MID, "user_id")
+    landing = io.land_time_slices(q, work_path(spark, "t-land-groups"), 3, "ts")
+    src = io.line_source(spark, "parquet", landing, max_files_per_trigger=1, schema=SCHEMA)
+    out = work_path(spark, "t-out-groups")
+    run = io.run_available(sx.crossover_stream(src, "1 hour", groups=4), "t_groups", "append", out, checkpoint=work_path(spark, "t-ck-groups"))
+    assert q.select("symbol").distinct().count() > 100
+    assert run.lastProgress["stateOperators"][0]["numRowsTotal"] == 4
+    max_ts = q.agg(F.max("ts")).collect()[0][0]
+    assert rows(sx.finish(spark.read.parquet(out)), COLS) == rows(batch_final(q, max_ts), COLS)
