@@ -10,8 +10,8 @@ bucket, and every member is linked to the bucket's smallest id.  The smallest id
 a bucket's members are never listed and links number at most members x bands, however large a bucket is.  Documents
 without shingles have no signature and no links.
 
-*Agreement* (``agreement``) estimates the Jaccard index of a link from two signatures; *verification* (``exact_jaccard``) counts
-the common shingles of linked documents alone, as joins on (document, word).
+*Agreement* (``agreement``) estimates the Jaccard index of a link from two signatures; *verification* (``exact_jaccard``) intersects
+the word sets of linked documents alone.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import md5_u32
 from ..functions.text import whitespace_tokens
 from ..session import ship_package
-from .minhash import shingles
 
 PRIME = (1 << 31) - 1
 GENERATOR = 48271
@@ -72,8 +71,12 @@ def wide_signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def band_rows(signatures: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(doc_id, band, key)``: a row for each band of a document that has a signature."""
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.array_join(F.transform(F.slice("signature", b * rows + 1, rows), lambda x: x.cast("string")), ","))
+    """``(doc_id, band, key)``: a row for each band of a document that has a signature.  A key holds the band's entries, two to
+    a number (they are below 2^31), as a row for every band is what is shuffled most."""
+    def key(b: Column) -> Column:
+        entry = [F.element_at("signature", (b * rows + i + 1).cast("int")) for i in range(rows)]
+        return F.struct(*[sum((e * (1 << 31 * k) for k, e in enumerate(entry[i:i + 2])), F.lit(0).cast("bigint")).alias(f"k{i // 2}") for i in range(0, rows, 2)])
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)
     return signatures.filter("signature IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.posexplode(keys).alias("band", "key"))
 
 
@@ -97,16 +100,20 @@ def agreement(links: DataFrame, signatures: DataFrame) -> DataFrame:
 
 def exact_jaccard(links: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_a, doc_b, n_common, n_union, jaccard)`` of the distinct shingles of every link.  Only linked documents' words
-    take part, and a link meets its own two documents' words only."""
+    take part, and a link meets its own two documents' words only: a document's distinct words travel as one string, not as
+    a row each.  Rows that share an id count together."""
     asked = links.select(F.col("doc_a").alias("doc_id")).unionAll(links.select("doc_b")).distinct()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(asked, "doc_id", "left_semi")
-    words = shingles(src)
-    sizes = words.groupBy("doc_id").agg(F.count("*").alias("n"))
-    left = links.join(words.select(F.col("doc_id").alias("doc_a"), "word"), "doc_a")
-    common = left.join(words.select(F.col("doc_id").alias("doc_b"), "word"), ["doc_b", "word"]).groupBy("doc_a", "doc_b").agg(F.count("*").alias("n_common"))
-    j = (links.join(common, ["doc_a", "doc_b"], "left")
-         .join(sizes.select(F.col("doc_id").alias("doc_a"), F.col("n").alias("_na")), "doc_a")
+    words = F.array_distinct(whitespace_tokens(F.col("text")))  # without blanks, so that joining them by one can be undone
+    sets = (src.select("doc_id", words.alias("words")).filter(F.size("words") > 0)
+            .select("doc_id", F.array_join("words", " ").alias("words"), F.size("words").cast("bigint").alias("n")))
+    sizes = sets.groupBy("doc_id").agg(F.sum("n").alias("n"))
+    a = sets.select(F.col("doc_id").alias("doc_a"), F.col("words").alias("_a"))
+    b = sets.select(F.col("doc_id").alias("doc_b"), F.col("words").alias("_b"))
+    n_common = F.size(F.array_intersect(F.split("_a", " "), F.split("_b", " "))).cast("bigint")
+    common = (links.join(a, "doc_a").join(b, "doc_b").select("doc_a", "doc_b", n_common.alias("n_common"))
+              .groupBy("doc_a", "doc_b").agg(F.sum("n_common").alias("n")))
+    j = (common.join(sizes.select(F.col("doc_id").alias("doc_a"), F.col("n").alias("_na")), "doc_a")
          .join(sizes.select(F.col("doc_id").alias("doc_b"), F.col("n").alias("_nb")), "doc_b"))
-    n = F.coalesce("n_common", F.lit(0)).cast("bigint")
-    j = j.select("doc_a", "doc_b", n.alias("n_common"), (F.col("_na") + F.col("_nb") - n).alias("n_union"))
+    j = j.select("doc_a", "doc_b", F.col("n").alias("n_common"), (F.col("_na") + F.col("_nb") - F.col("n")).alias("n_union"))
     return j.withColumn("jaccard", F.col("n_common").cast("double") / F.col("n_union").cast("double"))

@@ -98,3 +98,23 @@ def test_a_real_table_links_only_documents_with_common_words(spark):
     links = similar.band_links(similar.wide_signatures(docs))
     got = similar.exact_jaccard(links, docs).agg(F.count("*").alias("n"), F.sum((F.col("jaccard") >= 0.8).cast("int")).alias("near")).first()
     assert got.n > 20 and got.near > 20
+
+
+def test_words_of_linked_documents_are_shuffled_whole(spark):
+    """A link moves a document's words as one value, not as a row each; rows under one id count together."""
+    docs = spark.createDataFrame([(1, "a b c a"), (2, "b c d"), (2, "c e"), (3, None), (4, "nan\u2003b"), (5, " ")], "doc_id long, text string")
+    links = spark.createDataFrame([(1, 2), (1, 4), (2, 3), (3, 4), (1, 5)], "doc_a long, doc_b long")
+    out = similar.exact_jaccard(links, docs)
+    got = sorted((r.doc_a, r.doc_b, r.n_common, r.n_union) for r in out.collect())
+    assert got == [(1, 2, 3, 5), (1, 4, 1, 4), (2, 3, 0, 6), (3, 4, 1, 2)]  # a text without words has no links of its own
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_band_keys_are_the_entries(spark):
+    rows = [(1, [5, 6, 7, 8]), (2, [5, 6, 7, 9]), (3, [similar.PRIME - 1] * 4), (4, [5, 6, 8, 7])]
+    s = spark.createDataFrame(rows, "doc_id long, signature array<bigint>")
+    keys = similar.band_rows(s, 2, 2)
+    assert keys.schema["key"].dataType.simpleString() == "struct<k0:bigint>"
+    got = sorted((r.band, r.doc_id, r.key.k0) for r in keys.collect())
+    assert got == sorted((b, d, v[2 * b] + (v[2 * b + 1] << 31)) for d, v in rows for b in (0, 1))
+    assert sorted(tuple(r) for r in similar.band_links(s, 2, 2).collect()) == [(1, 2), (1, 4)]
