@@ -22,11 +22,16 @@ similarity 0.8 two texts share a band but for a chance of 5e-8, and 13 on averag
    chance of 0.8 %, one at 0.82 with 1e-4).
 3. Of those pairs, the best of every two components are verified first, in ``ROUNDS`` rounds, then all that still
    join different components.
+4. Large buckets that still are of several components then have all their pairs looked at, not those within ``WINDOW`` only.
+   A pair's similarity is at most the weight it has in common, so of two near duplicates each has, from their rarest common
+   shingle on, common shingles of that weight.  Members without such a shingle in common with another component's
+   member need no comparison (texts with enough words of their own); the others of a bucket are dealt to blocks, and every two
+   blocks meet in a cell, by sketches of ``CROWD_SKETCH`` registers (let go ``CROWD_ERRORS`` standard errors under
+   the threshold: at exactly 0.8 with a chance below 1e-4).  Step 3 follows.
 
 So the rows that leave a step are at most members x bands in step 1 and members x bands x ``WINDOW`` in step 2, and what
-leaves step 2 in a crowd of texts that are alike but not near duplicates is the share of pairs near the threshold.  In buckets of more
-than ``WINDOW`` + 1 members of several components a link can be missed, if in none of their common buckets the two stand near
-each other and no other chain of links joins them; the tests state the recall.
+leaves step 2 in a crowd of texts that are alike but not near duplicates is the share of pairs near the threshold.  Step 4's
+comparisons are quadratic in the members that may still have a partner, in cells of bounded size.
 
 *Verification.*  Each pair's similarity is computed exactly from both texts, no pair twice.
 
@@ -46,7 +51,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches, null_as_empty, pick, release, row_chunks, settled, small_batches, staged, tuning
@@ -61,6 +66,8 @@ SKETCH_CHUNK = 4 << 20  # bytes of text and of arrival times that are sketched a
 SKETCH = 1024  # registers of the sketch that decides whether a pair is verified
 ERRORS = 2.4  # standard errors under the threshold at which an estimate is let go
 WINDOW = 127  # members that a member is compared with in a bucket
+CROWD_SKETCH, CROWD_ERRORS = 4096, 4.0  # the same for the pairs of large buckets that WINDOW leaves out
+BLOCK = 512  # members of a large bucket that are one side of a cell, on average
 ROUNDS = 3
 CACHED = 1 << 20  # shingles that a task keeps for its next pairs
 
@@ -149,9 +156,18 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
     return sign.reshape(n, registers)
 
 
-def sketches(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """(texts, SKETCH) bytes of registers, for estimates only."""
-    return (mix(signatures(sets, SKETCH)) >> np.uint64(56)).astype(np.uint8)
+def sketches(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = SKETCH) -> np.ndarray:
+    """(texts, registers) bytes of registers, for estimates only."""
+    return (mix(signatures(sets, registers)) >> np.uint64(56)).astype(np.uint8)
+
+
+def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The similarity of each two sketches; bytes agree by chance too."""
+    return ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+
+
+def least_estimate(similarity: float, registers: int, errors: float) -> float:
+    return similarity - errors * (similarity * (1 - similarity) / registers) ** 0.5
 
 
 def band_keys(sign: np.ndarray) -> np.ndarray:
@@ -232,13 +248,13 @@ def open_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
     return staged(now.join(several, "band").select("band", "at", "node", "n", "component"), "open")
 
 
-def sketch_texts(texts: DataFrame) -> DataFrame:
+def sketch_texts(texts: DataFrame, registers: int = SKETCH) -> DataFrame:
     """``node, sketch`` for ``node, text`` rows."""
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, out = batch.column("text").to_pylist(), []
-            for a, b in row_chunks([len(t) + 8 * SKETCH for t in texts], SKETCH_CHUNK):
-                out += [row.tobytes() for row in sketches([weighted_shingles(t) for t in texts[a:b]])]
+            for a, b in row_chunks([len(t) + 8 * registers for t in texts], SKETCH_CHUNK):
+                out += [row.tobytes() for row in sketches([weighted_shingles(t) for t in texts[a:b]], registers)]
             return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "sketch"])
         return step
     return map_batches(texts, make, "node bigint, sketch binary")
@@ -271,8 +287,7 @@ def near_in_order(rows: DataFrame, least: float) -> DataFrame:
                 second = second[now["component"][second] != now["component"][second - k]]
                 for a, b in row_chunks([SKETCH] * len(second), CHUNK):
                     j = second[a:b]
-                    same = (now["sketch"][j] == now["sketch"][j - k]).mean(axis=1)
-                    estimate = (same - 1 / 256) / (1 - 1 / 256)
+                    estimate = estimates(now["sketch"][j], now["sketch"][j - k])
                     j, estimate = j[estimate >= least], estimate[estimate >= least]
                     common = (now["small"][j] == now["small"][j - k]) & (now["small"][j] != 0)
                     here = np.where(common.any(axis=1), (common.argmax(axis=1) == now["at"][j]) & (now["n"][j] <= WINDOW + 1), True)
@@ -280,6 +295,7 @@ def near_in_order(rows: DataFrame, least: float) -> DataFrame:
             tail = {c: v[-WINDOW:] for c, v in now.items()}
             u, v, e = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(e, pa.float64())], ["u", "v", "estimate"])
+        tail = now = found = second = None
         release()
     small_batches(rows.sparkSession)
     return rows.mapInArrow(run, "u bigint, v bigint, estimate double")
@@ -287,7 +303,7 @@ def near_in_order(rows: DataFrame, least: float) -> DataFrame:
 
 def near_pairs(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``u, v, estimate`` (u < v) of the pairs of ``open_buckets`` that may be near duplicates."""
-    least = similarity - ERRORS * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    least = least_estimate(similarity, SKETCH, ERRORS)
     parts = tuning(members.sparkSession)
     small = members.groupBy("node").agg(F.collect_list(F.when(F.col("n") <= WINDOW + 1, F.struct("at", "band"))).alias("small"))  # BANDS at the most
     known = staged(sketch_texts(texts.join(members.select("node").distinct(), "node")).join(small, "node"), "sketches")
@@ -301,6 +317,95 @@ def near_pairs(members: DataFrame, texts: DataFrame, similarity: float = SIMILAR
     return found.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("estimate").alias("estimate"))
 
 
+def shingle_shares(texts: DataFrame) -> DataFrame:
+    """``node, shingle, share``: each distinct shingle's share of its text's weight, for ``node, text`` rows."""
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [weighted_shingles(t) for t in batch.column("text").to_pylist()]
+            node = np.repeat(batch.column("node").to_numpy(), [len(x) for x, _ in sets])
+            shingle, share = np.concatenate([x for x, _ in sets]).view(np.int64), np.concatenate([c / max(c.sum(), 1) for _, c in sets])
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(shingle), pa.array(share)], ["node", "shingle", "share"])
+        return step
+    return map_batches(texts, make, "node bigint, shingle bigint, share double")
+
+
+def may_be_near(crowd: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``node`` of the members that can have a near duplicate in another component.  Shingles stand in one order, the rarest first;
+    the rarest that two near duplicates have in common is, in each of them, followed by common ones of at least ``similarity``."""
+    nodes = crowd.select("node", "component").distinct()
+    shares = staged(shingle_shares(texts.join(nodes, "node").select("node", "text")), "shares")
+    common = shares.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    onwards = Window.partitionBy("node").orderBy(F.desc("n"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, 0)
+    rare = staged(shares.join(common, "shingle").withColumn("mass", F.sum("share").over(onwards)).where(F.col("mass") >= similarity - 1e-8)
+                  .join(nodes, "node").select("node", "component", "shingle"), "rare")
+    meet = rare.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("shingle")
+    return staged(rare.join(meet, "shingle").select("node").distinct(), "may-be-near")
+
+
+def near_in_cells(rows: DataFrame, similarity: float) -> DataFrame:
+    """``u, v, estimate`` of the pairs of different components in a cell (of different blocks, if the cell has two) that may be near
+    duplicates, for rows in the order of their cells.  A pair that shares several buckets leaves the first of them only."""
+    least, rough = least_estimate(similarity, CROWD_SKETCH, CROWD_ERRORS), least_estimate(similarity, SKETCH, CROWD_ERRORS)
+    step = CHUNK // SKETCH
+
+    def run(batches):
+        tail: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = {c: batch.column(c).to_numpy() for c in ("band", "lo", "hi", "block", "at", "node", "component")}
+            now["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, CROWD_SKETCH)
+            shared = np.zeros((batch.num_rows, BANDS), dtype=np.int64)  # the keys of a row's large buckets by place
+            for i, places in enumerate(batch.column("shared").to_pylist()):
+                for x in places:
+                    shared[i, x["at"]] = x["band"]
+            now["shared"] = shared
+            old = len(tail["band"]) if tail else 0
+            if tail:
+                now = {c: np.concatenate([tail[c], v]) for c, v in now.items()}
+            starts = np.r_[True, np.any([now[c][1:] != now[c][:-1] for c in ("band", "lo", "hi")], axis=0)]
+            first = np.maximum.accumulate(np.where(starts, np.arange(len(starts)), 0))  # where a row's cell begins
+            found, second, k = [], np.arange(old, len(starts)), 0
+            while True:
+                k += 1
+                second = second[second - k >= first[second]]
+                if not len(second):
+                    break  # no cell is that long
+                pair = second[(now["component"][second] != now["component"][second - k])
+                              & ((now["lo"][second] == now["hi"][second]) | (now["block"][second] != now["block"][second - k]))]
+                for a in range(0, len(pair), step):
+                    j = pair[a:a + step]
+                    both = (now["shared"][j] == now["shared"][j - k]) & (now["shared"][j] != 0)
+                    j = j[both.argmax(axis=1) == now["at"][j]]
+                    j = j[estimates(now["sketch"][j, :SKETCH], now["sketch"][j - k, :SKETCH]) >= rough]
+                    estimate = estimates(now["sketch"][j], now["sketch"][j - k])
+                    j, estimate = j[estimate >= least], estimate[estimate >= least]
+                    found += zip(now["node"][j].tolist(), now["node"][j - k].tolist(), estimate.tolist())
+            tail = {c: v[first[-1]:] for c, v in now.items()}
+            u, v, e = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(e, pa.float64())], ["u", "v", "estimate"])
+        tail = now = found = second = None
+        release()
+    small_batches(rows.sparkSession)
+    return rows.mapInArrow(run, "u bigint, v bigint, estimate double")
+
+
+def crowd_pairs(crowd: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``u, v, estimate`` (u < v) of all pairs in the large buckets of ``open_buckets`` that may be near duplicates."""
+    near = may_be_near(crowd, texts, similarity)
+    rows = staged(crowd.join(near, "node").select("band", "at", "node", "component"), "crowd")
+    sizes = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    sizes = sizes.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    shared = rows.groupBy("node").agg(F.collect_list(F.struct("at", "band")).alias("shared"))  # BANDS at the most
+    known = staged(sketch_texts(texts.join(near, "node").select("node", "text"), CROWD_SKETCH).join(shared, "node"), "sketches")
+    dealt = rows.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    cells = dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).join(known, "node")
+    cells = cells.repartition(tuning(crowd.sparkSession), "band", "lo", "hi").sortWithinPartitions("band", "lo", "hi")
+    found = near_in_cells(cells.select("band", "lo", "hi", "block", "at", "node", "component", "sketch", "shared"), similarity)
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "estimate")
+
+
 def verify(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (member, leader, member_text, leader_text) of at least this similarity, as edges (u, v)."""
     def make():
@@ -338,12 +443,8 @@ def join_links(linked: DataFrame | None, pairs: DataFrame, texts: DataFrame, sim
     return components(edges if linked is None else edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
-def link(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``node, component`` (as ``components``) of the texts that verified pairs join."""
-    star = staged(star_pairs(members), "pairs")
-    linked = join_links(None, star, texts, similarity)
-    left = staged(near_pairs(open_buckets(members, linked), texts, similarity)
-                  .join(star.select(F.col("leader").alias("u"), F.col("member").alias("v")), ["u", "v"], "left_anti"), "candidates")
+def join_best(linked: DataFrame, left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``linked`` after the verification of the ``u, v, estimate`` pairs, the best of every two components first."""
     for turn in range(ROUNDS + 1):
         left = staged(with_components(with_components(left.select("u", "v", "estimate"), linked, "u", "a"), linked, "v", "b").where("a <> b"), "candidates")
         if left.isEmpty():
@@ -357,6 +458,22 @@ def link(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
     return linked
 
 
+def link(members: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, component`` (as ``components``) of the texts that verified pairs join."""
+    star = staged(star_pairs(members), "pairs")
+    linked = join_links(None, star, texts, similarity)
+    opened = open_buckets(members, linked)
+    tried = star.select(F.col("leader").alias("u"), F.col("member").alias("v"))
+    left = staged(near_pairs(opened, texts, similarity).join(tried, ["u", "v"], "left_anti"), "candidates")
+    linked = join_best(linked, left, texts, similarity)
+    crowd = open_buckets(opened.where(F.col("n") > WINDOW + 1).drop("component"), linked)
+    if not crowd.isEmpty():
+        tried = tried.unionAll(left.select("u", "v"))
+        left = staged(crowd_pairs(crowd, texts, similarity).join(tried, ["u", "v"], "left_anti"), "candidates")
+        linked = join_best(linked, left, texts, similarity)
+    return linked
+
+
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, digest, component``; rows of one component are near duplicates."""
     src = pick(docs, doc_id=id_col, text=text_col)

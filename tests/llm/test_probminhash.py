@@ -157,6 +157,25 @@ def test_crowds_lose_few_links_and_rows_stay_few(spark, rng, monkeypatch):
     assert rows[2000] <= 12 * rows[200]  # ten times the members
 
 
+def test_a_narrow_window_loses_no_link(spark, rng, monkeypatch):
+    monkeypatch.setattr(pm, "WINDOW", 2)  # so that most pairs of a bucket never stand near each other
+    monkeypatch.setattr(pm, "BLOCK", 20, raising=False)  # several blocks
+    docs = letters(rng, 120, 40)
+    own = [f"z{k}" for k in range(200)]
+    docs += [" ".join(["w%d" % i for i in range(100)] + [f"{x}at{k}" for x in own]) for k in range(20)]  # words of their own: no partner
+    rows = list(enumerate(docs))
+    rng.shuffle(rows)
+    assert run(spark, rows) == classes(rows)
+
+
+def test_members_with_words_of_their_own_are_not_compared(spark):
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words + [f"own{k}x{i}" for i in range(40)]) for k in range(5)] + [" ".join(words + [f"p{i}" for i in range(40)] + [x]) for x in "ab"]
+    crowd = spark.createDataFrame([(1, 0, k, 200, k) for k in range(7)], "band long, at int, node long, n long, component long")
+    nodes = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    assert sorted(r.node for r in pm.may_be_near(crowd, nodes, 0.8).collect()) == [5, 6]
+
+
 def test_repeated_rows_and_null_ids_are_one_text(spark, rng, monkeypatch):
     base = [f"q{i}" for i in range(120)]
     near = [" ".join(base), changed(rng, base, 1)]
