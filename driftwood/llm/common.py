@@ -14,7 +14,7 @@ from ..sources.tables import read_table
 
 __all__ = ["dropped", "kind_count", "map_batches", "null_as_empty", "pick", "read_table", "release", "row_chunks", "settled", "small_batches", "span_text", "staged", "tuning"]
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -45,7 +45,7 @@ def release() -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 8 MB, however long the texts of a table are (a longer row is a batch of its own)."""
+    """Arrow batches of at most 4 MB, however long the texts of a table are (a longer row is a batch of its own)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
