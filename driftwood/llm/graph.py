@@ -21,15 +21,18 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _done(edges: DataFrame) -> bool:
+    """Whether every node of distinct edges (u, v), v < u, has one edge to a smaller node that has none itself, or is such a one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 AND up > 0").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node it is connected to) for every node of the edges (u, v) that
     isn't itself the smallest.  Each round is staged; rounds grow with the logarithm of the longest path."""
     now = staged(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before, old = mark, now
+    while not _done(now):
+        old = now
         now = staged(_stars(_stars(now, True), False), "edges")
         dropped(old)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

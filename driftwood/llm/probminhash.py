@@ -26,8 +26,8 @@ similarity 0.8 two texts share a band but for a chance of 5e-8, and 13 on averag
    A pair's similarity is at most the weight it has in common, so of two near duplicates each has, from their rarest common
    shingle on, common shingles of that weight.  Members without such a shingle in common with another component's
    member need no comparison (texts with enough words of their own); the others of a bucket are dealt to blocks, and every two
-   blocks meet in a cell, by sketches of ``CROWD_SKETCH`` registers (let go ``CROWD_ERRORS`` standard errors under
-   the threshold: at exactly 0.8 with a chance below 1e-4).  Step 3 follows.
+   blocks meet in a cell, by sketches of ``CROWD_SKETCH`` registers of two bits, as a member's sketch goes to every cell of its
+   buckets (let go ``CROWD_ERRORS`` standard errors under the threshold: at exactly 0.8 with a chance below 1e-4).  Step 3 follows.
 
 So the rows that leave a step are at most members x bands in step 1 and members x bands x ``WINDOW`` in step 2, and what
 leaves step 2 in a crowd of texts that are alike but not near duplicates is the share of pairs near the threshold.  Step 4's
@@ -54,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, null_as_empty, pick, release, row_chunks, settled, small_batches, staged, tuning
+from .common import dropped, map_batches, null_as_empty, pick, release, row_chunks, settled, small_batches, staged, tuning
 from .decontam import FOLD
 from .graph import components
 
@@ -67,7 +67,8 @@ SKETCH = 1024  # registers of the sketch that decides whether a pair is verified
 ERRORS = 2.4  # standard errors under the threshold at which an estimate is let go
 WINDOW = 127  # members that a member is compared with in a bucket
 CROWD_SKETCH, CROWD_ERRORS = 4096, 4.0  # the same for the pairs of large buckets that WINDOW leaves out
-BLOCK = 512  # members of a large bucket that are one side of a cell, on average
+CROWD_VALUES = 4  # that a register of these has: two bits each
+BLOCK = 1024  # members of a large bucket that are one side of a cell, on average
 ROUNDS = 3
 CACHED = 1 << 20  # shingles that a task keeps for its next pairs
 
@@ -166,8 +167,24 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
 
 
-def least_estimate(similarity: float, registers: int, errors: float) -> float:
-    return similarity - errors * (similarity * (1 - similarity) / registers) ** 0.5
+def packed(sketch: np.ndarray) -> np.ndarray:
+    """Two bits of each register, four registers a byte."""
+    two = (sketch & np.uint8(CROWD_VALUES - 1)).reshape(len(sketch), -1, 4)
+    return two[:, :, 0] | two[:, :, 1] << 2 | two[:, :, 2] << 4 | two[:, :, 3] << 6
+
+
+def packed_estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The similarity of each two packed sketches, given as 64-bit numbers of 32 registers."""
+    differ = a ^ b
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    same = 1 - np.bitwise_count(differ).sum(axis=1, dtype=np.int64) / (32 * a.shape[1])
+    return (same - 1 / CROWD_VALUES) / (1 - 1 / CROWD_VALUES)
+
+
+def least_estimate(similarity: float, registers: int, errors: float, values: int = 256) -> float:
+    """The estimate that many standard errors under ``similarity``, for registers that have so many values and agree by chance too."""
+    same = similarity + (1 - similarity) / values
+    return similarity - errors * (same * (1 - same) / registers) ** 0.5 / (1 - 1 / values)
 
 
 def band_keys(sign: np.ndarray) -> np.ndarray:
@@ -248,13 +265,14 @@ def open_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
     return staged(now.join(several, "band").select("band", "at", "node", "n", "component"), "open")
 
 
-def sketch_texts(texts: DataFrame, registers: int = SKETCH) -> DataFrame:
-    """``node, sketch`` for ``node, text`` rows."""
+def sketch_texts(texts: DataFrame, registers: int = SKETCH, pack: bool = False) -> DataFrame:
+    """``node, sketch`` (packed, if asked for) for ``node, text`` rows."""
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, out = batch.column("text").to_pylist(), []
             for a, b in row_chunks([len(t) + 8 * registers for t in texts], SKETCH_CHUNK):
-                out += [row.tobytes() for row in sketches([weighted_shingles(t) for t in texts[a:b]], registers)]
+                found = sketches([weighted_shingles(t) for t in texts[a:b]], registers)
+                out += [row.tobytes() for row in (packed(found) if pack else found)]
             return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "sketch"])
         return step
     return map_batches(texts, make, "node bigint, sketch binary")
@@ -339,14 +357,17 @@ def may_be_near(crowd: DataFrame, texts: DataFrame, similarity: float) -> DataFr
     rare = staged(shares.join(common, "shingle").withColumn("mass", F.sum("share").over(onwards)).where(F.col("mass") >= similarity - 1e-8)
                   .join(nodes, "node").select("node", "component", "shingle"), "rare")
     meet = rare.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("shingle")
-    return staged(rare.join(meet, "shingle").select("node").distinct(), "may-be-near")
+    near = staged(rare.join(meet, "shingle").select("node").distinct(), "may-be-near")
+    dropped(shares)
+    dropped(rare)
+    return near
 
 
 def near_in_cells(rows: DataFrame, similarity: float) -> DataFrame:
     """``u, v, estimate`` of the pairs of different components in a cell (of different blocks, if the cell has two) that may be near
     duplicates, for rows in the order of their cells.  A pair that shares several buckets leaves the first of them only."""
-    least, rough = least_estimate(similarity, CROWD_SKETCH, CROWD_ERRORS), least_estimate(similarity, SKETCH, CROWD_ERRORS)
-    step = CHUNK // SKETCH
+    least, rough = (least_estimate(similarity, n, CROWD_ERRORS, CROWD_VALUES) for n in (CROWD_SKETCH, SKETCH))
+    step, first_words = CHUNK // (8 * BANDS), SKETCH // 32
 
     def run(batches):
         tail: dict = {}
@@ -354,12 +375,8 @@ def near_in_cells(rows: DataFrame, similarity: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             now = {c: batch.column(c).to_numpy() for c in ("band", "lo", "hi", "block", "at", "node", "component")}
-            now["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, CROWD_SKETCH)
-            shared = np.zeros((batch.num_rows, BANDS), dtype=np.int64)  # the keys of a row's large buckets by place
-            for i, places in enumerate(batch.column("shared").to_pylist()):
-                for x in places:
-                    shared[i, x["at"]] = x["band"]
-            now["shared"] = shared
+            now["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, CROWD_SKETCH // 32)
+            now["shared"] = batch.column("shared").flatten().to_numpy().reshape(-1, BANDS)
             old = len(tail["band"]) if tail else 0
             if tail:
                 now = {c: np.concatenate([tail[c], v]) for c, v in now.items()}
@@ -377,8 +394,8 @@ def near_in_cells(rows: DataFrame, similarity: float) -> DataFrame:
                     j = pair[a:a + step]
                     both = (now["shared"][j] == now["shared"][j - k]) & (now["shared"][j] != 0)
                     j = j[both.argmax(axis=1) == now["at"][j]]
-                    j = j[estimates(now["sketch"][j, :SKETCH], now["sketch"][j - k, :SKETCH]) >= rough]
-                    estimate = estimates(now["sketch"][j], now["sketch"][j - k])
+                    j = j[packed_estimates(now["sketch"][j, :first_words], now["sketch"][j - k, :first_words]) >= rough]
+                    estimate = packed_estimates(now["sketch"][j], now["sketch"][j - k])
                     j, estimate = j[estimate >= least], estimate[estimate >= least]
                     found += zip(now["node"][j].tolist(), now["node"][j - k].tolist(), estimate.tolist())
             tail = {c: v[first[-1]:] for c, v in now.items()}
@@ -396,8 +413,10 @@ def crowd_pairs(crowd: DataFrame, texts: DataFrame, similarity: float = SIMILARI
     rows = staged(crowd.join(near, "node").select("band", "at", "node", "component"), "crowd")
     sizes = rows.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
     sizes = sizes.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    shared = rows.groupBy("node").agg(F.collect_list(F.struct("at", "band")).alias("shared"))  # BANDS at the most
-    known = staged(sketch_texts(texts.join(near, "node").select("node", "text"), CROWD_SKETCH).join(shared, "node"), "sketches")
+    # The keys of a node's large buckets by place, 0 for none.
+    by_place = [F.coalesce(F.max(F.when(F.col("at") == at, F.col("band"))), F.lit(0)).alias(f"at{at}") for at in range(BANDS)]
+    shared = rows.groupBy("node").agg(*by_place).select("node", F.array(*[f"at{at}" for at in range(BANDS)]).alias("shared"))
+    known = staged(sketch_texts(texts.join(near, "node").select("node", "text"), CROWD_SKETCH, pack=True).join(shared, "node"), "sketches")
     dealt = rows.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     cells = dealt.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).join(known, "node")
@@ -440,7 +459,10 @@ def join_links(linked: DataFrame | None, pairs: DataFrame, texts: DataFrame, sim
     both = (pairs.join(texts.select(F.col("node").alias("member"), F.col("text").alias("member_text")), "member")
             .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("leader_text")), "leader"))
     edges = verify(both, similarity)
-    return components(edges if linked is None else edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    if linked is None:
+        return components(edges)
+    edges = staged(edges, "verified")
+    return linked if edges.isEmpty() else components(edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
 
 def join_best(linked: DataFrame, left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:

@@ -176,6 +176,42 @@ def test_members_with_words_of_their_own_are_not_compared(spark):
     assert sorted(r.node for r in pm.may_be_near(crowd, nodes, 0.8).collect()) == [5, 6]
 
 
+def test_cells_get_a_kilobyte_for_each_member_of_a_bucket(spark, rng, monkeypatch):
+    n, bands = 600, 8
+    nodes = spark.createDataFrame(list(enumerate(letters(rng, n - 2, 2))), "node long, text string")
+    crowd = spark.createDataFrame([(100 + at, at, k, n, k) for k in range(n) for at in range(bands)], "band long, at int, node long, n long, component long")
+    sent = []
+    real = pm.near_in_cells
+
+    def cells(rows, similarity):
+        sent.append(sum(len(r.sketch) for r in rows.select("sketch").collect()))
+        return real(rows, similarity)
+    monkeypatch.setattr(pm, "near_in_cells", cells)
+    found = [(r.u, r.v) for r in pm.crowd_pairs(crowd, nodes).collect()]
+    assert len(found) == len(set(found)) and {(0, 1), (2, 3)} <= set(found)
+    assert sent[0] <= 1024 * n * bands
+
+
+def test_packed_sketches_estimate_similarity():
+    base = [f"w{i}" for i in range(404)]
+    sets = [pm.weighted_shingles(" ".join(base))] + [pm.weighted_shingles(edited(base, range(4, 4 + 5 * n, 5), "x")) for n in range(0, 60, 3)]
+    two = pm.packed(pm.sketches(sets, pm.CROWD_SKETCH)).view("uint64")
+    seen = pm.packed_estimates(np.repeat(two[:1], len(two) - 1, axis=0), two[1:])
+    true = [pm.probability_jaccard(sets[0], x) for x in sets[1:]]
+    assert seen[0] == 1 and np.abs(seen - true).max() < 0.04
+    assert pm.least_estimate(0.8, pm.CROWD_SKETCH, pm.CROWD_ERRORS, pm.CROWD_VALUES) == pytest.approx(0.8 - 4 * (0.85 * 0.15 / 4096) ** 0.5 / 0.75)
+
+
+def test_nothing_new_linked_leaves_the_components_alone(spark, monkeypatch):
+    texts = spark.createDataFrame([(0, "a b c d e f"), (1, "a b c d e f"), (2, "k l m n o p")], "node long, text string")
+    linked = spark.createDataFrame([(1, 0)], "node long, component long")
+    calls = []
+    real = pm.components
+    monkeypatch.setattr(pm, "components", lambda edges: (calls.append(1), real(edges))[1])
+    pairs = spark.createDataFrame([(2, 0, 0.8)], "v long, u long, estimate double")
+    assert [tuple(r) for r in pm.join_best(linked, pairs, texts, 0.8).collect()] == [(1, 0)] and not calls
+
+
 def test_repeated_rows_and_null_ids_are_one_text(spark, rng, monkeypatch):
     base = [f"q{i}" for i in range(120)]
     near = [" ".join(base), changed(rng, base, 1)]
@@ -237,3 +273,15 @@ def test_components(spark, rng):
     want = {i: 0 for i in range(1, 61)} | {k: 100 for k in range(200, 260)} | {301: 300}
     assert got == want
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_stars_are_components_at_once(spark, monkeypatch):
+    from driftwood.llm import graph
+    staged = []
+    real = graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df, name: (staged.append(name), real(df, name))[1])
+    stars = [(k, 5) for k in range(10, 40)] + [(3, k) for k in range(50, 60)]
+    assert {r.node: r.component for r in components(spark.createDataFrame(stars, "u bigint, v bigint")).collect()} == {max(e): min(e) for e in stars}
+    assert len(staged) == 1
+    two = [(9, 1), (9, 2), (2, 0)]  # a node between two stars
+    assert {r.node: r.component for r in components(spark.createDataFrame(two, "u bigint, v bigint")).collect()} == {9: 0, 1: 0, 2: 0}
