@@ -20,8 +20,8 @@ similarity 0.8 two texts share a band but for a chance of 5e-8, and 13 on averag
    bucket, and meet the next ``WINDOW``.  Only pairs of different components whose estimate is at most ``ERRORS`` standard errors under the
    threshold leave the task (2.4, so that a pair at exactly 0.8 is missed with a
    chance of 0.8 %, one at 0.82 with 1e-4).
-3. Of those pairs, the best of every two components are verified first, in ``ROUNDS`` rounds, then all that still
-   join different components.
+3. Of those pairs, the best of every two components are verified first, in up to ``ROUNDS`` rounds as long as the pairs outnumber
+   the texts, then all that still join different components.
 4. Large buckets that still are of several components then have all their pairs looked at, not those within ``WINDOW`` only.
    A pair's similarity is at most the weight it has in common, so of two near duplicates each has, from their rarest common
    shingle on, common shingles of that weight.  Members without such a shingle in common with another component's
@@ -63,6 +63,7 @@ REGISTERS, BANDS = 128, 32
 SIMILARITY = 0.8
 CHUNK = 1 << 20  # bytes of text that are hashed at once
 SKETCH_CHUNK = 4 << 20  # bytes of text and of arrival times that are sketched at once
+DRAWS = 1 << 15  # arrivals that are drawn at once, if a turn has fewer
 SKETCH = 1024  # registers of the sketch that decides whether a pair is verified
 ERRORS = 2.4  # standard errors under the threshold at which an estimate is let go
 WINDOW = 127  # members that a member is compared with in a bucket
@@ -141,16 +142,23 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
         sign[i * registers:(i + 1) * registers] = sets[i][0][0]
     alive = np.array([len(s) > 1 for s, _ in sets], dtype=bool)[doc] if len(doc) else np.zeros(0, dtype=bool)
     doc, item, rate = doc[alive], item[alive], rate[alive]
-    time, turn = np.zeros(len(doc)), 0
+    time, turn, look = np.zeros(len(doc)), 0, 1
     while len(doc):
-        turn += 1
-        step = np.array([2 * turn, 2 * turn + 1], dtype=np.uint64) * _ODD
-        draw = mix(item + step[0])
-        time = time - np.log(((draw >> np.uint64(11)).astype(float) + 1) / 9007199254740992.0) / rate
-        slot = doc * registers + (mix(item + step[1]) % k).astype(np.int64)
-        np.minimum.at(first, slot, time)
-        won = first[slot] == time
-        sign[slot[won]] = item[won]
+        # Several turns at once where few processes are left: a text of few shingles has many turns.
+        turns = np.arange(turn + 1, turn + 1 + max(1, min(turn // 8, DRAWS // len(doc))), dtype=np.uint64)[:, None]
+        turn += len(turns)
+        draw = mix(item + 2 * turns * _ODD)
+        wait = -np.log(((draw >> np.uint64(11)).astype(float) + 1) / 9007199254740992.0) / rate
+        times = np.cumsum(np.concatenate([time[None], wait]), axis=0)[1:]
+        place = mix(item + (2 * turns + 1) * _ODD)
+        place = place & (k - np.uint64(1)) if registers & (registers - 1) == 0 else place % k
+        slot, came, time = (doc * registers + place.astype(np.int64)).ravel(), times.ravel(), times[-1]
+        np.minimum.at(first, slot, came)
+        won = first[slot] == came
+        sign[slot[won]] = np.tile(item, len(turns))[won]
+        if turn < look:  # arrivals after all registers' first ones change nothing
+            continue
+        look = turn + max(1, turn // 8)
         latest = first.reshape(n, registers).max(axis=1)  # infinite while a register is empty
         on = time < latest[doc]
         doc, item, rate, time = doc[on], item[on], rate[on], time[on]
@@ -462,21 +470,32 @@ def join_links(linked: DataFrame | None, pairs: DataFrame, texts: DataFrame, sim
     if linked is None:
         return components(edges)
     edges = staged(edges, "verified")
-    return linked if edges.isEmpty() else components(edges.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+    if edges.isEmpty():
+        return linked
+    ends = with_components(with_components(edges, linked, "u", "a"), linked, "v", "b")
+    merged = components(ends.select(F.col("a").alias("u"), F.col("b").alias("v")))  # of components, by their smallest nodes
+    moved = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    now = linked.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return staged(now.unionAll(merged), "linked")
 
 
 def join_best(linked: DataFrame, left: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``linked`` after the verification of the ``u, v, estimate`` pairs, the best of every two components first."""
+    """``linked`` after the verification of the ``u, v, estimate`` pairs, the best of every two components first while there are more
+    pairs than texts: fewer are verified at once, as each round is a pass over the links."""
+    most = texts.count()
     for turn in range(ROUNDS + 1):
         left = staged(with_components(with_components(left.select("u", "v", "estimate"), linked, "u", "a"), linked, "v", "b").where("a <> b"), "candidates")
-        if left.isEmpty():
+        open_pairs = left.count()
+        if not open_pairs:
             break
-        pairs = left
-        if turn < ROUNDS:  # the best of every two components
+        pairs, last = left, turn == ROUNDS or open_pairs <= most
+        if not last:  # the best of every two components
             best = left.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(F.struct("estimate", "u", "v")).alias("best"))
             pairs = staged(best.select("best.u", "best.v"), "pairs")
             left = left.join(pairs, ["u", "v"], "left_anti")
         linked = join_links(linked, pairs.select(F.col("v").alias("member"), F.col("u").alias("leader")), texts, similarity)
+        if last:
+            break
     return linked
 
 

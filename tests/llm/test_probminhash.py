@@ -212,6 +212,47 @@ def test_nothing_new_linked_leaves_the_components_alone(spark, monkeypatch):
     assert [tuple(r) for r in pm.join_best(linked, pairs, texts, 0.8).collect()] == [(1, 0)] and not calls
 
 
+def test_fewer_pairs_than_texts_are_verified_at_once(spark, monkeypatch):
+    base = [f"w{k}" for k in range(100)]
+    far, near = edited(base, range(4, 100, 9), "y"), edited(base, [50], "z")
+    texts = spark.createDataFrame([(0, " ".join(base)), (1, " ".join(base) + " end"), (2, near), (3, far), (4, far + " end"), (9, near + " end")], "node bigint, text string")
+    linked = spark.createDataFrame([(1, 0), (4, 3), (9, 2)], "node bigint, component bigint")
+    # The best estimates of two components are those of pairs that aren't near duplicates.
+    left = [(1, 3, 0.95), (0, 3, 0.9), (0, 4, 0.85), (4, 9, 0.84), (1, 9, 0.82)]
+    calls, rows = [], []
+    links, real = pm.join_links, pm.components
+    monkeypatch.setattr(pm, "join_links", lambda *a: (calls.append(a[1].count()), links(*a))[1])
+    monkeypatch.setattr(pm, "components", lambda edges: (rows.append(edges.count()), real(edges))[1])
+    out = pm.join_best(linked, spark.createDataFrame(left, "u bigint, v bigint, estimate double"), texts, 0.8)
+    assert {r.node: r.component for r in out.collect()} == {1: 0, 2: 0, 9: 0, 4: 3}
+    assert calls == [5] and rows == [1]  # one pass; only new links are searched for components
+    # More pairs than texts: the best of every two components first, in rounds.
+    calls.clear()
+    out = pm.join_best(linked, spark.createDataFrame(left, "u bigint, v bigint, estimate double"), texts.where("node IN (0, 1, 3, 9)"), 0.8)
+    assert calls[0] == 3 and {r.node: r.component for r in out.collect()} == {1: 0, 2: 0, 9: 0, 4: 3}
+
+
+def test_texts_of_few_shingles_are_sketched_in_few_steps(monkeypatch):
+    steps, real = [], pm.mix
+    sets = [pm.weighted_shingles(t) for t in ("a b c d e f", "a b c d e f g", "x " * 30 + "y", "", "a b")]
+    monkeypatch.setattr(pm, "mix", lambda x: (steps.append(x.size), real(x))[1])
+    sign = pm.signatures(sets, pm.CROWD_SKETCH)
+    assert len(steps) < 500 and max(steps) <= 2 * pm.DRAWS  # one step a turn: some 20,000
+    for (shingles, _), row in zip(sets, sign):
+        assert set(row.tolist()) == (set(shingles.tolist()) or {0})
+    assert (np.concatenate([pm.signatures([s], pm.CROWD_SKETCH) for s in sets]) == sign).all()
+    # Registers by the definition: the earliest arrival of all, turn after turn.
+    monkeypatch.setattr(pm, "mix", real)
+    (items, counts), first = sets[1], {}
+    time = np.zeros(len(items))
+    for turn in range(1, 400):
+        step = np.array([2 * turn, 2 * turn + 1], dtype=np.uint64) * pm._ODD
+        time = time - np.log(((real(items + step[0]) >> np.uint64(11)).astype(float) + 1) / 9007199254740992.0) / counts
+        for at, when, item in zip((real(items + step[1]) % np.uint64(48)).tolist(), time.tolist(), items.tolist()):
+            first[at] = min(first.get(at, (when, item)), (when, item))
+    assert pm.signatures([sets[1]], 48)[0].tolist() == [first[at][1] for at in range(48)]
+
+
 def test_repeated_rows_and_null_ids_are_one_text(spark, rng, monkeypatch):
     base = [f"q{i}" for i in range(120)]
     near = [" ".join(base), changed(rng, base, 1)]
