@@ -10,11 +10,12 @@ from .registry import register
 
 N = similar.BANDS * similar.ROWS
 A = ", ".join(f"{a}::BIGINT" for a in similar.multipliers(N))
-LINKS = f"""{WORDS},
+KEYS = f"""{WORDS},
 v AS (SELECT doc_id, list_distinct(list_transform(words, lambda w: ('0x' || substr(md5(w), 1, 8))::BIGINT % {similar.PRIME})) AS xs FROM d),
 f AS (SELECT unnest(range({N})) AS i, unnest([{A}]) AS a),
 h AS (SELECT doc_id, i, min((a * x + 100 * i + 2) % {similar.PRIME}) AS m FROM (SELECT doc_id, unnest(xs) AS x FROM v) u, f GROUP BY ALL),
-k AS (SELECT doc_id, i // {similar.ROWS} AS band, string_agg(CAST(m AS VARCHAR), ',' ORDER BY i) AS key FROM h GROUP BY ALL),
+k AS (SELECT doc_id, i // {similar.ROWS} AS band, string_agg(CAST(m AS VARCHAR), ',' ORDER BY i) AS key FROM h GROUP BY ALL)"""
+LINKS = f"""{KEYS},
 heads AS (SELECT band, key, min(doc_id) AS doc_a FROM k GROUP BY ALL HAVING count(DISTINCT doc_id) > 1),
 links AS (SELECT DISTINCT doc_a, doc_id AS doc_b FROM k JOIN heads USING (band, key) WHERE doc_id <> doc_a)"""
 
@@ -40,7 +41,8 @@ def minhash_similarity(spark, sf_dir):
 
 
 @register("jaccard_verified", f"""
-WITH {LINKS},
+WITH {KEYS},
+links AS (SELECT DISTINCT x.doc_id AS doc_a, y.doc_id AS doc_b FROM k x JOIN k y ON y.band = x.band AND y.key = x.key AND y.doc_id > x.doc_id),
 w AS (SELECT doc_id, unnest(words) AS word FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM w GROUP BY 1),
 c AS (SELECT doc_a, doc_b, count(*) AS n_common FROM links JOIN w x ON x.doc_id = doc_a JOIN w y ON y.doc_id = doc_b AND y.word = x.word GROUP BY ALL)
@@ -48,5 +50,9 @@ SELECT doc_a, doc_b, coalesce(n_common, 0) AS n_common, p.n + q.n - coalesce(n_c
        CAST(coalesce(n_common, 0) AS DOUBLE) / CAST(p.n + q.n - coalesce(n_common, 0) AS DOUBLE) AS jaccard
 FROM links LEFT JOIN c USING (doc_a, doc_b) JOIN n p ON p.doc_id = doc_a JOIN n q ON q.doc_id = doc_b""")
 def jaccard_verified(spark, sf_dir):
-    links = materialize(similar.band_links(_signatures(spark, sf_dir)), "links")
-    return similar.exact_jaccard(links, read_documents(spark, sf_dir))
+    texts = materialize(similar.text_rows(read_documents(spark, sf_dir)), "word-texts")
+    rows = materialize(similar.copies(texts), "copies")
+    first = similar.first_texts(texts, rows)  # equal texts are compared once
+    signatures = materialize(similar.wide_signatures(first), "wide-signatures")
+    links = materialize(similar.band_links(signatures, every=True), "links")
+    return similar.of_documents(similar.exact_jaccard(links, first), links, texts, rows)
