@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructType
 
 from ..functions.hashing import md5_u32
 from ..functions.text import whitespace_tokens
@@ -220,9 +220,10 @@ def _share(n_common: Column, n_union: Column) -> Column:
 def exact_jaccard(links: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_a, doc_b, n_common, n_union, jaccard)`` of the distinct shingles of every link.  Only linked documents' words
     take part, and a link meets its own two documents' words only: a document's distinct words travel as one string, not as
-    a row each.  Rows that share an id count together.  Links with cells are verified by cell; an id has one row then."""
+    a row each.  Rows that share an id count together.  Links with cells are verified by cell; an id has one row then, and
+    ``docs`` can be ``word_sets`` already."""
     if set(CELL) <= set(links.columns):
-        return _cell_jaccard(links, word_sets(docs, id_col, text_col))
+        return _cell_jaccard(links, docs if docs.columns == ["doc_id", "words", "n"] else word_sets(docs, id_col, text_col))
     asked = links.select(F.col("doc_a").alias("doc_id")).unionAll(links.select("doc_b")).distinct()
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(asked, "doc_id", "left_semi")
     sets = word_sets(src)
@@ -240,14 +241,33 @@ def exact_jaccard(links: DataFrame, docs: DataFrame, id_col: str = "doc_id", tex
 
 def _cell_jaccard(links: DataFrame, sets: DataFrame) -> DataFrame:
     spark, kind = links.sparkSession, links.schema["doc_a"].dataType
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    packed = sets.select("doc_id", F.col("words").cast("binary").alias("words")).mapInArrow(_packed, StructType().add("doc_id", kind).add("words", BinaryType()))
     ends = links.select(*CELL, F.col("doc_a").alias("doc_id")).unionAll(links.select(*CELL, "doc_b")).distinct()
-    texts = ends.join(sets, "doc_id").select(*CELL, F.col("doc_id").alias("doc_a"), F.lit(None).cast(kind).alias("doc_b"), "words")
-    rows = texts.unionAll(links.select(*CELL, "doc_a", "doc_b", F.lit(None).cast("string")))
+    texts = ends.join(packed, "doc_id").select(*CELL, F.col("doc_id").alias("doc_a"), F.lit(None).cast(kind).alias("doc_b"), "words")
+    rows = texts.unionAll(links.select(*CELL, "doc_a", "doc_b", F.lit(None).cast("binary")))
     schema = StructType().add("doc_a", kind).add("doc_b", kind).add("n_common", LongType()).add("n_union", LongType())
     found = _by_cell(spark, rows, "doc_b").mapInArrow(_verified_cells, schema)
     return found.withColumn("jaccard", _share(F.col("n_common"), F.col("n_union")))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words in order, compressed behind the number of their bytes: a text travels to several cells."""
+    codec = pa.Codec("zstd", compression_level=3)
+    for batch in batches:
+        out = []
+        for words in batch.column("words").to_pylist():
+            words = b" ".join(sorted(words.split(b" ")))
+            out.append(len(words).to_bytes(4, "little") + codec.compress(words, asbytes=True))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "words"])
+
+
+def _unpacked(words: pa.Array) -> pa.Array:
+    codec = pa.Codec("zstd")
+    return pa.array([codec.decompress(w[4:], int.from_bytes(w[:4], "little"), asbytes=True) for w in words.to_pylist()], pa.binary())
+
+
 def _verified_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _units(batches):
         begins = np.zeros(table.num_rows, dtype=np.int64)
@@ -266,7 +286,7 @@ def _verified_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         place = order[np.minimum(np.searchsorted(mine, wanted, sorter=order), len(order) - 1)]
         known = (mine[place] == wanted).reshape(2, -1).all(axis=0)
         x, y = place.reshape(2, -1)[:, known]
-        words = pc.split_pattern(_column(texts, "words"), " ")
+        words = pc.split_pattern(_unpacked(_column(texts, "words")), b" ")
         sizes = words.value_lengths().to_numpy().astype(np.int64)
         codes = words.flatten().dictionary_encode()
         common = _common(x, y, cell[is_link][known], codes.indices.to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), len(codes.dictionary))
@@ -325,9 +345,9 @@ def copies(texts: DataFrame) -> DataFrame:
 
 
 def first_texts(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(doc_id, text)`` of each node once: its number, and its words."""
+    """``word_sets`` of the nodes, under their numbers."""
     others, _ = bounded_broadcast(rows.filter("row <> node").select("row"), name="others")
-    return texts.select("row", "words").join(others, "row", "left_anti").select(F.col("row").alias("doc_id"), F.col("words").alias("text"))
+    return texts.select("row", "words", "n").join(others, "row", "left_anti").withColumnRenamed("row", "doc_id")
 
 
 def of_documents(pairs: DataFrame, links: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators import similar
-from ..operators.sizing import materialize
+from ..operators.sizing import materialize, settled
 from ..sources.tables import read_documents
 from .minhash import WORDS
 from .registry import register
@@ -53,6 +53,5 @@ def jaccard_verified(spark, sf_dir):
     texts = materialize(similar.text_rows(read_documents(spark, sf_dir)), "word-texts")
     rows = materialize(similar.copies(texts), "copies")
     first = similar.first_texts(texts, rows)  # equal texts are compared once
-    signatures = materialize(similar.wide_signatures(first), "wide-signatures")
-    links = materialize(similar.band_links(signatures, every=True), "links")
+    links = settled(spark, lambda: similar.band_links(materialize(similar.wide_signatures(first, text_col="words"), "wide-signatures"), every=True), "links")
     return similar.of_documents(similar.exact_jaccard(links, first), links, texts, rows)
