@@ -39,10 +39,10 @@ GENERATOR = 48271
 BANDS, ROWS = 32, 4
 CHUNK = 4096  # words of a document that meet all functions at once
 CELL = ("bucket", "lo", "hi")
-BLOCK = 256  # members of a bucket that are dealt to one block, on average
+BLOCK = 512  # members of a bucket that are dealt to one block, on average
 UNIT_BYTES, BATCH_BYTES = 8 << 20, 4 << 20  # rows that a task handles at once (a cell at least), and gets at once
-PAIRS = 1 << 17  # pairs whose buckets are compared at once
-DENSE, WIDTH = 64, 1 << 14  # links of a cell that are worth a matrix product, and the words it takes at once
+PAIRS = 1 << 16  # pairs whose buckets are compared at once
+DENSE, WIDTH = 64, 1 << 13  # links of a cell that are worth a matrix product, and the words it takes at once
 
 
 def multipliers(n: int) -> list[int]:
@@ -103,9 +103,10 @@ def band_links(signatures: DataFrame, bands: int = BANDS, rows: int = ROWS, ever
 
 
 def _all_pairs(members: DataFrame, bands: int) -> DataFrame:
-    """A pair that shares several buckets is left to the one of the first band: each member brings the list of its buckets."""
+    """A pair that shares several buckets is left to the largest, so that texts travel to few: each member brings the list of its buckets,
+    which are numbered from the largest on."""
     spark = members.sparkSession
-    several = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    several = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"))
     buckets = materialize(several.withColumn("bucket", F.monotonically_increasing_id() * bands + F.col("band")), "buckets")  # written, so that a number stays
     inside = members.join(buckets, ["band", "key"]).select("doc_id", "bucket", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("_blocks"))
     inside = inside.withColumn("shared", F.collect_list("bucket").over(Window.partitionBy("doc_id")))
@@ -171,8 +172,11 @@ def _places(starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> Iterator
         for i in range(0, len(at) if len(a) else 0, step):
             yield (at[i:i + step] + a).ravel(), (at[i:i + step] + b).ravel()
     for s, m, e in zip(starts[~one], first[~one], ends[~one]):
-        left, right = np.arange(s, s + m), np.arange(s + m, e)
-        yield np.repeat(left, len(right)), np.tile(right, len(left))
+        right = np.arange(s + m, e)
+        step = max(1, PAIRS // len(right))
+        for i in range(s, s + m, step):
+            left = np.arange(i, min(i + step, s + m))
+            yield np.repeat(left, len(right)), np.tile(right, len(left))
 
 
 def _pairs_of_cells(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.RecordBatch]:
@@ -188,8 +192,8 @@ def _pairs_of_cells(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[p
         two = (lo[starts] != hi[starts]) & ((first == 0) | (first == ends - starts))  # a block of nobody
         for x, y in _places(starts[~two], ends[~two], first[~two]):
             mine = of_band[x]
-            at = ((mine == of_band[y]) & (mine >= 0)).argmax(axis=1)
-            here = mine[np.arange(len(x)), at] == bucket[x]
+            common = np.where((mine == of_band[y]) & (mine >= 0), mine, np.iinfo(np.int64).max)
+            here = common.min(axis=1) == bucket[x]
             x, y = x[here], y[here]
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(x)), ids.take(pa.array(y)), *(pa.array(v[x]) for v in (bucket, lo, hi))], ["a", "b", *CELL])
 
